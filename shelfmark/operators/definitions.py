@@ -121,10 +121,16 @@ def enrich_functions(
     embed: Model | None = None,
     analyzer: Analyzer = ENGLISH,
 ) -> DataFrame:
-    """Summarise and embed every function without a summary whose file exists."""
+    """Summarise and embed every function without a summary whose file exists.
+
+    Only these rows meet the files table; the others are passed through.
+    """
+    lacking = functions.where(F.col("summary").isNull())
     paths = files.select(F.col("id").alias("file_id"), F.col("path").alias("_path"))
-    stale = F.col("summary").isNull() & F.col("_path").isNotNull()
-    return enrich(
-        functions.join(paths, "file_id", "left"), stale, ["_path", "name", "body"], "name", as_of,
+    enriched = enrich(
+        lacking.join(paths, "file_id", "left"), F.col("_path").isNotNull(),
+        ["_path", "name", "body"], "name", as_of,
         summarize or lead_summary(3), embed or hashed_embedding(), analyzer,
-    ).select(*functions.columns)
+    )
+    columns = functions.columns
+    return functions.where(F.col("summary").isNotNull()).unionByName(enriched.select(*columns))

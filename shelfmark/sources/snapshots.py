@@ -1,0 +1,96 @@
+"""The three tables as published snapshots in a folder all executors share.
+
+Every run writes whole tables into folders of its own and publishes them by
+appending one manifest row at the end. A run that fails publishes nothing, and
+readers keep the snapshot they opened.
+"""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from shelfmark.operators.fulltext import cluster_postings
+from shelfmark.operators.identity import check_unique
+from shelfmark.schemas import TABLES, UNIQUE_KEYS
+
+_MANIFEST = "version long, run string, as_of timestamp"
+# Rows next to each other in a file share the project, so a project filter
+# skips row groups. A large project is split over several files.
+_CLUSTERED_BY = {"projects": "id", "files": "project_id", "functions": "project_id"}
+POSTINGS = {"file_postings": "files", "function_postings": "functions"}
+_POSTINGS_SCHEMA = "term string, id long, project_id long, pos int"
+
+
+def clustered(table: DataFrame, column: str) -> DataFrame:
+    """Rows of one ``column`` value together, in tasks of even size."""
+    return table.hint("rebalance", F.col(column)).sortWithinPartitions(column, "id")
+
+
+class SnapshotStore:
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark = spark
+        self.folder = folder.rstrip("/")
+
+    def _read_or_empty(self, location: str, schema) -> DataFrame:
+        try:
+            return self.spark.read.schema(schema).parquet(location)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], schema)
+
+    def latest(self):
+        """The newest manifest row, or None before the first run."""
+        manifest = self._read_or_empty(f"{self.folder}/manifest", _MANIFEST)
+        return manifest.orderBy(F.col("version").desc(), F.col("run")).first()
+
+    def read(self, table: str) -> DataFrame:
+        """A table of the newest snapshot; empty before the first run."""
+        newest = self.latest()
+        schema = _POSTINGS_SCHEMA if table in POSTINGS else TABLES[table]
+        if newest is None:
+            return self.spark.createDataFrame([], schema)
+        return self._read_or_empty(self._location(table, newest["run"]), schema)
+
+    def _location(self, table: str, run: str) -> str:
+        return f"{self.folder}/{table}/run={run}"
+
+    def begin(self) -> "Run":
+        return Run(self, self.latest())
+
+
+class Run:
+    """One run's writes; nothing is visible before ``publish``."""
+
+    def __init__(self, store: SnapshotStore, newest):
+        self.store = store
+        self.run = uuid.uuid4().hex
+        self.version = (newest["version"] if newest else 0) + 1
+
+    def write(self, table: str, rows: DataFrame) -> DataFrame:
+        """Write a table of this run and return it as stored."""
+        schema = TABLES[table]
+        typed = rows.select([F.col(f.name).cast(f.dataType) for f in schema])
+        stored = self._write(table, clustered(typed, _CLUSTERED_BY[table]), schema)
+        check_unique(stored, UNIQUE_KEYS[table])
+        return stored
+
+    def write_postings(self, name: str, index: DataFrame) -> DataFrame:
+        return self._write(name, cluster_postings(index), _POSTINGS_SCHEMA)
+
+    def set_aside(self, name: str, rows: DataFrame) -> DataFrame:
+        """Write an intermediate result, to cut its lineage."""
+        return self._write(f"intermediate/{name}", rows, rows.schema)
+
+    def _write(self, table: str, rows: DataFrame, schema) -> DataFrame:
+        location = self.store._location(table, self.run)
+        rows.write.mode("errorifexists").parquet(location)
+        return self.store.spark.read.schema(schema).parquet(location)
+
+    def publish(self, as_of) -> int:
+        row = self.store.spark.createDataFrame([(self.version, self.run, as_of)], _MANIFEST)
+        row.coalesce(1).write.mode("append").parquet(f"{self.store.folder}/manifest")
+        return self.version
