@@ -1,9 +1,10 @@
 """English Snowball (Porter2) stemming of a token array, as one SQL expression.
 
-Each step is a ``transform`` over the whole array, so a step's input is bound
-to its lambda variable and evaluated once. A token travels as
-``struct(w, r1, r2, s, done)``: the word, the start of its two regions, the
-suffix found by the current step, and whether it is finished.
+Each step is a ``transform`` over the array of words, so a step's input is its
+lambda variable and is evaluated once. Whether a suffix lies in one of the two
+regions is asked of the part before it: region one starts after the first vowel
+and consonant pair, region two after the next one. A word that is not to be
+stemmed travels as an empty string.
 """
 
 from __future__ import annotations
@@ -15,132 +16,113 @@ from shelfmark.functions.fixed_values import (
     STEM_STEP_4,
     STEM_STOPS_AFTER_PLURAL,
 )
-from shelfmark.functions.sqltext import raw
-
-_VOWEL = "[aeiouy]"
-_OTHER = "[^aeiouy]"
-# Ends in a short syllable. A capital Y stands for a consonant y.
-_SHORT_END = f"(?:{_OTHER}{_VOWEL}[^aeiouywxY]|^{_VOWEL}{_OTHER})$"
+from shelfmark.functions.sqltext import let, raw
 
+# Longer runs of letters are kept as they are: encoded data, not words.
+LONGEST_WORD = 100
 
-def _string_list(words) -> str:
-    return ", ".join(f"'{w}'" for w in words)
+_PAIR = "[aeiouy][^aeiouy]"
+# Beginnings after which region one starts at once.
+_SPECIAL = "gener|commun|arsen"
+_REGION_1 = f"(?:(?:{_SPECIAL})|(?!{_SPECIAL}).*?{_PAIR}).*?"
+_REGION_2 = f"{_REGION_1}{_PAIR}.*?"
+# Ends in a short syllable. A capital Y stands for a consonant y.
+_SHORT_END = "(?:[^aeiouy][aeiouy][^aeiouywxY]|^[aeiouy][^aeiouy])"
+_SHORT_WORD = "^(?:[^aeiouy]+[aeiouy][^aeiouywxY]|[aeiouy][^aeiouy])"
 
 
-def _string_map(pairs: dict[str, str]) -> str:
+def _map(pairs: dict[str, str]) -> str:
     return "map(" + ", ".join(f"'{k}', '{v}'" for k, v in pairs.items()) + ")"
 
 
-def _token(w="x.w", r1="x.r1", r2="x.r2", s="''", done="x.done") -> str:
-    return (
-        f"named_struct('w', {w}, 'r1', {r1}, 'r2', {r2}, 's', {s}, 'done', {done})"
-    )
-
+def _each(words: str, changed: str) -> str:
+    return f"transform({words}, w -> {changed})"
 
-def _step(tokens: str, changed: str) -> str:
-    return f"transform({tokens}, x -> if(x.done, x, {changed}))"
 
+def _cut(n: int) -> str:
+    return f"left(w, length(w) - {n})"
 
-def _find_suffix(tokens: str, suffixes) -> str:
-    pattern = "(" + "|".join(suffixes) + ")$"
-    return _step(tokens, _token(s=f"regexp_extract(x.w, {raw(pattern)}, 1)"))
 
+def _ends_like(suffixes) -> str:
+    """A quick test by the last two letters, before a pattern is tried."""
+    endings = ", ".join(f"'{e}'" for e in sorted({s[-2:] for s in suffixes}))
+    return f"substr(w, -2) IN ({endings})"
 
-def _without(suffix_length: str) -> str:
-    return f"left(x.w, length(x.w) - {suffix_length})"
 
+def _replace_suffix(words: str, pairs: dict[str, str], conditions: dict[str, str]) -> str:
+    """Replace the longest suffix of ``pairs`` if it lies in region one.
 
-_SUFFIX_START = "length(x.w) - length(x.s)"
+    ``conditions`` maps a suffix to a pattern the whole word has to match too.
+    """
+    suffix = "(" + "|".join(pairs) + ")$"
+    extra = "".join(f" AND (s <> '{s}' OR w RLIKE {raw(p)})" for s, p in conditions.items())
+    replaced = let(
+        "s", f"regexp_extract(w, {raw(suffix)}, 1)",
+        f"if(left(w, length(w) - length(s)) RLIKE {raw('^' + _REGION_1)}{extra}, "
+        f"concat(left(w, length(w) - length(s)), element_at({_map(pairs)}, s)), w)",
+    )
+    return _each(words, f"if({_ends_like(pairs)} AND w RLIKE {raw(suffix)}, {replaced}, w)")
 
 
 def stems_sql(tokens: str) -> str:
     """Stem every plain word of ``tokens``; other tokens pass unchanged."""
-    t = (
-        f"transform({tokens}, w -> named_struct("
-        f"'w', coalesce(element_at({_string_map(STEM_EXCEPTIONS)}, w), w), "
-        "'r1', 0, 'r2', 0, 's', '', "
-        f"'done', length(w) <= 2 OR NOT w RLIKE {raw('^[\\p{L}]+$')} "
-        f"OR w IN ({_string_list(STEM_EXCEPTIONS)})))"
-    )
+    unchanged = {w: w for w in STEM_STOPS_AFTER_PLURAL}
+    plural = {w + "s": w for w in STEM_STOPS_AFTER_PLURAL}
+    known = _map({**STEM_EXCEPTIONS, **unchanged, **plural})
+    known_list = ", ".join(f"'{w}'" for w in {**STEM_EXCEPTIONS, **unchanged, **plural})
     # A y at the start or after a vowel is a consonant. Twice, as in "yyy".
+    after_vowel = raw("([aeiouy])y")
     marked = (
-        f"regexp_replace(regexp_replace(regexp_replace(x.w, '^y', 'Y'), "
-        f"{raw('([aeiouy])y')}, '$1Y'), {raw('([aeiouy])y')}, '$1Y')"
+        f"regexp_replace(regexp_replace(regexp_replace(w, '^y', 'Y'), {after_vowel}, '$1Y'), "
+        f"{after_vowel}, '$1Y')"
+    )
+    t = _each(
+        "tokens",
+        f"CASE WHEN length(w) NOT BETWEEN 3 AND {LONGEST_WORD} OR NOT w RLIKE {raw('^[\\p{L}]+$')} "
+        f"OR w IN ({known_list}) THEN '' WHEN instr(w, 'y') > 0 THEN {marked} ELSE w END",
     )
-    t = _step(t, _token(w=f"if(instr(x.w, 'y') > 0, {marked}, x.w)"))
-    region = f"^.*?{_VOWEL}{_OTHER}"
-    t = _step(t, _token(r1=(
-        f"if(x.w RLIKE {raw('^(?:gener|commun|arsen)')}, "
-        f"length(regexp_extract(x.w, {raw('^(?:gener|commun|arsen)')}, 0)), "
-        f"if(x.w RLIKE {raw(region)}, length(regexp_extract(x.w, {raw(region)}, 0)), length(x.w)))"
-    )))
-    tail = "substr(x.w, x.r1 + 1)"
-    t = _step(t, _token(r2=(
-        f"if({tail} RLIKE {raw(region)}, "
-        f"x.r1 + length(regexp_extract({tail}, {raw(region)}, 0)), length(x.w))"
-    )))
     # Step 1a: plurals.
-    t = _step(t, _token(w=(
-        "CASE WHEN right(x.w, 4) = 'sses' THEN left(x.w, length(x.w) - 2) "
-        "WHEN right(x.w, 3) IN ('ied', 'ies') THEN "
-        "  if(length(x.w) > 4, left(x.w, length(x.w) - 2), left(x.w, length(x.w) - 1)) "
-        "WHEN right(x.w, 2) IN ('us', 'ss') THEN x.w "
-        f"WHEN x.w RLIKE {raw('[aeiouy].+s$')} THEN left(x.w, length(x.w) - 1) "
-        "ELSE x.w END"
-    )))
-    t = _step(t, _token(done=f"x.w IN ({_string_list(STEM_STOPS_AFTER_PLURAL)})"))
-    # Step 1b: past and participle endings, then repair of the stem (s = 'fix').
-    t = _find_suffix(t, ("eedly", "ingly", "edly", "eed", "ing", "ed"))
-    t = _step(t, (
-        "CASE WHEN x.s = '' THEN x "
-        f"WHEN x.s IN ('eed', 'eedly') THEN if({_SUFFIX_START} >= x.r1, "
-        f"{_token(w=f"concat({_without('length(x.s)')}, 'ee')")}, {_token()}) "
-        f"WHEN {_without('length(x.s)')} RLIKE {raw(_VOWEL)} THEN "
-        f"{_token(w=_without('length(x.s)'), s="'fix'")} "
-        f"ELSE {_token()} END"
-    ))
-    t = _step(t, (
-        "CASE WHEN x.s <> 'fix' THEN x "
-        f"WHEN right(x.w, 2) IN ('at', 'bl', 'iz') THEN {_token(w="concat(x.w, 'e')")} "
-        f"WHEN x.w RLIKE {raw('(?:bb|dd|ff|gg|mm|nn|pp|rr|tt)$')} THEN {_token(w=_without('1'))} "
-        f"WHEN x.r1 >= length(x.w) AND x.w RLIKE {raw(_SHORT_END)} "
-        f"THEN {_token(w="concat(x.w, 'e')")} "
-        f"ELSE {_token()} END"
+    t = _each(t, (
+        f"CASE WHEN substr(w, -3) IN ('ied', 'ies') THEN if(length(w) > 4, {_cut(2)}, {_cut(1)}) "
+        "WHEN substr(w, -1) <> 's' OR substr(w, -2) IN ('us', 'ss') THEN w "
+        f"WHEN substr(w, -4) = 'sses' THEN {_cut(2)} "
+        f"WHEN w RLIKE {raw('[aeiouy].+s$')} THEN {_cut(1)} ELSE w END"
     ))
-    # Step 1c.
-    t = _step(t, _token(w=(
-        f"if(x.w RLIKE {raw('.[^aeiouy][yY]$')}, concat({_without('1')}, 'i'), x.w)"
-    )))
-    # Step 2.
-    t = _find_suffix(t, STEM_STEP_2)
-    t = _step(t, (
-        f"if(x.s <> '' AND {_SUFFIX_START} >= x.r1 "
-        f"AND (x.s <> 'ogi' OR x.w RLIKE 'logi$') "
-        f"AND (x.s <> 'li' OR x.w RLIKE {raw('[cdeghkmnrt]li$')}), "
-        f"{_token(w=f"concat({_without('length(x.s)')}, element_at({_string_map(STEM_STEP_2)}, x.s))")}, "
-        f"{_token()})"
+    # Step 1b: past and participle endings; a "!" marks stems to repair.
+    t = _each(t, (
+        f"CASE WHEN NOT {_ends_like(('ed', 'ing', 'ly'))} "
+        f"OR NOT w RLIKE {raw('(?:ed|ing)(?:ly)?$')} THEN w "
+        f"WHEN w RLIKE {raw('eed(?:ly)?$')} THEN "
+        f"regexp_replace(w, {raw(f'^({_REGION_1})eed(?:ly)?$')}, '$1ee') "
+        f"ELSE regexp_replace(w, {raw('^(.*[aeiouy].*)(?:ed|ing)(?:ly)?$')}, '$1!') END"
     ))
-    # Step 3.
-    t = _find_suffix(t, STEM_STEP_3)
-    t = _step(t, (
-        f"if(x.s <> '' AND {_SUFFIX_START} >= x.r1 "
-        f"AND (x.s <> 'ative' OR {_SUFFIX_START} >= x.r2), "
-        f"{_token(w=f"concat({_without('length(x.s)')}, element_at({_string_map(STEM_STEP_3)}, x.s))")}, "
-        f"{_token()})"
+    t = _each(t, (
+        "CASE WHEN substr(w, -1) <> '!' THEN w "
+        f"WHEN substr(w, -3) IN ('at!', 'bl!', 'iz!') OR w RLIKE {raw(_SHORT_WORD + '!$')} "
+        f"THEN concat({_cut(1)}, 'e') "
+        f"WHEN w RLIKE {raw('(?:bb|dd|ff|gg|mm|nn|pp|rr|tt)!$')} THEN {_cut(2)} "
+        f"ELSE {_cut(1)} END"
     ))
-    # Step 4.
-    t = _find_suffix(t, STEM_STEP_4)
-    t = _step(t, (
-        f"if(x.s <> '' AND {_SUFFIX_START} >= x.r2 "
-        f"AND (x.s <> 'ion' OR x.w RLIKE {raw('[st]ion$')}), "
-        f"{_token(w=_without('length(x.s)'))}, {_token()})"
+    # Step 1c.
+    t = _each(t, f"if(substr(w, -1) IN ('y', 'Y') AND w RLIKE {raw('.[^aeiouy][yY]$')}, concat({_cut(1)}, 'i'), w)")
+    t = _replace_suffix(t, STEM_STEP_2, {"ogi": "logi$", "li": "[cdeghkmnrt]li$"})
+    t = _replace_suffix(t, STEM_STEP_3, {"ative": f"^{_REGION_2}ative$"})
+    # Step 4. The look-behinds let only the longest of ement, ment, ent count.
+    guarded = {"ment": "(?<!e)ment", "ent": "(?<!m)ent", "ion": "(?<=[st])ion"}
+    removed = "|".join(guarded.get(s, s) for s in STEM_STEP_4)
+    t = _each(t, (
+        f"if({_ends_like(STEM_STEP_4)} AND w RLIKE {raw(f'(?:{removed})$')}, "
+        f"regexp_replace(w, {raw(f'^({_REGION_2})(?:{removed})$')}, '$1'), w)"
     ))
     # Step 5, and a marked y back to a plain one.
-    final = (
-        "CASE WHEN x.done THEN x.w "
-        "WHEN right(x.w, 1) = 'e' AND (length(x.w) - 1 >= x.r2 OR (length(x.w) - 1 >= x.r1 "
-        f"AND NOT left(x.w, length(x.w) - 1) RLIKE {raw(_SHORT_END)})) THEN {_without('1')} "
-        f"WHEN right(x.w, 2) = 'll' AND length(x.w) - 1 >= x.r2 THEN {_without('1')} "
-        "ELSE x.w END"
+    t = _each(t, (
+        "CASE WHEN substr(w, -1) = 'e' THEN "
+        f"if(w RLIKE {raw(f'^{_REGION_2}e$')} OR (w RLIKE {raw(f'^{_REGION_1}e$')} "
+        f"AND NOT w RLIKE {raw(_SHORT_END + 'e$')}), {_cut(1)}, w) "
+        f"WHEN substr(w, -2) = 'll' AND w RLIKE {raw(f'^{_REGION_2}l$')} THEN {_cut(1)} ELSE w END"
+    ))
+    chosen = (
+        f"CASE WHEN s <> '' THEN replace(s, 'Y', 'y') WHEN t IN ({known_list}) "
+        f"THEN element_at({known}, t) ELSE t END"
     )
-    return f"transform({t}, x -> lower({final}))"
+    return let("tokens", tokens, f"zip_with(tokens, {t}, (t, s) -> {chosen})")

@@ -23,16 +23,9 @@ QUERY_TYPE = (
 )
 
 WORD = r"[\p{L}\p{N}]+"
-# One token for an address, a slash path, a dotted name or number, and a
-# hyphenated compound; single words otherwise.
-WHOLE_TOKEN = "|".join(
-    (
-        r"[\p{L}\p{N}._+-]*[\p{L}\p{N}_]@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)+",
-        r"/?(?:[\p{L}\p{N}_.-]+/)+[\p{L}\p{N}_.-]*[\p{L}\p{N}_]",
-        r"[\p{L}\p{N}]+(?:\.[\p{L}\p{N}]+)+",
-        r"[\p{L}\p{N}]+(?:-[\p{L}\p{N}]+)+",
-        WORD,
-    )
+# A run of words held together by single signs, underscores or slashes.
+_RUN = (
+    r"/?[\p{L}\p{N}]++(?:(?:[._-]*+/[._-]*+|_++|[-.@+])[\p{L}\p{N}]++)*+"
 )
 
 
@@ -60,11 +53,16 @@ def tokens_sql(text: str, analyzer: Analyzer = ENGLISH) -> str:
     lowered = f"lower({text})"
     if analyzer.path_mode == "split":
         return f"regexp_extract_all({lowered}, {raw(WORD)}, 0)"
-    found = f"regexp_extract_all({lowered}, {raw(WHOLE_TOKEN)}, 0)"
-    # A compound is followed by its parts, each at its own position.
+    # A slash path, an address and a dotted name are one token each. Underscores
+    # separate. A hyphenated compound is followed by its parts.
+    runs = f"regexp_extract_all({lowered}, {raw(_RUN)}, 0)"
+    parts = (
+        "transform(split(r, '[_+]+'), "
+        "k -> if(instr(k, '-') > 0 AND instr(k, '.') = 0, concat(array(k), split(k, '-')), array(k)))"
+    )
     return (
-        f"flatten(transform({found}, k -> "
-        f"if(instr(k, '-') > 0 AND NOT k RLIKE '[/@.]', concat(array(k), split(k, '-')), array(k))))"
+        f"flatten(transform({runs}, r -> CASE WHEN instr(r, '/') > 0 OR instr(r, '@') > 0 "
+        f"OR NOT r RLIKE '[_+-]' THEN array(r) ELSE flatten({parts}) END))"
     )
 
 

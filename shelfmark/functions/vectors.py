@@ -45,17 +45,18 @@ def term_buckets_sql(text: str, dimension: int, analyzer: Analyzer = PLAIN) -> s
 
 
 def hashed_vector_sql(text: str, dimension: int = 64, analyzer: Analyzer = PLAIN) -> str:
-    """Term counts per bucket, scaled to unit length; all zero without terms."""
+    """Term counts per bucket, scaled to unit length; all zero without terms, NULL for NULL."""
     counts = let(
         "buckets", term_buckets_sql(text, dimension, analyzer),
         f"transform(sequence(0, {dimension - 1}), "
         "i -> size(buckets) - size(array_remove(buckets, i)))",
     )
     norm = "sqrt(cast(aggregate(n, 0L, (s, v) -> s + cast(v AS bigint) * v) AS double))"
-    return let(
+    vector = let(
         "n", counts,
         let(
             "length", norm,
             "transform(n, v -> cast(coalesce(try_divide(cast(v AS double), length), 0.0D) AS float))",
         ),
     )
+    return f"if({text} IS NULL, NULL, {vector})"
