@@ -198,8 +198,11 @@ SCRIPT_SOURCE = (
 )
 
 
-def source_text(template: str) -> str:
-    """A template as a SQL expression over ``doc_id, lang, source, clean``."""
+def source_text(template: str, quote: str = "''") -> str:
+    """A template as a SQL expression over ``doc_id, lang, source, clean``.
+
+    ``quote`` is how the dialect writes a quote inside a text.
+    """
     filled = template.replace("{{", "\x00").replace("}}", "\x01")
     for name, column in (("id", "doc_id"), ("text", "clean"), ("lang", "lang"), ("source", "source")):
         filled = filled.replace("{" + name + "}", "\x02" + column + "\x02")
@@ -215,7 +218,7 @@ def source_text(template: str) -> str:
                 if n:
                     pieces.append("chr(10)")
                 if line:
-                    pieces.append("'" + line.replace("'", "''") + "'")
+                    pieces.append("'" + line.replace("'", quote) + "'")
             parts.extend(pieces)
     return "concat(" + ", ".join(parts) + ")"
 
@@ -228,9 +231,8 @@ def source_files(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents").withColumn(
         "clean", F.regexp_replace("text", "[^A-Za-z0-9 ,.\n]", "_")
     )
-    # Doubled quotes in SQL text are written with a backslash for Spark.
     def body(template: str):
-        return F.expr(source_text(template).replace("''", "\\'"))
+        return F.expr(source_text(template, quote="\\'"))
 
     python = documents.select(
         (F.col("doc_id") * 2).alias("file_id"), F.lit("Python").alias("language"),

@@ -390,7 +390,7 @@ ORACLES: dict[str, str] = {
         SELECT * FROM known WHERE language IN ('Python', 'JavaScript', 'TypeScript')""",
     "stale_functions": f"""WITH {_FILES}, {_STORED_FUNCTIONS}
         SELECT fn.id, f.path, fn.name, fn.body FROM functions fn JOIN files f ON f.id = fn.file_id
-        WHERE fn.summary IS NULL""",
+        WHERE fn.summary IS NULL OR fn.name NOT LIKE 'user%'""",
     "enrich_functions": f"""WITH {_STORED_FUNCTIONS}
         SELECT id, summary, {_fts("name || ' ' || coalesce(summary, '')")} AS fts,
                CASE WHEN name LIKE 'user%' AND summary IS NOT NULL THEN '2023-01-01'
@@ -414,7 +414,7 @@ ORACLES: dict[str, str] = {
         asked AS (SELECT * FROM split WHERE len(w) >= 3),
         parts AS (
             SELECT item_id, unnest(w) AS word, generate_subscripts(w, 1) AS place,
-                   false AS negated, false AS phrase, 0 AS at FROM asked
+                   false AS negated, false AS phrase, 0 AS shift FROM asked
             UNION ALL SELECT item_id, w[1], len(w) + 1, false, true, 0 FROM asked
             UNION ALL SELECT item_id, w[2], len(w) + 1, false, true, 1 FROM asked
             UNION ALL SELECT item_id, w[3], len(w) + 2, true, false, 0 FROM asked),
@@ -426,7 +426,7 @@ ORACLES: dict[str, str] = {
         SELECT item_id, cast(alternative AS INTEGER) AS alternative,
                cast(dense_rank() OVER (PARTITION BY item_id ORDER BY place) - 1 AS INTEGER) AS clause,
                negated, phrase, word AS term,
-               cast(at - min(at) OVER (PARTITION BY item_id, place) AS INTEGER) AS "offset"
+               cast(shift - min(shift) OVER (PARTITION BY item_id, place) AS INTEGER) AS "offset"
         FROM kept""",
     "keyword_match_and": f"WITH {_TEXT_WORDS}, {_all_of('tion', 'thre')} {_SCORES}",
     "keyword_match_or": f"WITH {_TEXT_WORDS}, {_any_of('tion', 'thre')} {_SCORES}",

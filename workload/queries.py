@@ -314,18 +314,22 @@ def language_gate(spark, folder):
     return defs.supported(rows)
 
 
+def _half_summarised(spark, folder) -> DataFrame:
+    """Stored functions where only the users' turns have a summary."""
+    return corpus.stored_functions(spark, folder).withColumn(
+        "summary", F.when(F.col("name").startswith("user"), F.col("summary"))
+    )
+
+
 @query
 def stale_functions(spark, folder):
-    functions = corpus.stored_functions(spark, folder)
-    return defs.stale_functions(functions, corpus.files(spark, folder))
+    return defs.stale_functions(_half_summarised(spark, folder), corpus.files(spark, folder))
 
 
 @query
 def enrich_functions(spark, folder):
-    blank = corpus.stored_functions(spark, folder).withColumn(
-        "summary", F.when(F.col("name").startswith("user"), F.col("summary"))
-    )
-    return defs.enrich_functions(blank, corpus.files(spark, folder), AS_OF, analyzer=PLAIN).select(
+    functions = _half_summarised(spark, folder)
+    return defs.enrich_functions(functions, corpus.files(spark, folder), AS_OF, analyzer=PLAIN).select(
         "id", "summary", F.array_join("fts", " ").alias("fts"), _time()
     )
 
