@@ -15,17 +15,20 @@ DEFINITIONS_TYPE = (
     "body:string,checksum:string>>"
 )
 
-# Possessive quantifiers keep long literals off the matcher's stack.
-_PY_LITERALS = "|".join(
+# Tokens that tile a text: literals, comments, and what lies between. Possessive
+# quantifiers keep long literals off the matcher's stack.
+_PY_TOKENS = "|".join(
     (
         r'\"\"\"[^\"\\]*+(?:(?:\\[\s\S]|\"(?!\"\"))[^\"\\]*+)*+\"\"\"',
         r"\x27\x27\x27[^\x27\\]*+(?:(?:\\[\s\S]|\x27(?!\x27\x27))[^\x27\\]*+)*+\x27\x27\x27",
         r"\"[^\"\\\n]*+(?:\\[\s\S][^\"\\\n]*+)*+\"",
         r"\x27[^\x27\\\n]*+(?:\\[\s\S][^\x27\\\n]*+)*+\x27",
         r"#[^\n]*+",
+        r"[^\"\x27#]++",
+        r"[\"\x27]",
     )
 )
-_JS_LITERALS = "|".join(
+_JS_TOKENS = "|".join(
     (
         r"//[^\n]*+",
         r"/\*[^*]*+(?:\*(?!/)[^*]*+)*+\*/",
@@ -33,44 +36,62 @@ _JS_LITERALS = "|".join(
         r"\x27[^\x27\\\n]*+(?:\\[\s\S][^\x27\\\n]*+)*+\x27",
         r"`[^`\\]*+(?:\\[\s\S][^`\\]*+)*+`",
         # A regular expression literal: a slash where a value may start.
-        r"(?<=[=(,:;!&|?{}\[+*%~^<>-]\s{0,40}|return\s{1,40}|^)"
-        r"/(?![/*])(?:[^/\\\n\[]|\\.|\[(?:[^\]\\\n]|\\.)*+\])++/",
+        r"/(?<=(?:[=(,:;!&|?{}\[+*%~^<>-]\s{0,40}|return\s{1,40}|^)/)(?![/*])"
+        r"(?:[^/\\\n\[]|\\.|\[(?:[^\]\\\n]|\\.)*+\])++/",
+        r"[^\"\x27`/]++",
+        r"[\"\x27`/]",
     )
 )
 
 
-def masked_sql(text: str, literals: str) -> str:
+def masked_sql(text: str, tokens: str) -> str:
     """``text`` with comments blanked and each literal as S + filler (U+0001).
 
     Lengths and line ends are kept, so positions hold for the original text.
     """
-    filler = f"regexp_replace(m, {raw('[^\\n]')}, char(1))"
+    def fill(with_: str) -> str:
+        """Every line of token ``m`` as filler of its length."""
+        return (
+            f"if(instr(m, '\\n') = 0, repeat({with_}, length(m)), array_join(transform("
+            f"split(m, '\\n', -1), l -> repeat({with_}, length(l))), '\\n'))"
+        )
+
     mask = (
-        "if(left(m, 1) = '#' OR left(m, 2) IN ('//', '/*'), "
-        f"regexp_replace(m, {raw('[^\\n]')}, ' '), concat('S', substr({filler}, 2)))"
+        f"CASE WHEN left(m, 1) = '#' OR left(m, 2) IN ('//', '/*') THEN {fill("' '")} "
+        f"WHEN length(m) > 1 AND left(m, 1) IN ('\"', '\\'', '`', '/') "
+        f"THEN concat('S', substr({fill('char(1)')}, 2)) ELSE m END"
+    )
+    return (
+        f"array_join(transform(regexp_extract_all({text}, {raw(tokens)}, 0), m -> {mask}), '')"
     )
-    pattern = raw(literals)
+
+
+def _brackets(text: str) -> str:
+    return f"regexp_replace({text}, {raw('[^()\\[\\]{}]++')}, '')"
+
+
+def _balance(brackets: str, opening: str, closing: str, others: str = "") -> str:
+    """Opening minus closing signs in a text of brackets only."""
     return (
-        f"array_join(zip_with(split({text}, {pattern}, -1), "
-        f"transform(regexp_extract_all({text}, {pattern}, 0), m -> {mask}), "
-        "(p, m) -> concat(p, coalesce(m, ''))), '')"
+        f"(length(translate({brackets}, '{closing}{others}', '')) "
+        f"- length(translate({brackets}, '{opening}{others}', '')))"
     )
 
 
-def _count(text: str, characters: str) -> str:
-    return f"(length({text}) - length(translate({text}, '{characters}', '')))"
+def _lines_in(text: str) -> str:
+    return f"(length({text}) - length(replace({text}, '\\n', '')))"
 
 
 def python_definitions_sql(text: str) -> str:
     """Top-level functions and direct methods of top-level classes."""
     name = raw(r"^[ \t]*(?:async[ \t]+)?def[ \t]+([\p{L}_][\p{L}\p{N}_]*)")
     features = (
-        f"filter(transform(split({masked_sql(text, _PY_LITERALS)}, '\\n', -1), (l, i) -> named_struct("
+        f"filter(transform(split({masked_sql(text, _PY_TOKENS)}, '\\n', -1), (l, i) -> named_struct("
         "'n', i + 1, "
         f"'cut', length(regexp_replace(l, {raw('[ \\t\\r\\f]+$')}, '')), "
         f"'indent', length(regexp_extract(l, {raw('^[ \\t]*')}, 0)), "
         "'inside', left(l, 1) = char(1), "
-        f"'delta', {_count('l', '([{')} - {_count('l', ')]}')}, "
+        f"'delta', {let('b', _brackets('l'), _balance('b', '([{', ')]}'))}, "
         f"'joined', l RLIKE {raw('\\\\\\r?$')}, "
         f"'name', regexp_extract(l, {name}, 1), "
         f"'class', l RLIKE {raw('^class\\b')})), f -> f.cut > 0)"
@@ -176,13 +197,9 @@ def script_definitions_sql(text: str, language: str) -> str:
     nothing_open = f"cast(NULL AS {open_type})"
     # Everything a step derives from the piece p, bound once as x.
     step = (
-        "named_struct("
-        "'mark', right(p, 1), "
-        f"'before', a.depth + {_count('p', '([')} - {_count('p', ')]')}, "
-        f"'depth', greatest(a.depth + {_count('p', '([{')} - {_count('p', ')]}')}, 0), "
-        "'at', a.at + length(p), "
-        "'newline', if(right(p, 1) = '\\n', 1, 0), "
-        "'level', if(a.cls, 1, 0))"
+        "named_struct('mark', p.mark, 'before', a.depth + p.inner, "
+        "'depth', greatest(a.depth + p.inner + if(p.mark = '{', 1, if(p.mark = '}', -1, 0)), 0), "
+        "'at', a.at + p.length, 'newline', if(p.mark = '\\n', 1, 0), 'level', if(a.cls, 1, 0))"
     )
     head = "substr(masked, a.head + 1, x.at - a.head - 1)"
 
@@ -195,7 +212,7 @@ def script_definitions_sql(text: str, language: str) -> str:
             "named_struct('level', x.level, "
             f"'name_at', a.head + {before_name}, 'name_length', {name}, "
             f"'start_at', a.head + {before_start}, "
-            f"'line', a.line + 1 - {_count(rest, '\\n')})"
+            f"'line', a.line + 1 - {_lines_in(rest)})"
         )
 
     function_prefix = f"length({group(_JS_FUNCTION, 1)})"
@@ -252,10 +269,14 @@ def script_definitions_sql(text: str, language: str) -> str:
         depth="0", at="0", line="0", head="0", held="false", cls="false",
         opened=nothing_open, done=f"cast(array() AS array<{found_type}>)",
     )
-    pieces = f"regexp_extract_all(masked, {raw('[^{};\\n]*[{};\\n]')}, 0)"
+    pieces = (
+        f"transform(regexp_extract_all(masked, {raw('[^{};\\n]*+[{};\\n]')}, 0), p -> named_struct("
+        "'mark', substr(p, -1), 'length', length(p), "
+        f"'inner', {let('b', _brackets('p'), _balance('b', '([', ')]', '{}'))}))"
+    )
     found = f"aggregate({pieces}, {start}, (a, p) -> {merge}, a -> a.done)"
     return let(
-        "masked", masked_sql(text, _JS_LITERALS),
+        "masked", masked_sql(text, _JS_TOKENS),
         _with_bodies(
             f"transform({found}, d -> named_struct("
             f"'name', substr({text}, d.name_at + 1, d.name_length), "

@@ -116,10 +116,12 @@ def _alternatives(query: str) -> str:
 
 def can_match_sql(lexemes: str, query: str) -> str:
     """Cheap necessary condition: some alternative has all its wanted terms."""
-    return (
+    wanted = (
         f"exists({_alternatives(query)}, alt -> forall({query}, c -> c.alt <> alt OR c.negated "
-        f"OR forall(c.terms, t -> array_contains({lexemes}, t))))"
+        "OR forall(c.terms, t -> array_contains(words, t))))"
     )
+    # Bound once, in case the lexemes are computed and not stored.
+    return let("words", lexemes, wanted)
 
 
 def hits_sql(lexemes: str, query: str) -> str:
@@ -142,7 +144,7 @@ def evaluate_sql(hits: str, query: str) -> str:
     the hits keeps, per clause, the latest start of an occurrence; a cover ends
     where the earliest of these starts moves forward.
     """
-    lookback = f"slice({hits}, greatest(x.i - element_at(c.offsets, -1), 1), element_at(c.offsets, -1) + 1)"
+    lookback = "slice(hits, greatest(x.i - element_at(c.offsets, -1), 1), element_at(c.offsets, -1) + 1)"
     lookback_first = "greatest(x.i - element_at(c.offsets, -1), 1)"
     phrase_found = (
         f"forall(arrays_zip(c.terms, c.offsets), z -> exists({lookback}, "
@@ -152,7 +154,7 @@ def evaluate_sql(hits: str, query: str) -> str:
         f"(x.pos - element_at(c.offsets, -1)) * {_PACK} + {lookback_first} - 1 + "
         f"array_position(transform({lookback}, g -> g.pos), x.pos - element_at(c.offsets, -1))"
     )
-    all_found = f"forall(c.terms, t -> exists({hits}, g -> g.term = t))"
+    all_found = "forall(c.terms, t -> exists(hits, g -> g.term = t))"
     occurrence = (
         "CASE WHEN element_at(c.terms, -1) <> x.term THEN element_at(a.seen, k + 1).start "
         f"WHEN size(c.terms) = 1 THEN x.pos * {_PACK} + x.i "
@@ -186,14 +188,16 @@ def evaluate_sql(hits: str, query: str) -> str:
         f"exists({_alternatives('a.seen')}, alt -> "
         "forall(a.seen, s -> s.alt <> alt OR (s.start > 0) <> s.negated))"
     )
-    return (
-        f"aggregate(transform({hits}, (h, i) -> named_struct('pos', cast(h.pos AS bigint), "
+    fold = (
+        "aggregate(transform(hits, (h, i) -> named_struct('pos', cast(h.pos AS bigint), "
         "'term', h.term, 'i', i + 1)), "
         f"named_struct('seen', transform({query}, c -> named_struct('alt', c.alt, "
         "'negated', c.negated, 'start', 0L)), 'best', 0L, 'score', 0.0D), "
         f"(a, x) -> {merge}, "
         f"a -> named_struct('matched', {matched}, 'score', a.score))"
     )
+    # Bound once: the fold looks back into the hits.
+    return let("hits", hits, fold)
 
 
 def query_literal(query) -> str:

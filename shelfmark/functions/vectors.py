@@ -46,10 +46,18 @@ def term_buckets_sql(text: str, dimension: int, analyzer: Analyzer = PLAIN) -> s
 
 def hashed_vector_sql(text: str, dimension: int = 64, analyzer: Analyzer = PLAIN) -> str:
     """Term counts per bucket, scaled to unit length; all zero without terms, NULL for NULL."""
+    # Runs of equal buckets in sorted order, as map entries; a last -1 ends them.
+    runs = (
+        f"aggregate(concat(sort_array({term_buckets_sql(text, dimension, analyzer)}), array(-1)), "
+        "named_struct('key', -1, 'value', 0, "
+        "'runs', cast(array() AS array<struct<key:int,value:int>>)), "
+        "(a, b) -> if(a.key = b, named_struct('key', b, 'value', a.value + 1, 'runs', a.runs), "
+        "named_struct('key', b, 'value', 1, 'runs', if(a.value = 0, a.runs, "
+        "concat(a.runs, array(named_struct('key', a.key, 'value', a.value)))))), a -> a.runs)"
+    )
     counts = let(
-        "buckets", term_buckets_sql(text, dimension, analyzer),
-        f"transform(sequence(0, {dimension - 1}), "
-        "i -> size(buckets) - size(array_remove(buckets, i)))",
+        "m", f"map_from_entries({runs})",
+        f"transform(sequence(0, {dimension - 1}), i -> coalesce(try_element_at(m, i), 0))",
     )
     norm = "sqrt(cast(aggregate(n, 0L, (s, v) -> s + cast(v AS bigint) * v) AS double))"
     vector = let(

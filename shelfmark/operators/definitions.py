@@ -30,8 +30,11 @@ def extract_definitions(files: DataFrame) -> DataFrame:
     found = supported(files).select(
         "file_id", F.expr(definitions_sql("body", "language")).alias("_found")
     )
-    return found.select("file_id", F.posexplode("_found").alias("ordinal", "_d")).select(
-        "file_id", "ordinal", "_d.*"
+    # The outer form does not compute the array once more to filter by its size.
+    return (
+        found.select("file_id", F.posexplode_outer("_found").alias("ordinal", "_d"))
+        .where("ordinal IS NOT NULL")
+        .select("file_id", "ordinal", "_d.*")
     )
 
 

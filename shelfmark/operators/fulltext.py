@@ -24,9 +24,13 @@ def analyze(table: DataFrame, text: str, analyzer: Analyzer = ENGLISH) -> DataFr
 
 
 def terms(table: DataFrame, *keys: str) -> DataFrame:
-    """``keys, term, pos``: one row per searchable word of ``fts``."""
+    """``keys, term, pos``: one row per searchable word of ``fts``.
+
+    The outer form, because the plain one filters by the array's size first and
+    would compute the lexemes again for that. The filter drops its NULL rows.
+    """
     return (
-        table.select(*keys, F.posexplode("fts").alias("_at", "term"))
+        table.select(*keys, F.posexplode_outer("fts").alias("_at", "term"))
         .where("term <> ''")
         .select(*keys, "term", (F.col("_at") + 1).alias("pos"))
     )
@@ -93,8 +97,14 @@ def web_query(spark: SparkSession, text: str, analyzer: Analyzer = ENGLISH) -> W
 
 
 def _evaluated(rows: DataFrame, query: WebQuery) -> DataFrame:
-    result = rows.select("id", F.expr(evaluate_sql("hits", query.literal)).alias("_r"))
-    return result.where("_r.matched").select("id", F.col("_r.score").alias("score"))
+    # Unmatched rows leave through an array of none or one, so that no filter
+    # evaluates the query a second time.
+    result = F.expr(f"filter(array({evaluate_sql('hits', query.literal)}), r -> r.matched)")
+    return (
+        rows.select("id", F.explode_outer(result).alias("_r"))
+        .where("_r IS NOT NULL")
+        .select("id", F.col("_r.score").alias("score"))
+    )
 
 
 def keyword_scores(table: DataFrame, query: WebQuery) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -9,14 +11,32 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from shelfmark.functions.content import checksum
 from shelfmark.functions.sentences import lead_sentences
 from shelfmark.functions.text import PLAIN
-from shelfmark.operators.fulltext import analyze
+from shelfmark.operators.fulltext import analyze, cluster_postings, postings
+from shelfmark.session import shared_folder
+from shelfmark.sources.tables import read_table, spread
 
 AS_OF = datetime(2024, 1, 1)
 EARLIER = datetime(2023, 1, 1)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return read_table(spark, f"{folder}/{name}.parquet")
+
+
+_STORED: dict[tuple, str] = {}
+
+
+def stored(spark: SparkSession, folder: str, name: str, build: Callable[..., DataFrame]) -> DataFrame:
+    """A derived table, written once per session to the shared folder.
+
+    Searches run over stored lexemes and vectors, as after an indexing run.
+    """
+    key = (spark.sparkContext.applicationId, folder, name)
+    if key not in _STORED:
+        location = f"{shared_folder(spark)}/corpus-{uuid.uuid4().hex}/{name}"
+        build(spark, folder).write.parquet(location)
+        _STORED[key] = location
+    return read_table(spark, _STORED[key])
 
 
 def document_paths(documents: DataFrame) -> DataFrame:
@@ -41,6 +61,18 @@ def files(spark: SparkSession, folder: str) -> DataFrame:
     return analyze(rows, "concat(path, ' ', coalesce(summary, ''))", PLAIN)
 
 
+def texts(spark: SparkSession, folder: str) -> DataFrame:
+    """The whole document texts as searchable rows."""
+    rows = document_paths(spread(table(spark, folder, "documents"))).select(
+        F.col("doc_id").alias("id"), "project_id", "text"
+    )
+    return analyze(rows, "text", PLAIN).select("id", "project_id", "fts")
+
+
+def text_postings(spark: SparkSession, folder: str) -> DataFrame:
+    return cluster_postings(postings(stored(spark, folder, "texts", texts)))
+
+
 def talk_paths(talks: DataFrame) -> DataFrame:
     return talks.withColumn("path", F.expr("concat('talks/', conv_id, '_', turn, '.py')"))
 
@@ -228,7 +260,7 @@ CLEAN = "regexp_replace(text, '[^A-Za-z0-9 ,.\n]', '_', 'g')"
 
 def source_files(spark: SparkSession, folder: str) -> DataFrame:
     """Two source files per document, each holding its whole text."""
-    documents = table(spark, folder, "documents").withColumn(
+    documents = spread(table(spark, folder, "documents")).withColumn(
         "clean", F.regexp_replace("text", "[^A-Za-z0-9 ,.\n]", "_")
     )
     def body(template: str):

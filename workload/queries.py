@@ -22,6 +22,7 @@ from shelfmark.operators import fulltext, identity, projects, ranking
 from shelfmark.plans import search, table_functions
 from shelfmark.session import shared_folder
 from shelfmark.sources.snapshots import SnapshotStore
+from shelfmark.sources.tables import spread
 from workload import corpus
 from workload.corpus import AS_OF, table
 
@@ -370,14 +371,14 @@ def summarize_lead(spark, folder):
 
 def _vector_rows(rows: DataFrame, key: str) -> DataFrame:
     vectors = rows.select(key, F.expr(hashed_vector_sql("text", 64)).alias("vector"))
-    return vectors.select(key, F.posexplode("vector").alias("bucket", "weight")).select(
+    return vectors.select(key, F.posexplode_outer("vector").alias("bucket", "weight")).select(
         key, "bucket", F.round(F.col("weight").cast("double"), 5).alias("weight")
     )
 
 
 @query
 def embed_hashing(spark, folder):
-    return _vector_rows(table(spark, folder, "documents"), "doc_id")
+    return _vector_rows(spread(table(spark, folder, "documents")), "doc_id")
 
 
 @query
@@ -388,22 +389,22 @@ def query_embedding(spark, folder):
 # Full text
 
 
-def _texts(spark, folder) -> DataFrame:
-    """The whole texts as searchable rows."""
-    rows = corpus.document_paths(table(spark, folder, "documents")).select(
-        F.col("doc_id").alias("id"), "project_id", "text"
-    )
-    return fulltext.analyze(rows, "text", PLAIN).select("id", "project_id", "fts")
+def _stored_texts(spark, folder) -> DataFrame:
+    return corpus.stored(spark, folder, "texts", corpus.texts)
+
+
+def _stored_files(spark, folder) -> DataFrame:
+    return corpus.stored(spark, folder, "files", corpus.files)
 
 
 @query
 def analyze_terms(spark, folder):
-    return fulltext.terms(_texts(spark, folder), "id")
+    return fulltext.terms(corpus.texts(spark, folder), "id")
 
 
 @query
 def postings(spark, folder):
-    return fulltext.cluster_postings(fulltext.postings(_texts(spark, folder)))
+    return fulltext.cluster_postings(fulltext.postings(corpus.texts(spark, folder)))
 
 
 @query
@@ -420,7 +421,7 @@ def web_query(spark, folder):
 
 def _scores(spark, folder, text: str) -> DataFrame:
     parsed = fulltext.web_query(spark, text, PLAIN)
-    return fulltext.keyword_scores(_texts(spark, folder), parsed).select(
+    return fulltext.keyword_scores(_stored_texts(spark, folder), parsed).select(
         "id", F.round("score", 6).alias("score")
     )
 
@@ -453,14 +454,14 @@ def cover_density_rank(spark, folder):
 @query
 def keyword_topk(spark, folder):
     parsed = fulltext.web_query(spark, "tion thre", PLAIN)
-    scores = fulltext.keyword_scores(_texts(spark, folder), parsed)
+    scores = fulltext.keyword_scores(_stored_texts(spark, folder), parsed)
     return ranking.keyword_topk(scores, 20).select("id", "rank")
 
 
 @query
 def keyword_topk_postings(spark, folder):
     parsed = fulltext.web_query(spark, "tion thre", PLAIN)
-    index = fulltext.postings(_texts(spark, folder))
+    index = corpus.stored(spark, folder, "text_postings", corpus.text_postings)
     scores = fulltext.keyword_scores_from_postings(index, parsed)
     return ranking.keyword_topk(scores, 20).select("id", "rank")
 
@@ -470,7 +471,7 @@ def keyword_topk_postings(spark, folder):
 
 @query
 def cosine_distance(spark, folder):
-    rows = corpus.files(spark, folder).select("id", "embedding")
+    rows = _stored_files(spark, folder).select("id", "embedding")
     return ranking.distances(rows, corpus.query_vector(spark, folder)).select(
         "id", F.round("distance", 6).alias("distance")
     )
@@ -478,17 +479,17 @@ def cosine_distance(spark, folder):
 
 @query
 def vectors_present(spark, folder):
-    return ranking.vectors_present(corpus.files(spark, folder)).select("id")
+    return ranking.vectors_present(_stored_files(spark, folder)).select("id")
 
 
 @query
 def semantic_topk(spark, folder):
-    rows = corpus.files(spark, folder).select("id", "embedding")
+    rows = _stored_files(spark, folder).select("id", "embedding")
     return ranking.semantic_topk(rows, corpus.query_vector(spark, folder), 20).select("id", "rank")
 
 
 def _fused(spark, folder) -> DataFrame:
-    files = corpus.files(spark, folder)
+    files = _stored_files(spark, folder)
     parsed = fulltext.web_query(spark, SEARCH_TEXT, PLAIN)
     return ranking.fuse(
         ranking.semantic_topk(files, corpus.query_vector(spark, folder), 20),
@@ -510,9 +511,13 @@ def fused_topk(spark, folder):
     return _rounded(ranking.best_fused(_fused(spark, folder), 10))
 
 
+def _stored_functions(spark, folder) -> DataFrame:
+    return corpus.stored(spark, folder, "functions", corpus.searchable_functions)
+
+
 def _search_files(spark, folder, **options) -> DataFrame:
     return search.hybrid_search_files(
-        corpus.files(spark, folder), corpus.query_vector(spark, folder), SEARCH_TEXT,
+        _stored_files(spark, folder), corpus.query_vector(spark, folder), SEARCH_TEXT,
         analyzer=PLAIN, **options,
     )
 
@@ -535,14 +540,14 @@ def hybrid_search_files_file(spark, folder):
 @query
 def hybrid_search_functions(spark, folder):
     return _rounded(search.hybrid_search_functions(
-        corpus.searchable_functions(spark, folder), corpus.files(spark, folder),
+        _stored_functions(spark, folder), _stored_files(spark, folder),
         corpus.query_vector(spark, folder), "tion or erin", analyzer=PLAIN,
     ))
 
 
 @query
 def sql_table_function(spark, folder):
-    corpus.files(spark, folder).createOrReplaceTempView("shelfmark_files")
+    _stored_files(spark, folder).createOrReplaceTempView("shelfmark_files")
     table_functions.create_file_search(
         spark, "hybrid_search_files", "shelfmark_files", analyzer=PLAIN
     )
@@ -553,8 +558,8 @@ def sql_table_function(spark, folder):
 
 @query
 def sql_table_function_functions(spark, folder):
-    corpus.files(spark, folder).createOrReplaceTempView("shelfmark_files")
-    corpus.searchable_functions(spark, folder).createOrReplaceTempView("shelfmark_functions")
+    _stored_files(spark, folder).createOrReplaceTempView("shelfmark_files")
+    _stored_functions(spark, folder).createOrReplaceTempView("shelfmark_functions")
     table_functions.create_function_search(
         spark, "hybrid_search_functions", "shelfmark_functions", "shelfmark_files", analyzer=PLAIN
     )
