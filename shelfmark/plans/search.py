@@ -54,21 +54,31 @@ def _best(
     return best_fused(fused, match_count)
 
 
+def _rows_by_id(table: DataFrame, ids: list[int]) -> DataFrame:
+    """Rows with the given ids; the list reaches the scan as a filter."""
+    return table.where(F.col("id").isin(ids) if ids else F.lit(False))
+
+
 def _fetch(table: DataFrame, best: DataFrame, fetch: str) -> DataFrame:
     """Rows of ``table`` for the at most ``match_count`` ids of ``best``.
 
-    "join" stays lazy. "ids" runs the ranking now and hands the ids to the scan
-    as a literal filter, so wide columns are read from few row groups.
+    "ids" runs the ranking now and hands its few ids to the scan, which then
+    reads the wide columns of few row groups. "join" stays lazy and reads the
+    columns of all rows.
     """
     if fetch == "ids":
         rows = best.collect()
         best = table.sparkSession.createDataFrame(rows, "id long, rrf_score double")
-        table = table.where(F.col("id").isin([r["id"] for r in rows]) if rows else F.lit(False))
+        table = _rows_by_id(table, [r["id"] for r in rows])
     elif fetch != "join":
         raise ValueError(f"unknown fetch mode {fetch!r}")
     return table.join(F.broadcast(best), "id")
 
 
+def _in_order(found: DataFrame, match_count: int) -> DataFrame:
+    return found.orderBy(F.col("rrf_score").desc(), "id").limit(match_count)
+
+
 def hybrid_search_files(
     files: DataFrame,
     query_embedding: Sequence[float],
@@ -80,7 +90,7 @@ def hybrid_search_files(
     *,
     analyzer: Analyzer = ENGLISH,
     postings: DataFrame | None = None,
-    fetch: str = "join",
+    fetch: str = "ids",
 ) -> DataFrame:
     """``id, project_id, path, summary, rrf_score``, best first.
 
@@ -91,9 +101,7 @@ def hybrid_search_files(
         {"project_id": p_project_id, "id": p_file_id},
     )
     found = _fetch(files.select("id", "project_id", "path", "summary"), best, fetch)
-    return found.select("id", "project_id", "path", "summary", "rrf_score").orderBy(
-        F.col("rrf_score").desc(), "id"
-    )
+    return _in_order(found.select("id", "project_id", "path", "summary", "rrf_score"), match_count)
 
 
 def hybrid_search_functions(
@@ -107,7 +115,7 @@ def hybrid_search_functions(
     *,
     analyzer: Analyzer = ENGLISH,
     postings: DataFrame | None = None,
-    fetch: str = "join",
+    fetch: str = "ids",
 ) -> DataFrame:
     """``id, file_id, project_id, path, name, summary, body, rrf_score``, best first."""
     best = _best(
@@ -117,13 +125,14 @@ def hybrid_search_functions(
     found = _fetch(
         functions.select("id", "file_id", "project_id", "name", "summary", "body"), best, fetch
     )
-    paths = files.select(F.col("id").alias("file_id"), "path")
+    owners = files.select("id", "path")
+    if fetch == "ids":
+        owners = _rows_by_id(owners, [r["file_id"] for r in found.select("file_id").collect()])
     # At most match_count rows are left, so they are the small side here.
-    return (
-        paths.join(F.broadcast(found), "file_id")
-        .select("id", "file_id", "project_id", "path", "name", "summary", "body", "rrf_score")
-        .orderBy(F.col("rrf_score").desc(), "id")
+    joined = owners.withColumnRenamed("id", "file_id").join(F.broadcast(found), "file_id").select(
+        "id", "file_id", "project_id", "path", "name", "summary", "body", "rrf_score"
     )
+    return _in_order(joined, match_count)
 
 
 def format_results(results: DataFrame) -> DataFrame:

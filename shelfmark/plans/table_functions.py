@@ -22,7 +22,9 @@ def _fused_sql(table: str, filters: str, analyzer: Analyzer) -> str:
 
     LIMIT takes no argument, so the cuts are written as ``rank <= n``; Catalyst
     turns them into a top-n below the window. The query is parsed in an
-    aggregate over one row, so it is evaluated once.
+    aggregate over one row, so it is evaluated once. That single row meets the
+    table as the condition of a join, since a function's arguments may not be
+    used in a scalar subquery; no rows are multiplied.
     """
     return f"""
     query AS (SELECT first({web_query_sql('query_text', analyzer)}) AS clauses),
