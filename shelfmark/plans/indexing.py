@@ -64,8 +64,9 @@ def run_index(
     ``metadata`` has ``git_url, symbolic_ref, remote_text``.
     """
     run = store.begin()
-    old_projects, old_files = store.read("projects"), store.read("files")
-    old_functions = store.read("functions")
+    old_projects, old_files, old_functions = (
+        run.read(table) for table in ("projects", "files", "functions")
+    )
 
     projects = run.write(
         "projects",

@@ -49,7 +49,10 @@ class SnapshotStore:
 
     def read(self, table: str) -> DataFrame:
         """A table of the newest snapshot; empty before the first run."""
-        newest = self.latest()
+        return self.read_at(self.latest(), table)
+
+    def read_at(self, newest, table: str) -> DataFrame:
+        """A table of the snapshot that a manifest row names."""
         schema = _POSTINGS_SCHEMA if table in POSTINGS else TABLES[table]
         if newest is None:
             return self.spark.createDataFrame([], schema)
@@ -67,9 +70,14 @@ class Run:
 
     def __init__(self, store: SnapshotStore, newest):
         self.store = store
+        self.newest = newest
         self.run = uuid.uuid4().hex
         self.version = (newest["version"] if newest else 0) + 1
 
+    def read(self, table: str) -> DataFrame:
+        """A table as it was when this run began."""
+        return self.store.read_at(self.newest, table)
+
     def write(self, table: str, rows: DataFrame) -> DataFrame:
         """Write a table of this run and return it as stored."""
         schema = TABLES[table]

@@ -279,3 +279,24 @@ def source_files(spark: SparkSession, folder: str) -> DataFrame:
         body(SCRIPT_SOURCE).alias("body"),
     )
     return python.unionByName(script).unionByName(other)
+
+
+def repository_scan(spark: SparkSession, folder: str, edited: bool = False) -> DataFrame:
+    """Every document as a source file of its project's repository.
+
+    With ``edited``, the files of good documents start with one more line.
+    """
+    good = table(spark, folder, "labels").where("quality = 1").select("doc_id").distinct()
+    documents = (
+        document_paths(spread(table(spark, folder, "documents")))
+        .join(good.withColumn("_good", F.lit(True)), "doc_id", "left")
+        .withColumn("clean", F.regexp_replace("text", "[^A-Za-z0-9 ,.\n]", "_"))
+    )
+    python, script = (
+        F.expr(source_text(t, quote="\\'")) for t in (PYTHON_SOURCE, SCRIPT_SOURCE)
+    )
+    body = F.when(F.col("lang") == "en", python).otherwise(script)
+    if edited:
+        line = F.when(F.col("lang") == "en", "# edited\n").otherwise("// edited\n")
+        body = F.when(F.col("_good"), F.concat(line, body)).otherwise(body)
+    return documents.select("git_url", "path", body.cast("binary").alias("content"))

@@ -284,8 +284,8 @@ def _between(template: str, start: str, end: str) -> str:
     return source_text(template[at : template.index(end, at) + len(end)])
 
 
-_DEFINITIONS = f"""
-WITH cleaned AS (
+_FOUND = f"""
+cleaned AS (
     SELECT doc_id, lang, source, clean, length(clean) - length(replace(clean, {_NEW_LINE}, '')) AS k
     FROM (SELECT *, {CLEAN} AS clean FROM documents)),
 found AS (
@@ -302,8 +302,7 @@ UNION ALL
              _between(SCRIPT_SOURCE, 'constructor', 'super(first); }}'))}
 UNION ALL
 {_definition('doc_id * 2 + 1', 2, 'lang', '12 + k', '14 + k',
-             _between(SCRIPT_SOURCE, 'static get', f"';{chr(10)}  }}}}"))})
-SELECT *, rtrim(split_part(body, {_NEW_LINE}, 1)) AS signature, sha256(body) AS checksum FROM found"""
+             _between(SCRIPT_SOURCE, 'static get', f"';{chr(10)}  }}}}"))})"""
 
 ORACLES: dict[str, str] = {
     "decode_lossy_text": "SELECT doc_id, text || chr(65533) || source AS body FROM documents",
@@ -401,7 +400,27 @@ ORACLES: dict[str, str] = {
         GROUP BY 1 HAVING count(*) > 1""",
     "assign_ids": f"""WITH {_DOCUMENTS}
         SELECT path, cast(7 + {_numbered('path')} AS BIGINT) AS id FROM documents_as_files""",
-    "extract_definitions": _DEFINITIONS,
+    "extract_definitions": f"""WITH {_FOUND}
+        SELECT *, rtrim(split_part(body, {_NEW_LINE}, 1)) AS signature, sha256(body) AS checksum
+        FROM found""",
+    "indexed_functions": f"""WITH {_DOCUMENTS}, {_FOUND},
+        counted AS (
+            SELECT git_url, {_counted('path')} AS language, count(*) AS files, min(path) AS first_path
+            FROM documents_as_files GROUP BY 1, 2),
+        main_language AS (
+            SELECT git_url, language FROM counted
+            QUALIFY row_number() OVER (PARTITION BY git_url ORDER BY files DESC, first_path) = 1),
+        indexed AS (
+            SELECT d.path, f.*, CASE WHEN doc_id IN (SELECT doc_id FROM labels WHERE quality = 1)
+                                     THEN 1 ELSE 0 END AS shift
+            FROM documents_as_files d JOIN main_language m ON m.git_url = d.git_url
+            JOIN found f ON f.file_id = d.doc_id * 2 + CASE d.lang WHEN 'en' THEN 0 ELSE 1 END
+            WHERE m.language = {_counted('path')} AND m.language IN ('Python', 'JavaScript', 'TypeScript'))
+        SELECT path, name, cast(start_line + shift AS INTEGER) AS start_line,
+               cast(end_line + shift AS INTEGER) AS end_line, sha256(body) AS checksum,
+               CASE WHEN shift = 1 OR NOT regexp_matches(body, '[.!?]') THEN '2024-01-01'
+                    ELSE '2023-01-01' END AS last_updated
+        FROM indexed""",
     "summarize_lead": f"""SELECT doc_id, {_lead('text', 8)} AS file_summary,
         {_lead('text', 3)} AS function_summary FROM documents""",
     "embed_hashing": _hashed("documents", "doc_id"),

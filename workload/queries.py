@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -20,6 +21,7 @@ from shelfmark.operators import definitions as defs
 from shelfmark.operators import files as file_ops
 from shelfmark.operators import fulltext, identity, projects, ranking
 from shelfmark.plans import search, table_functions
+from shelfmark.plans.indexing import run_index
 from shelfmark.session import shared_folder
 from shelfmark.sources.snapshots import SnapshotStore
 from shelfmark.sources.tables import spread
@@ -357,6 +359,24 @@ def extract_definitions(spark, folder):
     )
 
 
+@query
+def indexed_functions(spark, folder):
+    """Two indexing runs over all documents, the second with edited files."""
+    store = SnapshotStore(spark, f"{shared_folder(spark)}/indexed-{uuid.uuid4().hex}")
+    for as_of, edited in ((corpus.EARLIER, False), (AS_OF, True)):
+        scan = corpus.repository_scan(spark, folder, edited)
+        metadata = table(spark, folder, "documents").select("source").distinct().select(
+            F.concat(F.lit("https://example.org/"), "source", F.lit(".git")).alias("git_url"),
+            F.lit("refs/remotes/origin/main").alias("symbolic_ref"),
+            F.lit(None).cast("string").alias("remote_text"),
+        )
+        run_index(store, scan, metadata, as_of, analyzer=PLAIN)
+    paths = store.read("files").select(F.col("id").alias("file_id"), "path")
+    return store.read("functions").join(paths, "file_id").select(
+        "path", "name", "start_line", "end_line", "checksum", _time()
+    )
+
+
 # Models
 
 
