@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from shelfmark.functions.definitions import definitions_sql
 from shelfmark.functions.fixed_values import DEFINITION_LANGUAGES
+from shelfmark.functions.sqltext import let
 from shelfmark.functions.text import ENGLISH, Analyzer, lexemes_sql
 from shelfmark.operators.enrichment import Model, enrich, hashed_embedding, lead_summary
 from shelfmark.operators.identity import highest_id, number_rows
@@ -22,19 +23,27 @@ def supported(files: DataFrame) -> DataFrame:
     return files.where(F.col("language").isin(*DEFINITION_LANGUAGES))
 
 
-def extract_definitions(files: DataFrame) -> DataFrame:
+def extract_definitions(
+    files: DataFrame, *keep: str, one_per_line: bool = False
+) -> DataFrame:
     """One row per definition in ``files(file_id, language, body)``.
 
-    Files are worked on where they are; nothing is shuffled.
+    Files are worked on where they are; nothing is shuffled. ``keep`` names
+    further columns to carry along. With ``one_per_line`` only the last of
+    several definitions on a line stays; they are neighbours in source order.
     """
-    found = supported(files).select(
-        "file_id", F.expr(definitions_sql("body", "language")).alias("_found")
-    )
+    found = definitions_sql("body", "language")
+    if one_per_line:
+        found = let(
+            "every", found,
+            "filter(every, (d, i) -> NOT get(every, i + 1).start_line <=> d.start_line)",
+        )
+    listed = supported(files).select("file_id", *keep, F.expr(found).alias("_found"))
     # The outer form does not compute the array once more to filter by its size.
     return (
-        found.select("file_id", F.posexplode_outer("_found").alias("ordinal", "_d"))
+        listed.select("file_id", *keep, F.posexplode_outer("_found").alias("ordinal", "_d"))
         .where("ordinal IS NOT NULL")
-        .select("file_id", "ordinal", "_d.*")
+        .select("file_id", *keep, "ordinal", "_d.*")
     )
 
 

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from shelfmark.functions.vectors import cosine_distance_sql, vector_literal
 from shelfmark.operators.fulltext import rank_order
 
 
@@ -26,10 +27,32 @@ def vectors_present(table: DataFrame) -> DataFrame:
 
 
 def distances(table: DataFrame, query_embedding: Sequence[float]) -> DataFrame:
-    """``(id, distance)``: exact cosine distance of every stored vector."""
-    literal = vector_literal(query_embedding)
-    return vectors_present(table).select(
-        "id", F.expr(cosine_distance_sql("embedding", literal)).alias("distance")
+    """``(id, distance)``: exact cosine distance of every stored vector.
+
+    Computed on Arrow batches: measured several times as fast as higher-order
+    functions, more so the longer the vectors. Each row is summed by itself, so
+    equal vectors have equal distances wherever they lie.
+    """
+    query = np.asarray(query_embedding, dtype=np.float32).astype(np.float64)
+    query_squared = float((query * query).sum())
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            vectors = batch.column(1)
+            sizes = vectors.value_lengths().to_numpy(zero_copy_only=False)
+            if (sizes != len(query)).any():
+                raise ValueError(f"a stored vector differs from the query's {len(query)} dimensions")
+            values = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+            rows = values.reshape(len(sizes), len(query))
+            with np.errstate(divide="ignore", invalid="ignore"):
+                similarity = (rows * query).sum(axis=1) / np.sqrt(
+                    (rows * rows).sum(axis=1) * query_squared
+                )
+            distance = pa.array(1.0 - np.clip(similarity, -1.0, 1.0))
+            yield pa.RecordBatch.from_arrays([batch.column(0), distance], ["id", "distance"])
+
+    return vectors_present(table).select("id", "embedding").mapInArrow(
+        measure, "id long, distance double"
     )
 
 

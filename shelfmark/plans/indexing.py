@@ -15,7 +15,7 @@ from shelfmark.operators.definitions import (
     diff_functions,
     enrich_functions,
     extract_definitions,
-    last_per_line,
+    supported,
 )
 from shelfmark.operators.enrichment import Model
 from shelfmark.operators.files import (
@@ -85,14 +85,12 @@ def run_index(
     changed = files.select("id", "checksum").join(
         old_files.select("id", "checksum"), ["id", "checksum"], "left_anti"
     )
-    sources = files.join(changed.select("id"), "id", "left_semi").select(
-        F.col("id").alias("file_id"), "project_id", "body",
-        indexed_language(F.col("path")).alias("language"),
+    candidates = supported(files.withColumn("language", indexed_language(F.col("path"))))
+    sources = candidates.join(changed.select("id"), "id", "left_semi").select(
+        F.col("id").alias("file_id"), "project_id", "body", "language"
     )
-    owners = files.select(F.col("id").alias("file_id"), "project_id")
     definitions = run.set_aside(
-        "definitions",
-        last_per_line(extract_definitions(sources)).join(owners, "file_id"),
+        "definitions", extract_definitions(sources, "project_id", one_per_line=True)
     )
     changed_files = changed.select(F.col("id").alias("file_id"))
     diff = run.set_aside("diff", diff_functions(old_functions, definitions, changed_files))

@@ -59,20 +59,28 @@ def _rows_by_id(table: DataFrame, ids: list[int]) -> DataFrame:
     return table.where(F.col("id").isin(ids) if ids else F.lit(False))
 
 
-def _fetch(table: DataFrame, best: DataFrame, fetch: str) -> DataFrame:
+# Up to this many results travel as an id list or as a broadcast table.
+FEW_RESULTS = 10000
+
+
+def _small(rows: DataFrame, match_count: int) -> DataFrame:
+    return F.broadcast(rows) if match_count <= FEW_RESULTS else rows
+
+
+def _fetch(table: DataFrame, best: DataFrame, match_count: int, fetch: str) -> DataFrame:
     """Rows of ``table`` for the at most ``match_count`` ids of ``best``.
 
     "ids" runs the ranking now and hands its few ids to the scan, which then
     reads the wide columns of few row groups. "join" stays lazy and reads the
-    columns of all rows.
+    columns of all rows; it also serves very long result lists.
     """
-    if fetch == "ids":
+    if fetch not in ("ids", "join"):
+        raise ValueError(f"unknown fetch mode {fetch!r}")
+    if fetch == "ids" and match_count <= FEW_RESULTS:
         rows = best.collect()
         best = table.sparkSession.createDataFrame(rows, "id long, rrf_score double")
         table = _rows_by_id(table, [r["id"] for r in rows])
-    elif fetch != "join":
-        raise ValueError(f"unknown fetch mode {fetch!r}")
-    return table.join(F.broadcast(best), "id")
+    return table.join(_small(best, match_count), "id")
 
 
 def _in_order(found: DataFrame, match_count: int) -> DataFrame:
@@ -100,7 +108,7 @@ def hybrid_search_files(
         files, query_embedding, query_text, match_count, rrf_k, analyzer, postings,
         {"project_id": p_project_id, "id": p_file_id},
     )
-    found = _fetch(files.select("id", "project_id", "path", "summary"), best, fetch)
+    found = _fetch(files.select("id", "project_id", "path", "summary"), best, match_count, fetch)
     return _in_order(found.select("id", "project_id", "path", "summary", "rrf_score"), match_count)
 
 
@@ -123,13 +131,15 @@ def hybrid_search_functions(
         {"project_id": p_project_id},
     )
     found = _fetch(
-        functions.select("id", "file_id", "project_id", "name", "summary", "body"), best, fetch
+        functions.select("id", "file_id", "project_id", "name", "summary", "body"), best,
+        match_count, fetch,
     )
     owners = files.select("id", "path")
-    if fetch == "ids":
+    if fetch == "ids" and match_count <= FEW_RESULTS:
         owners = _rows_by_id(owners, [r["file_id"] for r in found.select("file_id").collect()])
-    # At most match_count rows are left, so they are the small side here.
-    joined = owners.withColumnRenamed("id", "file_id").join(F.broadcast(found), "file_id").select(
+    joined = owners.withColumnRenamed("id", "file_id").join(
+        _small(found, match_count), "file_id"
+    ).select(
         "id", "file_id", "project_id", "path", "name", "summary", "body", "rrf_score"
     )
     return _in_order(joined, match_count)
