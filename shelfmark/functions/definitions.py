@@ -88,13 +88,13 @@ def python_definitions_sql(text: str) -> str:
     features = (
         f"filter(transform(split({masked_sql(text, _PY_TOKENS)}, '\\n', -1), (l, i) -> named_struct("
         "'n', i + 1, "
-        f"'cut', length(regexp_replace(l, {raw('[ \\t\\r\\f]+$')}, '')), "
-        f"'indent', length(regexp_extract(l, {raw('^[ \\t]*')}, 0)), "
+        "'cut', length(trim(TRAILING concat(' \\t\\r', char(12)) FROM l)), "
+        "'indent', length(l) - length(trim(LEADING ' \\t' FROM l)), "
         "'inside', left(l, 1) = char(1), "
         f"'delta', {let('b', _brackets('l'), _balance('b', '([{', ')]}'))}, "
-        f"'joined', l RLIKE {raw('\\\\\\r?$')}, "
-        f"'name', regexp_extract(l, {name}, 1), "
-        f"'class', l RLIKE {raw('^class\\b')})), f -> f.cut > 0)"
+        "'joined', substr(l, -1) = '\\\\' OR substr(l, -2) = '\\\\\\r', "
+        f"'name', if(instr(l, 'def') > 0, regexp_extract(l, {name}, 1), ''), "
+        f"'class', left(l, 5) = 'class' AND l RLIKE {raw('^class\\b')})), f -> f.cut > 0)"
     )
     open_type = "struct<name:string,line:int,col:int>"
     found_type = "struct<name:string,line:int,col:int,last:int,cut:int>"
