@@ -74,7 +74,7 @@ def stored_lookup(spark, folder):
 @query
 def snapshot_roundtrip(spark, folder):
     """Write all three tables as a snapshot, publish it, read it back."""
-    store = SnapshotStore(spark, f"{shared_folder(spark)}/snapshot-roundtrip")
+    store = SnapshotStore(spark, f"{shared_folder(spark)}/snapshot-{uuid.uuid4().hex}")
     run = store.begin()
     sources = table(spark, folder, "documents").select("source").distinct()
     run.write("projects", sources.select(
