@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfmark.llm import simhash
+from shelfmark.llm import decontamination, language, simhash
 from shelfmark.llm.frames import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,18 @@ def query(function: Query) -> Query:
     return function
 
 
+@query
+def op4_benchmark_decontamination(spark, folder):
+    return decontamination.leaked_pairs(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
+
+
+@query
+def op9_language_id(spark, folder):
+    docs = read(spark, folder, "documents").select("doc_id", "text", "lang")
+    found = language.identify(docs.select("doc_id", "text"), language.train(docs))
+    return found.select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score")
+
+
 @query
 def op10_simhash_near_dedup(spark, folder):
     groups = simhash.simhash_components(read(spark, folder, "documents"))
