@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfmark.llm import decontamination, language, simhash
+from shelfmark.llm import decontamination, language, personal, simhash
 from shelfmark.llm.frames import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,21 @@ def op4_benchmark_decontamination(spark, folder):
     return decontamination.leaked_pairs(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
 
 
+def _joined(spans: str) -> str:
+    return f"array_join(transform({spans}, s -> concat_ws(':', s.kind, s.start, s.end)), ',')"
+
+
+@query
+def op6_pii(spark, folder):
+    docs = read(spark, folder, "documents").select("doc_id", "text")
+    found = personal.with_spans(docs, personal.train(docs)).select("doc_id", "pii")
+    counts = [f"cast(size(filter(pii, s -> s.base and s.kind = '{k}')) as bigint) as n_{k}" for k in personal.KINDS]
+    return found.selectExpr(
+        "doc_id", *counts, f"sha2({_joined('filter(pii, s -> s.base)')}, 256) as base_sha256",
+        f"{_joined('pii')} as spans",
+    )
+
+
 @query
 def op9_language_id(spark, folder):
     docs = read(spark, folder, "documents").select("doc_id", "text", "lang")
