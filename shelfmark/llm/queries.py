@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfmark.llm import decontamination, language, personal, simhash
+from shelfmark.llm import decontamination, language, personal, pieces, simhash
 from shelfmark.llm.frames import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,18 @@ def query(function: Query) -> Query:
     return function
 
 
+def tokenizer_path(name: str = "piece_bpe_32k.model") -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
+@query
+def op3_sentencepiece(spark, folder):
+    docs = read(spark, folder, "documents").select("doc_id", "text")
+    return pieces.digests(docs, pieces.Model.from_file(tokenizer_path())).drop("text")
+
+
 @query
 def op4_benchmark_decontamination(spark, folder):
     return decontamination.leaked_pairs(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
