@@ -3,3 +3,66 @@
 from __future__ import annotations
 
 ORACLES: dict[str, str] = {}
+
+ORACLES["op1_quality_rules"] = r"""
+WITH split AS (
+    SELECT doc_id, coalesce(text, '') AS text,
+        regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
+        list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+    FROM documents
+), windows AS (
+    SELECT doc_id, i, array_to_string(words[i:i + 4], ' ') AS w
+    FROM (SELECT doc_id, words, unnest(range(1, len(words) - 3)) AS i FROM split WHERE len(words) >= 5)
+), often AS (
+    SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, w) AS n FROM windows) WHERE n > 1
+), repeated AS (
+    SELECT doc_id, count(DISTINCT i + k) AS n FROM often, range(5) AS r(k) GROUP BY doc_id
+), counts AS (
+    SELECT s.doc_id, len(words)::BIGINT AS n_words, length(array_to_string(words, ''))::BIGINT AS word_chars,
+        length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+        (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(r.n, 0)::BIGINT AS n_repeat_words,
+        len(lines) AS n_lines, length(regexp_replace(text, '[^\p{L}]', '', 'g')) AS letters,
+        length(regexp_replace(text, '[^\p{Lu}]', '', 'g')) AS capitals,
+        len(list_filter(words, lambda x, i: i > 1 AND x = words[i - 1])) AS stutter,
+        coalesce(list_max(list_transform(words, lambda x: strlen(x))), 0) AS longest
+    FROM split s LEFT JOIN repeated r USING (doc_id)
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+    n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+    NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words
+        OR 10 * n_symbols > 3 * n_words OR 2 * n_dup_lines > n_lines
+        OR word_chars < 2 * n_words OR word_chars > 15 * n_words OR 10 * letters < 4 * word_chars
+        OR 2 * capitals > letters OR 10 * stutter > 3 * n_words OR longest > 1000) AS kept
+FROM counts
+"""
+
+ORACLES["op5_chat_formatting"] = r"""
+WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL
+    SELECT -7, turn, role, '\### Assistant: </turn> ok' FROM (VALUES (0, 'user'), (1, 'assistant')) AS v(turn, role)
+)
+SELECT conv_id, count(*)::BIGINT AS n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+    coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+    sum(15 + length(replace(replace(replace(role, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'))
+        + length(replace(replace(text, '&', '&amp;'), '<', '&lt;')))::BIGINT AS formatted_chars
+FROM turns GROUP BY conv_id
+"""
+
+ORACLES["op8_url_filters"] = r"""
+WITH cut AS (
+    SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages
+), split AS (
+    SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM cut
+), rules(host, path, action) AS (VALUES
+    ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
+    ('net', '/es/', 'block'), ('net', '/fr/', 'block')
+)
+SELECT page_id, s.host, s.path, r.host || r.path AS rule, coalesce(r.action, 'allow') AS verdict
+FROM split s LEFT JOIN rules r
+    ON (s.host = r.host OR ends_with(s.host, '.' || r.host)) AND starts_with(s.path, r.path)
+QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY length(r.host || r.path) DESC NULLS LAST, r.action DESC) = 1
+"""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfmark.llm import decontamination, language, personal, pieces, simhash
+from shelfmark.llm import chat, decontamination, language, personal, pieces, quality, simhash, urls
 from shelfmark.llm.frames import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,13 @@ def query(function: Query) -> Query:
     return function
 
 
+@query
+def op1_quality_rules(spark, folder):
+    docs = read(spark, folder, "documents").select("doc_id", "text")
+    judged = quality.judge(docs, quality.measure(docs))
+    return judged.drop("text", "rejected_by", "rules_run")
+
+
 def tokenizer_path(name: str = "piece_bpe_32k.model") -> str:
     import public_tokenizers
 
@@ -35,6 +42,27 @@ def op4_benchmark_decontamination(spark, folder):
     return decontamination.leaked_pairs(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
 
 
+@query
+def op5_chat_formatting(spark, folder):
+    added = [(-7, 0, "user"), (-7, 1, "assistant")]
+    turns = read(spark, folder, "conversations").select("conv_id", "turn", "role", "text").unionByName(
+        spark.createDataFrame(added, "conv_id long, turn long, role string").withColumn(
+            "text", F.lit("\\### Assistant: </turn> ok"))
+    )
+    formatted = chat.format_conversations(turns.withColumn("parts", chat.text_parts(F.col("text"))))
+    read_back = formatted.select(
+        "conv_id", F.length("formatted").cast("long").alias("formatted_chars"),
+        chat.read_back(F.col("formatted")).alias("turns"), chat.learned_text(F.col("segments")).alias("learned"),
+    )
+    said = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    return read_back.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(said, ""), 256).alias("turns_sha256"),
+        F.length("learned").cast("long").alias("loss_chars"), F.sha2("learned", 256).alias("loss_sha256"),
+        "formatted_chars",
+    )
+
+
 def _joined(spans: str) -> str:
     return f"array_join(transform({spans}, s -> concat_ws(':', s.kind, s.start, s.end)), ',')"
 
@@ -50,6 +78,19 @@ def op6_pii(spark, folder):
     )
 
 
+#: The rules of the URL query.
+URL_RULES = [
+    ("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"), ("net", "/fr/", "block"),
+]
+
+
+@query
+def op8_url_filters(spark, folder):
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, action string")
+    return urls.judge_urls(read(spark, folder, "pages").select("page_id", "url"), rules).drop("url")
+
+
 @query
 def op9_language_id(spark, folder):
     docs = read(spark, folder, "documents").select("doc_id", "text", "lang")
