@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfmark.llm import chat, decontamination, language, personal, pieces, quality, simhash, urls
+from shelfmark.llm import chat, decontamination, language, personal, pieces, quality, secret_scan, simhash, urls
 from shelfmark.llm.frames import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -78,6 +78,18 @@ def op6_pii(spark, folder):
     )
 
 
+@query
+def op7_secret_scans(spark, folder):
+    found = secret_scan.with_secrets(read(spark, folder, "documents").select("doc_id", "text")).drop("text")
+    counts = [
+        f"cast(size(filter(secrets, s -> s.kind = '{k}')) as bigint) as n_{k}" for k in secret_scan.KINDS[:3]
+    ]
+    return found.selectExpr(
+        "doc_id", *counts, f"sha2({_joined('filter(secrets, s -> s.base)')}, 256) as base_sha256",
+        f"{_joined('secrets')} as spans",
+    )
+
+
 #: The rules of the URL query.
 URL_RULES = [
     ("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
