@@ -22,16 +22,17 @@ def append_columns(
     source: str,
     start: Callable[[], Callable[[list], list[list]]],
     added: str,
+    keep_source: bool = True,
 ) -> DataFrame:
     """``frame`` with the columns ``added`` computed from column ``source`` in Arrow batches.
 
     ``start`` runs once per task and returns the function of a batch: a list of
     values in, one list per added column out. Columns of ``frame`` that bear an
-    added name are replaced.
+    added name are replaced; ``source`` itself goes unless it is to be kept.
     """
     fields = StructType.fromDDL(added)
     kept = frame.drop(*[f.name for f in fields if f.name.lower() != source.lower()])
-    passed = [c for c in kept.columns if c not in fields.names]
+    passed = [c for c in kept.columns if c not in fields.names and (keep_source or c != source)]
     schema = StructType([*(kept.schema[c] for c in passed), *fields.fields])
     kinds = [f.type for f in to_arrow_schema(fields)]
 

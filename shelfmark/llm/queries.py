@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfmark.llm import chat, decontamination, language, personal, pieces, quality, secret_scan, simhash, urls
+from shelfmark.llm import chat, decontamination, language, personal, pieces, quality, secret_scan, simhash, site_style, urls
 from shelfmark.llm.frames import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,12 @@ def op1_quality_rules(spark, folder):
     return judged.drop("text", "rejected_by", "rules_run")
 
 
+@query
+def op2_html_extraction(spark, folder):
+    pages = site_style.extract(read(spark, folder, "pages").select("page_id", "url", "html"))
+    return pages.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def tokenizer_path(name: str = "piece_bpe_32k.model") -> str:
     import public_tokenizers
 
