@@ -6,6 +6,6 @@ from pyspark.sql import Column, functions as F
 
 
 def lead_sentences(text: Column, count: int) -> Column:
-    """The first ``count`` sentences, trimmed; NULL when there are none."""
-    lead = F.regexp_extract(text, r"^((?:[^.!?]*[.!?]+\s*){1,%d})" % count, 1)
-    return F.nullif(F.regexp_replace(lead, r"^\s+|\s+$", ""), F.lit(""))
+    """The first ``count`` sentences, trimmed; empty when there are none, also for NULL."""
+    lead = F.regexp_extract(F.coalesce(text, F.lit("")), r"^((?:[^.!?]*+[.!?]++\s*+){1,%d})" % count, 1)
+    return F.regexp_replace(lead, r"^\s+|\s+$", "")

@@ -18,14 +18,13 @@ from shelfmark.functions.fixed_values import (
 )
 from shelfmark.functions.sqltext import let, raw
 
-# Longer runs of letters are kept as they are: encoded data, not words.
-LONGEST_WORD = 100
-
-_PAIR = "[aeiouy][^aeiouy]"
+# Up to the first vowel and consonant pair. Possessive, so that long words take linear time.
+_PAIR = "[^aeiouy]*+[aeiouy]++[^aeiouy]"
 # Beginnings after which region one starts at once.
 _SPECIAL = "gener|commun|arsen"
-_REGION_1 = f"(?:(?:{_SPECIAL})|(?!{_SPECIAL}).*?{_PAIR}).*?"
-_REGION_2 = f"{_REGION_1}{_PAIR}.*?"
+_START = f"(?:(?:{_SPECIAL})|(?!{_SPECIAL}){_PAIR})"
+_REGION_1 = f"{_START}.*?"
+_REGION_2 = f"{_START}{_PAIR}.*?"
 # Ends in a short syllable. A capital Y stands for a consonant y.
 _SHORT_END = "(?:[^aeiouy][aeiouy][^aeiouywxY]|^[aeiouy][^aeiouy])"
 _SHORT_WORD = "^(?:[^aeiouy]+[aeiouy][^aeiouywxY]|[aeiouy][^aeiouy])"
@@ -78,7 +77,7 @@ def stems_sql(tokens: str) -> str:
     )
     t = _each(
         "tokens",
-        f"CASE WHEN length(w) NOT BETWEEN 3 AND {LONGEST_WORD} OR NOT w RLIKE {raw('^[\\p{L}]+$')} "
+        f"CASE WHEN length(w) < 3 OR NOT w RLIKE {raw('^[\\p{L}]+$')} "
         f"OR w IN ({known_list}) THEN '' WHEN instr(w, 'y') > 0 THEN {marked} ELSE w END",
     )
     # Step 1a: plurals.

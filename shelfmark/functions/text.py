@@ -76,7 +76,10 @@ def lexemes_sql(text: str, analyzer: Analyzer = ENGLISH) -> str:
 
 
 def web_query_sql(text: str, analyzer: Analyzer = ENGLISH) -> str:
-    """Clauses of a web-style query: words, ``or``, ``-word``, ``"a phrase"``."""
+    """Clauses of a web-style query: words, ``or``, ``-word``, ``"a phrase"``.
+
+    A word of several lexemes, such as ``get_user_name``, is a phrase of them.
+    """
     pieces = f"""regexp_extract_all(coalesce({text}, ''), r'-?"[^"]*"?|[^\\s"]+', 0)"""
     numbered = (
         f"aggregate({pieces}, named_struct('alt', 0, 'parts', "
@@ -101,8 +104,7 @@ def web_query_sql(text: str, analyzer: Analyzer = ENGLISH) -> str:
 
     return (
         f"flatten(transform(filter({analysed}, c -> size(c.words) > 0), c -> "
-        f"if(c.quoted OR c.negated, array({clause('c.words', 'c.quoted')}), "
-        f"transform(c.words, v -> {clause('array(v)', 'false')}))))"
+        f"array({clause('c.words', 'c.quoted OR size(c.words) > 1')})))"
     )
 
 

@@ -115,10 +115,17 @@ def apply_diff(
     return kept.select(*columns).unionByName(rows.select(*columns))
 
 
-def stale_functions(functions: DataFrame, files: DataFrame) -> DataFrame:
-    """Functions without a summary, with the path of their file."""
+def _of_projects(rows: DataFrame, projects: DataFrame | None) -> DataFrame:
+    """Rows of the given ``projects(id)``; of all where none are given."""
+    if projects is None:
+        return rows
+    return rows.join(projects.select(F.col("id").alias("project_id")), "project_id", "left_semi")
+
+
+def stale_functions(functions: DataFrame, files: DataFrame, projects: DataFrame | None = None) -> DataFrame:
+    """Functions without a summary, with the path of their file, of the given ``projects(id)``."""
     return (
-        functions.where(F.col("summary").isNull())
+        _of_projects(functions.where(F.col("summary").isNull()), projects)
         .select("id", "file_id", "name", "body")
         .join(files.select(F.col("id").alias("file_id"), "path"), "file_id")
         .select("id", "path", "name", "body")
@@ -132,13 +139,15 @@ def enrich_functions(
     summarize: Model | None = None,
     embed: Model | None = None,
     analyzer: Analyzer = ENGLISH,
+    projects: DataFrame | None = None,
 ) -> DataFrame:
     """Summarise and embed every function without a summary whose file exists.
 
-    Only these rows meet the files table; the others are passed through.
+    With ``projects(id)``, only functions of these. Only rows without a summary
+    meet the files table; the others are passed through.
     """
     lacking = functions.where(F.col("summary").isNull())
-    paths = files.select(F.col("id").alias("file_id"), F.col("path").alias("_path"))
+    paths = _of_projects(files, projects).select(F.col("id").alias("file_id"), F.col("path").alias("_path"))
     enriched = enrich(
         lacking.join(paths, "file_id", "left"), F.col("_path").isNotNull(),
         ["_path", "name", "body"], "name", as_of,

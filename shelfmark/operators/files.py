@@ -15,24 +15,27 @@ from shelfmark.operators.projects import indexable
 from shelfmark.schemas import FILES
 
 KEY = ["project_id", "path"]
+SLOTS = 32
 
 
 def files_for_language(listing: DataFrame, projects: DataFrame) -> DataFrame:
     """Rows of ``listing`` whose exact suffix belongs to their project's language.
 
     Adds ``project_id`` and ``language``. Suffixes without a language are
-    filtered before the join.
+    filtered before the join. Each project is dealt to ``SLOTS`` keys, so that the
+    contents of a very large repository don't meet in one task.
     """
     known = listing.withColumn("_language", indexed_language(F.col("path"))).where(
         F.col("_language").isNotNull()
     )
     owners = indexable(projects).select(
-        F.col("git_url"), F.col("id").alias("project_id"), F.col("language")
+        F.col("git_url"), F.col("id").alias("project_id"), F.col("language"),
+        F.explode(F.sequence(F.lit(0), F.lit(SLOTS - 1))).alias("_slot"),
     )
     return (
-        known.join(owners, "git_url")
+        known.withColumn("_slot", F.pmod(F.hash("path"), F.lit(SLOTS))).join(owners, ["git_url", "_slot"])
         .where(F.col("_language") == F.col("language"))
-        .drop("_language", "git_url")
+        .drop("_language", "_slot", "git_url")
     )
 
 

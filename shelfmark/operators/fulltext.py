@@ -90,8 +90,8 @@ def query_clauses(parsed: DataFrame, *keys: str) -> DataFrame:
 
 
 def web_query(spark: SparkSession, text: str, analyzer: Analyzer = ENGLISH) -> WebQuery:
-    """Parse one query text. One local row, no cluster job."""
-    parsed = parse_queries(spark.createDataFrame([(text,)], "text string"), "text", analyzer)
+    """Parse one query text: one small job over one row."""
+    parsed = parse_queries(spark.sql("SELECT :text AS text", args={"text": text}), "text", analyzer)
     clauses = parsed.select("query").first()[0]
     return WebQuery(tuple(c.asDict() for c in clauses))
 

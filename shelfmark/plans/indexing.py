@@ -26,7 +26,7 @@ from shelfmark.operators.files import (
     read_contents,
 )
 from shelfmark.operators.fulltext import postings
-from shelfmark.operators.projects import register_projects
+from shelfmark.operators.projects import indexable, register_projects
 from shelfmark.schemas import FILES
 from shelfmark.sources.snapshots import POSTINGS, SnapshotStore
 
@@ -72,9 +72,8 @@ def run_index(
         "projects",
         register_projects(old_projects, metadata, scan.select("git_url", "path"), as_of),
     )
-    scanned = read_contents(
-        files_for_language(scan, projects.join(metadata.select("git_url"), "git_url", "left_semi"))
-    )
+    of_run = projects.join(metadata.select("git_url"), "git_url", "left_semi")
+    scanned = read_contents(files_for_language(scan, of_run))
     merged = merge_files(old_files, scanned, as_of, analyzer)
     enriched = enrich_files(
         merged, is_stale(strict_compat), as_of, summarize_file, embed, analyzer
@@ -98,7 +97,7 @@ def run_index(
         "functions",
         enrich_functions(
             apply_diff(old_functions, definitions, diff, as_of, analyzer),
-            files, as_of, summarize_function, embed, analyzer,
+            files, as_of, summarize_function, embed, analyzer, indexable(of_run),
         ),
     )
     if with_postings:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
@@ -17,8 +18,8 @@ from shelfmark.operators.ranking import best_fused, fuse, keyword_topk, semantic
 
 
 def query_embedding(spark: SparkSession, text: str, dimension: int = 64) -> list[float]:
-    """The built-in embedding of a query text. One local row, no cluster job."""
-    row = spark.createDataFrame([(text,)], "text string")
+    """The built-in embedding of a query text: one small job over one row."""
+    row = spark.sql("SELECT :text AS text", args={"text": text})
     return row.select(F.expr(hashed_vector_sql("text", dimension))).first()[0]
 
 
@@ -54,33 +55,33 @@ def _best(
     return best_fused(fused, match_count)
 
 
-def _rows_by_id(table: DataFrame, ids: list[int]) -> DataFrame:
-    """Rows with the given ids; the list reaches the scan as a filter."""
-    return table.where(F.col("id").isin(ids) if ids else F.lit(False))
-
+#: Ids in one filter; a longer list is fetched in parts.
+IDS_IN_A_FILTER = 1000
 
-# Up to this many results travel as an id list or as a broadcast table.
-FEW_RESULTS = 10000
 
-
-def _small(rows: DataFrame, match_count: int) -> DataFrame:
-    return F.broadcast(rows) if match_count <= FEW_RESULTS else rows
+def _rows_by_id(table: DataFrame, ids: list[int]) -> DataFrame:
+    """Rows with the given ids; each part of the list reaches a scan as a filter."""
+    ordered = sorted(ids)
+    parts = [ordered[i : i + IDS_IN_A_FILTER] for i in range(0, len(ordered), IDS_IN_A_FILTER)]
+    if not parts:
+        return table.where(F.lit(False))
+    return reduce(DataFrame.union, [table.where(F.col("id").isin(p)) for p in parts])
 
 
-def _fetch(table: DataFrame, best: DataFrame, match_count: int, fetch: str) -> DataFrame:
-    """Rows of ``table`` for the at most ``match_count`` ids of ``best``.
+def _fetch(table: DataFrame, best: DataFrame, fetch: str) -> DataFrame:
+    """Rows of ``table`` for the ids of ``best``, which are ``match_count`` at most.
 
-    "ids" runs the ranking now and hands its few ids to the scan, which then
-    reads the wide columns of few row groups. "join" stays lazy and reads the
-    columns of all rows; it also serves very long result lists.
+    "ids" runs the ranking now and hands its ids to the scan, which then reads
+    the wide columns of few row groups. "join" stays lazy and reads the columns
+    of all rows; Spark sees the size of the ranking and chooses the join.
     """
     if fetch not in ("ids", "join"):
         raise ValueError(f"unknown fetch mode {fetch!r}")
-    if fetch == "ids" and match_count <= FEW_RESULTS:
+    if fetch == "ids":
         rows = best.collect()
         best = table.sparkSession.createDataFrame(rows, "id long, rrf_score double")
         table = _rows_by_id(table, [r["id"] for r in rows])
-    return table.join(_small(best, match_count), "id")
+    return table.join(best, "id")
 
 
 def _in_order(found: DataFrame, match_count: int) -> DataFrame:
@@ -108,7 +109,7 @@ def hybrid_search_files(
         files, query_embedding, query_text, match_count, rrf_k, analyzer, postings,
         {"project_id": p_project_id, "id": p_file_id},
     )
-    found = _fetch(files.select("id", "project_id", "path", "summary"), best, match_count, fetch)
+    found = _fetch(files.select("id", "project_id", "path", "summary"), best, fetch)
     return _in_order(found.select("id", "project_id", "path", "summary", "rrf_score"), match_count)
 
 
@@ -131,15 +132,13 @@ def hybrid_search_functions(
         {"project_id": p_project_id},
     )
     found = _fetch(
-        functions.select("id", "file_id", "project_id", "name", "summary", "body"), best,
-        match_count, fetch,
+        functions.select("id", "file_id", "project_id", "name", "summary", "body"), best, fetch,
     )
     owners = files.select("id", "path")
-    if fetch == "ids" and match_count <= FEW_RESULTS:
-        owners = _rows_by_id(owners, [r["file_id"] for r in found.select("file_id").collect()])
-    joined = owners.withColumnRenamed("id", "file_id").join(
-        _small(found, match_count), "file_id"
-    ).select(
+    if fetch == "ids":
+        found_files = {r["file_id"] for r in found.select("file_id").collect()}
+        owners = _rows_by_id(owners, list(found_files))
+    joined = owners.withColumnRenamed("id", "file_id").join(found, "file_id").select(
         "id", "file_id", "project_id", "path", "name", "summary", "body", "rrf_score"
     )
     return _in_order(joined, match_count)

@@ -71,7 +71,7 @@ def create_file_search(
         match_count INT DEFAULT 10, rrf_k INT DEFAULT 60, p_file_id BIGINT DEFAULT NULL)
     RETURNS TABLE (id BIGINT, project_id BIGINT, path STRING, summary STRING, rrf_score DOUBLE)
     RETURN WITH {_fused_sql(files, filters, analyzer)}
-    SELECT f.id, f.project_id, f.path, f.summary, c.score
+    SELECT /*+ BROADCAST(c) */ f.id, f.project_id, f.path, f.summary, c.score
     FROM best c JOIN {files} f ON f.id = c.id
     """)
 
@@ -88,9 +88,12 @@ def create_function_search(
     RETURNS TABLE (id BIGINT, file_id BIGINT, project_id BIGINT, path STRING, name STRING,
                    summary STRING, body STRING, rrf_score DOUBLE)
     RETURN WITH {_fused_sql(functions, filters, analyzer)}
-    SELECT f.id, f.file_id, f.project_id, p.path, f.name, f.summary, f.body,
-           c.score
-    FROM best c JOIN {functions} f ON f.id = c.id JOIN {files} p ON p.id = f.file_id
+    , winners AS (
+        SELECT /*+ BROADCAST(c) */ f.id, f.file_id, f.project_id, f.name, f.summary, f.body, c.score
+        FROM best c JOIN {functions} f ON f.id = c.id
+    )
+    SELECT /*+ BROADCAST(w) */ w.id, w.file_id, w.project_id, p.path, w.name, w.summary, w.body, w.score
+    FROM winners w JOIN {files} p ON p.id = w.file_id
     """)
 
 

@@ -1,18 +1,23 @@
 """The three tables as published snapshots in a folder all executors share.
 
 Every run writes whole tables into folders of its own and publishes them by
-appending one manifest row at the end. A run that fails publishes nothing, and
-readers keep the snapshot they opened.
+creating one manifest file at the end, whose name is the version. The file is
+created only if it is not there: of two runs that began from one version, the
+second one to publish fails and nothing of the first is lost. A run that fails
+publishes nothing, and readers keep the snapshot they opened.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shelfmark.operators.fulltext import cluster_postings
+from shelfmark.operators.projects import delete_projects
 from shelfmark.operators.identity import check_unique
 from shelfmark.schemas import TABLES, UNIQUE_KEYS
 
@@ -29,6 +34,10 @@ def clustered(table: DataFrame, column: str) -> DataFrame:
     return table.hint("rebalance", F.col(column)).sortWithinPartitions(column, "id")
 
 
+class ConflictError(RuntimeError):
+    """Another run has published the version that this run was to become."""
+
+
 class SnapshotStore:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
@@ -44,8 +53,13 @@ class SnapshotStore:
 
     def latest(self):
         """The newest manifest row, or None before the first run."""
-        manifest = self._read_or_empty(f"{self.folder}/manifest", _MANIFEST)
-        return manifest.orderBy(F.col("version").desc(), F.col("run")).first()
+        try:
+            manifest = self.spark.read.schema(_MANIFEST).json(f"{self.folder}/manifest")
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None
+        return manifest.orderBy(F.col("version").desc()).first()
 
     def read(self, table: str) -> DataFrame:
         """A table of the newest snapshot; empty before the first run."""
@@ -61,6 +75,18 @@ class SnapshotStore:
     def _location(self, table: str, run: str) -> str:
         return f"{self.folder}/{table}/run={run}"
 
+    def delete_projects(self, removed: DataFrame, as_of) -> int:
+        """Publish a snapshot without the projects of ``removed(id)``, their files, functions and postings."""
+        run = self.begin()
+        gone = removed.select("id").distinct()
+        left = delete_projects(run.read("projects"), run.read("files"), run.read("functions"), gone)
+        for table, rows in zip(("projects", "files", "functions"), left):
+            run.write(table, rows)
+        owners = gone.select(F.col("id").alias("project_id"))
+        for name in POSTINGS:
+            run.write_postings(name, run.read(name).join(owners, "project_id", "left_anti"))
+        return run.publish(as_of)
+
     def begin(self) -> "Run":
         return Run(self, self.latest())
 
@@ -96,15 +122,28 @@ class Run:
     def _write(self, table: str, rows: DataFrame, schema) -> DataFrame:
         location = self.store._location(table, self.run)
         writer = rows.write.mode("errorifexists")
-        if "id" in rows.columns:
-            # Lets a fetch by id skip row groups although ids are not in order.
-            writer = writer.option("parquet.bloom.filter.enabled#id", "true").option(
+        # Lets a fetch by id skip row groups although ids are not in order; postings are found by term.
+        sought = "term" if "term" in rows.columns else "id"
+        if sought in rows.columns:
+            writer = writer.option(f"parquet.bloom.filter.enabled#{sought}", "true").option(
                 "parquet.bloom.filter.adaptive.enabled", "true"
             )
         writer.parquet(location)
         return self.store.spark.read.schema(schema).parquet(location)
 
     def publish(self, as_of) -> int:
-        row = self.store.spark.createDataFrame([(self.version, self.run, as_of)], _MANIFEST)
-        row.coalesce(1).write.mode("append").parquet(f"{self.store.folder}/manifest")
+        """Make this run's tables the newest version, unless another run has published it already."""
+        row = {"version": self.version, "run": self.run, "as_of": as_of.isoformat()}
+        spark = self.store.spark
+        jvm = spark.sparkContext._jvm
+        place = jvm.org.apache.hadoop.fs.Path(f"{self.store.folder}/manifest/{self.version:012d}.json")
+        system = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        try:
+            file = system.create(place, False)  # fails if the file exists
+        except Py4JJavaError as error:
+            if "FileAlreadyExists" in str(error.java_exception) or "already exists" in str(error.java_exception):
+                raise ConflictError(f"version {self.version} was published by another run") from error
+            raise
+        file.write(bytearray(json.dumps(row).encode()))
+        file.close()
         return self.version

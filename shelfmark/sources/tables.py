@@ -10,10 +10,5 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
 
 
 def spread(table: DataFrame) -> DataFrame:
-    """Rows over all cores, for costly work on an input of few splits.
-
-    A large input has more splits than the cluster has cores and stays as it
-    is, without a shuffle.
-    """
-    cores = table.sparkSession.sparkContext.defaultParallelism
-    return table if table.rdd.getNumPartitions() >= cores else table.repartition(cores)
+    """Rows dealt evenly over as many tasks as the cluster has cores, for costly work on each row."""
+    return table.repartition(table.sparkSession.sparkContext.defaultParallelism)

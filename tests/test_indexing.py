@@ -5,12 +5,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfmark.operators.enrichment import batch_model
-from shelfmark.operators.projects import delete_projects
+from shelfmark.operators.definitions import enrich_functions, stale_functions
 from shelfmark.plans.indexing import run_index
 from shelfmark.plans.search import hybrid_search_files, query_embedding
 from shelfmark.schemas import METADATA, SCAN
 from shelfmark.sources.repositories import scan_repositories, scan_repository
-from shelfmark.sources.snapshots import SnapshotStore
+from shelfmark.sources.snapshots import ConflictError, SnapshotStore
 from shelfmark.streaming.file_drops import index_file_drops
 
 URL = "https://h/u/repo.git"
@@ -143,29 +143,69 @@ def test_search_after_indexing(spark, store):
 
 def test_cascading_delete(spark, store):
     both = scan(spark, {"a.py": ONE}).union(scan(spark, {"z.py": ONE}, OTHER))
+    run_index(store, both, metadata(spark, URL, OTHER), DAY[0], with_postings=True)
+    removed = store.read("projects").where(F.col("git_url") == OTHER).select("id")
+    assert store.delete_projects(removed, DAY[1]) == 2
+    assert [store.read(t).count() for t in ("projects", "files", "functions")] == [1, 1, 2]
+    assert rows(store, "projects", "git_url") == {(URL,)}
+    assert rows(store, "file_postings", "project_id") == rows(store, "projects", "id")
+
+
+def test_two_runs_begun_together(spark, store):
+    run_index(store, scan(spark, {"a.py": ONE}), metadata(spark), DAY[0])
+    late = store.begin()
+    for table in ("projects", "files", "functions"):
+        late.write(table, late.read(table).limit(0))
+    run_index(store, scan(spark, {"b.py": ONE}), metadata(spark), DAY[1])
+    with pytest.raises(ConflictError):
+        late.publish(DAY[2])
+    assert store.latest()["version"] == 2
+    assert {p for (p,) in rows(store, "files", "path")} == {"a.py", "b.py"}
+
+
+def test_a_run_leaves_other_projects_alone(spark, store):
+    text = "def first(): pass\n"  # without a sentence: summarised once all the same
+    both = scan(spark, {"a.py": text}).union(scan(spark, {"z.py": text}, OTHER))
     run_index(store, both, metadata(spark, URL, OTHER), DAY[0])
-    tables = [store.read(t) for t in ("projects", "files", "functions")]
-    removed = tables[0].where(F.col("git_url") == OTHER).select("id")
-    left = delete_projects(*tables, removed)
-    assert [t.count() for t in left] == [1, 1, 2]
+    assert rows(store, "functions", "summary") == {("",)}
+    assert all(set(r["embedding"]) == {0.0} for r in store.read("functions").collect())
+
+    def failing():
+        raise AssertionError("a model was called")
+
+    model = batch_model(failing, "string")
+    before = rows(store, "functions", "id", "last_updated")
+    run_index(store, scan(spark, {"a.py": text}), metadata(spark), DAY[1], summarize_function=model)
+    assert rows(store, "functions", "id", "last_updated") == before
+    other = store.read("projects").where(F.col("git_url") == OTHER).select("id")
+    lacking = store.read("functions").withColumn("summary", F.lit(None).cast("string"))
+    enriched = enrich_functions(lacking, store.read("files"), DAY[2], projects=other)
+    assert enriched.where("summary IS NOT NULL").count() == 1
+    assert stale_functions(lacking, store.read("files"), other).count() == 1
 
 
 def test_scanning_folders(spark, tmp_path):
     root = tmp_path / "check outs"
     for path, content in {
         "one/a.py": b"x", "one/sub dir/ä.py": b"\xff", "one/.git/config.py": b"no", "two/b.py": b"y",
-        "left/c.py": b"z",
+        "left/c.py": b"z", "one/__init__.py": b"i", "one/.hidden/_x.py": b"h", "one/node_modules/.git": b"no",
+        "one/node_modules/d.js": b"d",
     }.items():
         (root / path).parent.mkdir(parents=True, exist_ok=True)
         (root / path).write_bytes(content)
     single = scan_repository(spark, str(root / "one"), URL).collect()
     assert {(r["git_url"], r["path"], bytes(r["content"])) for r in single} == {
-        (URL, "a.py", b"x"), (URL, "sub dir/ä.py", b"\xff"),
+        (URL, "a.py", b"x"), (URL, "sub dir/ä.py", b"\xff"), (URL, "__init__.py", b"i"), (URL, ".hidden/_x.py", b"h"),
+        (URL, "node_modules/d.js", b"d"),
     }
+    tracked = spark.createDataFrame([(p,) for p in ("a.py", "__init__.py", ".hidden/_x.py", "gone.py")], "path string")
+    assert {r["path"] for r in scan_repository(spark, str(root / "one"), URL, tracked).collect()} == {
+        "a.py", "__init__.py", ".hidden/_x.py"}
     checkouts = spark.createDataFrame([("one", URL), ("two", OTHER)], "folder string, git_url string")
     many = scan_repositories(spark, str(root), checkouts).collect()
     assert {(r["git_url"], r["path"]) for r in many} == {
-        (URL, "a.py"), (URL, "sub dir/ä.py"), (OTHER, "b.py"),
+        (URL, "a.py"), (URL, "sub dir/ä.py"), (OTHER, "b.py"), (URL, "__init__.py"), (URL, ".hidden/_x.py"),
+        (URL, "node_modules/d.js"),
     }
 
 

@@ -73,7 +73,10 @@ def test_web_query(spark):
     assert clauses(spark, '"a b"') == [(0, False, True, ["a", "b"], [0, 1])]
     assert clauses(spark, 'a -"b c" or d') == [word(0, "a"), (0, True, True, ["b", "c"], [0, 1]), word(1, "d")]
     assert clauses(spark, '"fat the cat"', ENGLISH) == [(0, False, True, ["fat", "cat"], [0, 2])]
-    assert clauses(spark, "a_b - c") == [word(0, "a"), word(0, "b"), word(0, "c")]
+    pair = lambda a, b, negated=False: (0, negated, True, [a, b], [0, 1])
+    assert clauses(spark, "a_b - c") == [pair("a", "b"), word(0, "c")]
+    assert clauses(spark, "a -pg_class") == [word(0, "a"), pair("pg", "class", True)]
+    assert clauses(spark, "wi-fi", ENGLISH) == [(0, False, True, ["wi-fi", "wi", "fi"], [0, 1, 2])]
     for nothing in ("the", "", '""', "-", "or", '"'):
         assert clauses(spark, nothing, ENGLISH) == []
 
@@ -140,3 +143,10 @@ def test_keyword_topk_breaks_ties_by_id(spark):
     rows = spark.createDataFrame([(3, 0.1), (1, 0.1), (2, 0.2)], "id long, score double")
     assert [(r["id"], r["rank"]) for r in keyword_topk(rows, 2).collect()] == [(2, 1), (1, 2)]
     assert keyword_topk(rows, 0).collect() == []
+
+
+def test_long_words_are_stemmed(spark):
+    words = ["ab" * 150 + "running", "ba" * 60 + "ness", "bcd" * 100 + "ed", "a" * 100000 + "bing", "b" * 100000 + "s", "y" * 5000]
+    row = spark.createDataFrame([(words,)], "w array<string>").select(F.expr(stems_sql("w"))).first()
+    assert row[0][:3] == ["ab" * 150 + "run", "ba" * 60, "bcd" * 100 + "ed"]
+    assert row[0][3] == "a" * 100000 + "b" and row[0][4] == "b" * 100000 + "s"

@@ -6,7 +6,9 @@ import uuid
 from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import pyarrow as pa
+from pyarrow import fs
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from shelfmark.functions.content import checksum
 from shelfmark.functions.sentences import lead_sentences
@@ -39,6 +41,11 @@ def stored(spark: SparkSession, folder: str, name: str, build: Callable[..., Dat
     return read_table(spark, _STORED[key])
 
 
+def _summary(count: int) -> Column:
+    """The leading sentences as a stored summary; rows without one have none yet."""
+    return F.nullif(lead_sentences(F.col("text"), count), F.lit(""))
+
+
 def document_paths(documents: DataFrame) -> DataFrame:
     """``documents`` with ``project_id``, ``git_url`` and ``path``."""
     suffix = F.expr("CASE lang WHEN 'en' THEN '.py' WHEN 'fr' THEN '.js' WHEN 'de' THEN '.ts' ELSE '.go' END")
@@ -56,7 +63,7 @@ def files(spark: SparkSession, folder: str) -> DataFrame:
     rows = documents.join(vectors, "doc_id", "left").select(
         F.col("doc_id").alias("id"), "project_id", "path",
         checksum(F.col("text")).alias("checksum"), F.col("text").alias("body"),
-        lead_sentences(F.col("text"), 2).alias("summary"), "embedding",
+        _summary(2).alias("summary"), "embedding",
     )
     return analyze(rows, "concat(path, ' ', coalesce(summary, ''))", PLAIN)
 
@@ -91,7 +98,7 @@ def stored_files(spark: SparkSession, folder: str) -> DataFrame:
     )
     rows = documents.unionByName(talks).select(
         "id", "project_id", "path", checksum(F.col("text")).alias("checksum"),
-        F.col("text").alias("body"), lead_sentences(F.col("text"), 2).alias("summary"),
+        F.col("text").alias("body"), _summary(2).alias("summary"),
         F.lit(None).cast("array<float>").alias("embedding"),
     )
     return analyze(rows, "concat(path, ' ', coalesce(summary, ''))", PLAIN).withColumn(
@@ -129,7 +136,7 @@ def stored_functions(spark: SparkSession, folder: str) -> DataFrame:
         F.expr("cast(turn + 1 AS int)").alias("start_line"),
         F.expr("cast(turn + 1 AS int)").alias("end_line"),
         F.col("text").alias("body"), checksum(F.col("text")).alias("checksum"),
-        lead_sentences(F.col("text"), 3).alias("summary"),
+        _summary(3).alias("summary"),
         F.lit(None).cast("array<float>").alias("embedding"),
     )
     return analyze(rows, "concat(name, ' ', coalesce(summary, ''))", PLAIN).withColumn(
@@ -300,3 +307,36 @@ def repository_scan(spark: SparkSession, folder: str, edited: bool = False) -> D
         line = F.when(F.col("lang") == "en", "# edited\n").otherwise("// edited\n")
         body = F.when(F.col("_good"), F.concat(line, body)).otherwise(body)
     return documents.select("git_url", "path", body.cast("binary").alias("content"))
+
+
+#: Names under which a document becomes a file, by turns; file sources of Spark skip the first three.
+FILE_NAMES = ("_x/__init__.py", ".y/tool.py", "pkg/_private.py", "plain/b.py")
+
+
+def tracked_documents(documents: DataFrame) -> DataFrame:
+    """``folder, git_url, path, content``: every document under one of ``FILE_NAMES`` in its own folder."""
+    name = F.element_at(F.array(*[F.lit(n) for n in FILE_NAMES]), (F.col("doc_id") % len(FILE_NAMES) + 1).cast("int"))
+    return documents.select(
+        F.col("source").alias("folder"), F.concat(F.lit("https://example.org/"), "source", F.lit(".git")).alias("git_url"),
+        F.concat(F.lit("d"), "doc_id", F.lit("/"), name).alias("path"), F.col("text").cast("binary").alias("content"),
+    )
+
+
+def untracked(documents: DataFrame) -> DataFrame:
+    """A file beside each tracked one that no version control knows."""
+    return documents.withColumn("path", F.concat(F.lit("node_modules/"), "path"))
+
+
+def write_files(files: DataFrame, root: str) -> None:
+    """Write ``folder, path, content`` as files below ``root``, each on the executor that holds it."""
+    def write(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                system, base = fs.FileSystem.from_uri(root)
+                place = f"{base}/{row['folder']}/{row['path']}"
+                system.create_dir(place.rpartition("/")[0])
+                with system.open_output_stream(place) as file:
+                    file.write(row["content"] or b"")
+            yield pa.RecordBatch.from_pydict({"n": [batch.num_rows]}, pa.schema([("n", pa.int64())]))
+
+    spread(files).mapInArrow(write, "n long").agg(F.sum("n")).collect()

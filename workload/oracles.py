@@ -10,9 +10,14 @@ _WORD = r"[\p{L}\p{N}]+"
 _NEW_LINE = "chr(10)"
 
 
-def _lead(text: str, count: int) -> str:
+def _sentences(text: str, count: int) -> str:
     found = rf"regexp_extract({text}, '^((?:[^.!?]*[.!?]+\s*){{1,{count}}})', 1)"
-    return rf"nullif(regexp_replace({found}, '^\s+|\s+$', '', 'g'), '')"
+    return rf"regexp_replace({found}, '^\s+|\s+$', '', 'g')"
+
+
+def _lead(text: str, count: int) -> str:
+    """A stored summary: none where there is no sentence."""
+    return f"nullif({_sentences(text, count)}, '')"
 
 
 def _tokens(text: str) -> str:
@@ -270,6 +275,19 @@ SELECT {key}, bucket, round(coalesce((n / norm)::FLOAT, 0)::DOUBLE, 5) AS weight
 FROM cells LEFT JOIN counts USING ({key}, bucket) LEFT JOIN norms USING ({key})"""
 
 
+def _vector_sums(source: str, key: str) -> str:
+    """Weights of the hashed vectors of ``summary``, each times its place, summed up."""
+    return f"""
+summary_terms AS (SELECT {key}, unnest({_tokens('summary')}) AS term FROM {source}),
+summary_counts AS (
+    SELECT {key}, ('0x' || substr(md5(term), 1, 8))::BIGINT % 64 AS bucket, count(*) AS n
+    FROM summary_terms WHERE term NOT IN ({_STOPS}) GROUP BY 1, 2),
+vector_sums AS (
+    SELECT {key}, round(sum((bucket + 1) * (n / norm)::FLOAT::DOUBLE), 3) AS vector_sum
+    FROM summary_counts JOIN (SELECT {key}, sqrt(sum(n * n)) AS norm FROM summary_counts GROUP BY 1) USING ({key})
+    GROUP BY 1)"""
+
+
 def _definition(file_id: str, ordinal: int, name: str, start: str, end: str, body: str) -> str:
     return (
         f"SELECT {file_id} AS file_id, {ordinal} AS ordinal, {name} AS name, "
@@ -305,6 +323,24 @@ UNION ALL
              _between(SCRIPT_SOURCE, 'static get', f"';{chr(10)}  }}}}"))})"""
 
 ORACLES: dict[str, str] = {
+    "scan_folder": """SELECT 'https://example.org/' || source || '.git' AS git_url,
+        'd' || doc_id || '/' || ['_x/__init__.py', '.y/tool.py', 'pkg/_private.py', 'plain/b.py'][doc_id % 4 + 1] AS path,
+        sha256(text) AS checksum, cast(strlen(text) AS BIGINT) AS n_bytes FROM documents""",
+    "web_query_compound": f"""
+        WITH split AS (SELECT item_id, {_tokens('text')} AS w FROM benchmark),
+        parts AS (
+            SELECT item_id, 0 AS place, w[1] AS word, 0 AS shift, false AS negated FROM split
+            UNION ALL SELECT item_id, 0, w[2], 1, false FROM split
+            UNION ALL SELECT item_id, 1, w[3], 0, false FROM split
+            UNION ALL SELECT item_id, 1, w[4], 1, false FROM split
+            UNION ALL SELECT item_id, 2, w[1], 0, true FROM split
+            UNION ALL SELECT item_id, 2, w[3], 1, true FROM split),
+        kept AS (SELECT * FROM parts WHERE word NOT IN ({_STOPS}))
+        SELECT item_id, 0 AS alternative,
+               cast(dense_rank() OVER (PARTITION BY item_id ORDER BY place) - 1 AS INTEGER) AS clause,
+               negated, count(*) OVER (PARTITION BY item_id, place) > 1 AS phrase, word AS term,
+               cast(shift - min(shift) OVER (PARTITION BY item_id, place) AS INTEGER) AS "offset"
+        FROM kept""",
     "decode_lossy_text": "SELECT doc_id, text || chr(65533) || source AS body FROM documents",
     "scan_checksum": "SELECT doc_id, sha256(text) AS checksum, text AS body FROM documents",
     "stored_lookup": f"""WITH {_STORED_FILES}
@@ -348,12 +384,15 @@ ORACLES: dict[str, str] = {
     "stale_files_compat": f"""WITH {_BOTH_FILES}
         SELECT project_id, path FROM merged WHERE scanned AND summary IS NULL""",
     "enrich_files": f"""WITH {_BOTH_FILES}, enriched AS (
-            SELECT path, scanned AND (summary IS NULL OR changed) AS stale,
+            SELECT path, scanned, scanned AND (summary IS NULL OR changed) AS stale,
                    CASE WHEN scanned AND (summary IS NULL OR changed)
-                        THEN {_lead('body', 8)} ELSE summary END AS summary
-            FROM merged)
+                        THEN {_sentences('body', 8)} ELSE summary END AS summary
+            FROM merged),
+        {_vector_sums('enriched', 'path')}
         SELECT path, summary, {_fts("path || ' ' || coalesce(summary, '')")} AS fts,
-               stale AND summary IS NOT NULL AS embedded FROM enriched""",
+               CASE WHEN stale THEN coalesce(vector_sum, 0) END AS vector_sum,
+               CASE WHEN scanned THEN '2024-01-01' ELSE '2023-01-01' END AS last_updated
+        FROM enriched LEFT JOIN vector_sums USING (path)""",
     "fts_files": f"WITH {_FILE_WORDS} SELECT * FROM words",
     "fts_functions": f"""WITH {_STORED_FUNCTIONS},
         {_words('functions', "name || ' ' || coalesce(summary, '')")} SELECT * FROM words""",
@@ -390,12 +429,16 @@ ORACLES: dict[str, str] = {
     "stale_functions": f"""WITH {_FILES}, {_STORED_FUNCTIONS}
         SELECT fn.id, f.path, fn.name, fn.body FROM functions fn JOIN files f ON f.id = fn.file_id
         WHERE fn.summary IS NULL OR fn.name NOT LIKE 'user%'""",
-    "enrich_functions": f"""WITH {_STORED_FUNCTIONS}
+    "enrich_functions": f"""WITH {_STORED_FUNCTIONS}, enriched AS (
+            SELECT id, name, CASE WHEN stale THEN {_sentences('body', 3)} WHEN name LIKE 'user%' THEN summary
+                             END AS summary, stale
+            FROM (SELECT *, (name NOT LIKE 'user%' OR summary IS NULL)
+                            AND file_id IN (SELECT doc_id FROM documents) AS stale FROM functions)),
+        {_vector_sums('enriched', 'id')}
         SELECT id, summary, {_fts("name || ' ' || coalesce(summary, '')")} AS fts,
-               CASE WHEN name LIKE 'user%' AND summary IS NOT NULL THEN '2023-01-01'
-                    WHEN file_id IN (SELECT doc_id FROM documents) THEN '2024-01-01'
-                    ELSE '2023-01-01' END AS last_updated
-        FROM functions""",
+               CASE WHEN stale THEN coalesce(vector_sum, 0) END AS vector_sum,
+               CASE WHEN stale THEN '2024-01-01' ELSE '2023-01-01' END AS last_updated
+        FROM enriched LEFT JOIN vector_sums USING (id)""",
     "duplicate_keys": """SELECT sha256(text) AS checksum, count(*) AS copies FROM documents
         GROUP BY 1 HAVING count(*) > 1""",
     "assign_ids": f"""WITH {_DOCUMENTS}
@@ -418,11 +461,10 @@ ORACLES: dict[str, str] = {
             WHERE m.language = {_counted('path')} AND m.language IN ('Python', 'JavaScript', 'TypeScript'))
         SELECT path, name, cast(start_line + shift AS INTEGER) AS start_line,
                cast(end_line + shift AS INTEGER) AS end_line, sha256(body) AS checksum,
-               CASE WHEN shift = 1 OR NOT regexp_matches(body, '[.!?]') THEN '2024-01-01'
-                    ELSE '2023-01-01' END AS last_updated
+               CASE WHEN shift = 1 THEN '2024-01-01' ELSE '2023-01-01' END AS last_updated
         FROM indexed""",
-    "summarize_lead": f"""SELECT doc_id, {_lead('text', 8)} AS file_summary,
-        {_lead('text', 3)} AS function_summary FROM documents""",
+    "summarize_lead": f"""SELECT doc_id, {_sentences('text', 8)} AS file_summary,
+        {_sentences('text', 3)} AS function_summary FROM documents""",
     "embed_hashing": _hashed("documents", "doc_id"),
     "query_embedding": _hashed("benchmark", "item_id"),
     "analyze_terms": f"WITH {_TEXT_WORDS} SELECT * FROM words",
@@ -430,7 +472,7 @@ ORACLES: dict[str, str] = {
         SELECT term, id, project_id, pos FROM words JOIN documents_as_files ON doc_id = id""",
     "web_query": f"""
         WITH split AS (SELECT item_id, {_tokens('text')} AS w FROM benchmark),
-        asked AS (SELECT * FROM split WHERE len(w) >= 3),
+        asked AS (SELECT * FROM split),
         parts AS (
             SELECT item_id, unnest(w) AS word, generate_subscripts(w, 1) AS place,
                    false AS negated, false AS phrase, 0 AS shift FROM asked
@@ -439,7 +481,7 @@ ORACLES: dict[str, str] = {
             UNION ALL SELECT item_id, w[3], len(w) + 2, true, false, 0 FROM asked),
         placed AS (
             SELECT *, sum(CASE WHEN word = 'or' AND NOT phrase AND NOT negated THEN 1 ELSE 0 END)
-                OVER (PARTITION BY item_id ORDER BY place) AS alternative FROM parts),
+                OVER (PARTITION BY item_id ORDER BY place) AS alternative FROM parts WHERE word IS NOT NULL),
         kept AS (SELECT * FROM placed WHERE word NOT IN ({_STOPS})
                  AND NOT (word = 'or' AND NOT phrase AND NOT negated))
         SELECT item_id, cast(alternative AS INTEGER) AS alternative,

@@ -23,6 +23,7 @@ from shelfmark.operators import fulltext, identity, projects, ranking
 from shelfmark.plans import search, table_functions
 from shelfmark.plans.indexing import run_index
 from shelfmark.session import shared_folder
+from shelfmark.sources.repositories import scan_repositories
 from shelfmark.sources.snapshots import SnapshotStore
 from shelfmark.sources.tables import spread
 from workload import corpus
@@ -43,9 +44,27 @@ def _time(column: str = "last_updated"):
     return F.date_format(column, "yyyy-MM-dd").alias(column)
 
 
+def _vector_sum():
+    """Weights of a new vector, each times its place, summed up; rows without one have none."""
+    total = "aggregate(transform(embedding, (x, i) -> (i + 1) * cast(x AS double)), 0D, (s, x) -> s + x)"
+    return F.expr(f"round({total}, 3)").alias("vector_sum")
+
+
 # Sources and lookups
 
 
+@query
+def scan_folder(spark, folder):
+    """Every document as a file under names that file sources skip, found again by its tracked path."""
+    root = f"{shared_folder(spark)}/checkouts-{uuid.uuid4().hex}"
+    documents = corpus.tracked_documents(table(spark, folder, "documents"))
+    corpus.write_files(documents.unionByName(corpus.untracked(documents)), root)
+    checkouts = documents.select("folder", "git_url").distinct()
+    scan = scan_repositories(spark, root, checkouts, documents.select("git_url", "path"))
+    return scan.select("git_url", "path", checksum(F.col("content")).alias("checksum"),
+                       F.length("content").cast("long").alias("n_bytes"))
+
+
 @query
 def decode_lossy_text(spark, folder):
     raw = table(spark, folder, "documents").select(
@@ -71,10 +90,8 @@ def stored_lookup(spark, folder):
     return file_ops.stored_lookup(corpus.stored_files(spark, folder), labelled)
 
 
-@query
-def snapshot_roundtrip(spark, folder):
-    """Write all three tables as a snapshot, publish it, read it back."""
-    store = SnapshotStore(spark, f"{shared_folder(spark)}/snapshot-{uuid.uuid4().hex}")
+def _publish(store: SnapshotStore, spark, folder, files: DataFrame) -> None:
+    """A snapshot of the given files, the turns as functions and the sources as projects."""
     run = store.begin()
     sources = table(spark, folder, "documents").select("source").distinct()
     run.write("projects", sources.select(
@@ -83,9 +100,16 @@ def snapshot_roundtrip(spark, folder):
         F.lit(None).alias("default_branch"), F.lit(None).alias("summary"),
         F.lit(None).alias("embedding"), F.lit(AS_OF).alias("last_updated"),
     ))
-    run.write("files", corpus.stored_files(spark, folder))
+    run.write("files", files)
     run.write("functions", corpus.stored_functions(spark, folder))
     run.publish(AS_OF)
+
+
+@query
+def snapshot_roundtrip(spark, folder):
+    """Write all three tables as a snapshot, publish it, read it back."""
+    store = SnapshotStore(spark, f"{shared_folder(spark)}/snapshot-{uuid.uuid4().hex}")
+    _publish(store, spark, folder, corpus.stored_files(spark, folder))
     return (
         store.read("files").select(F.lit("files").alias("kind"), "id", "checksum")
         .unionByName(store.read("functions").select(F.lit("functions").alias("kind"), "id", "checksum"))
@@ -201,20 +225,17 @@ def files_for_language(spark, folder):
 
 @query
 def cascade_delete(spark, folder):
-    all_projects = table(spark, folder, "documents").select(
-        F.expr("cast(substr(source, 4) AS bigint)").alias("id")
-    ).distinct()
+    """Publish a snapshot, delete the projects of toxic documents in the store, read the next one back."""
+    store = SnapshotStore(spark, f"{shared_folder(spark)}/deleted-{uuid.uuid4().hex}")
+    files = corpus.files(spark, folder).withColumn("last_updated", F.lit(AS_OF).cast("timestamp"))
+    _publish(store, spark, folder, files)
     removed = corpus.document_paths(
         table(spark, folder, "documents")
         .join(table(spark, folder, "labels").where("toxic = 1"), "doc_id", "left_semi")
     ).select(F.col("project_id").alias("id")).distinct()
-    left = projects.delete_projects(
-        all_projects, corpus.files(spark, folder).select("id", "project_id"),
-        corpus.stored_functions(spark, folder).select("id", "file_id"), removed,
-    )
-    kinds = ("projects", "files", "functions")
+    store.delete_projects(removed, AS_OF)
     first, second, third = (
-        rows.select(F.lit(kind).alias("kind"), "id") for kind, rows in zip(kinds, left)
+        store.read(kind).select(F.lit(kind).alias("kind"), "id") for kind in ("projects", "files", "functions")
     )
     return first.unionByName(second).unionByName(third)
 
@@ -250,7 +271,7 @@ def enrich_files(spark, folder):
     )
     return file_ops.enrich_files(merged, file_ops.is_stale(), AS_OF, analyzer=PLAIN).select(
         "path", "summary", F.array_join("fts", " ").alias("fts"),
-        F.col("embedding").isNotNull().alias("embedded"),
+        _vector_sum(), _time(),
     )
 
 
@@ -333,7 +354,7 @@ def stale_functions(spark, folder):
 def enrich_functions(spark, folder):
     functions = _half_summarised(spark, folder)
     return defs.enrich_functions(functions, corpus.files(spark, folder), AS_OF, analyzer=PLAIN).select(
-        "id", "summary", F.array_join("fts", " ").alias("fts"), _time()
+        "id", "summary", F.array_join("fts", " ").alias("fts"), _vector_sum(), _time()
     )
 
 
@@ -430,15 +451,26 @@ def postings(spark, folder):
 @query
 def web_query(spark, folder):
     words = F.expr("regexp_extract_all(lower(text), r'[\\p{L}\\p{N}]+', 0)")
-    queries = table(spark, folder, "benchmark").withColumn("w", words).where("size(w) >= 3").select(
+    first, second, third = (f"coalesce(get(w, {i}), '')" for i in range(3))
+    queries = table(spark, folder, "benchmark").withColumn("w", words).select(
         "item_id",
-        F.expr("concat(array_join(w, ' '), ' \"', w[0], ' ', w[1], '\" -', w[2])").alias("query_text"),
+        F.expr(f"concat(array_join(w, ' '), ' \"', {first}, ' ', {second}, '\" -', {third})").alias("query_text"),
     )
     return fulltext.query_clauses(
         fulltext.parse_queries(queries, "query_text", PLAIN), "item_id"
     )
 
 
+@query
+def web_query_compound(spark, folder):
+    """Words joined by underscore and hyphen are phrases, negated ones too."""
+    words = F.expr("regexp_extract_all(lower(text), r'[\\p{L}\\p{N}]+', 0)")
+    w = [f"coalesce(get(w, {i}), '')" for i in range(4)]
+    queries = table(spark, folder, "benchmark").withColumn("w", words).select("item_id", F.expr(
+        f"concat({w[0]}, '_', {w[1]}, ' ', {w[2]}, '-', {w[3]}, ' -', {w[0]}, '_', {w[2]})").alias("query_text"))
+    return fulltext.query_clauses(fulltext.parse_queries(queries, "query_text", PLAIN), "item_id")
+
+
 def _scores(spark, folder, text: str) -> DataFrame:
     parsed = fulltext.web_query(spark, text, PLAIN)
     return fulltext.keyword_scores(_stored_texts(spark, folder), parsed).select(
