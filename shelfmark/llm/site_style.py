@@ -283,9 +283,10 @@ def style_nodes(pages: DataFrame, url: str = "url", source: str = "html") -> Dat
         f"rows {ROWS}",
     ).select("host", F.explode("rows").alias("r")).select("host", "r.path", "r.line", "r.kind", "r.feature")
     features = rows.groupBy("host", "path", "line", "kind", "feature").agg(F.count("*").alias("c"))
-    nodes = features.groupBy("host", "path", "line", "kind").agg(
+    # Written, so that the pages are parsed once for all that follows.
+    nodes = written(features.groupBy("host", "path", "line", "kind").agg(
         F.sum("c").alias("n"), F.sum(F.col("c") * F.log("c")).alias("s"), F.count("*").alias("different")
-    )
+    ))
     shapes = nodes.where("kind = 0").select(
         "host", "path", F.col("n").alias("pages"), "different",
         F.when(F.col("n") > 1, (F.log("n") - F.col("s") / F.col("n")) / F.log("n")).otherwise(1.0).alias("shape"),
