@@ -1,20 +1,14 @@
-"""Finding function definitions in one file's text, as SQL expressions.
+"""Finding function definitions in one Python file's text, as a SQL expression.
 
 A file is one row, so everything here stays inside the row: literals and
 comments are masked by equally long filler, then one fold over the lines
-(Python) or over brace-delimited pieces (JavaScript, TypeScript) collects the
-definitions. No shuffle is needed before the definitions are exploded.
+collects the definitions. No shuffle is needed before they are exploded.
 """
 
 from __future__ import annotations
 
 from shelfmark.functions.sqltext import let, raw
 
-DEFINITIONS_TYPE = (
-    "array<struct<name:string,signature:string,start_line:int,end_line:int,"
-    "body:string,checksum:string>>"
-)
-
 # Tokens that tile a text: literals, comments, and what lies between. Possessive
 # quantifiers keep long literals off the matcher's stack.
 _PY_TOKENS = "|".join(
@@ -28,20 +22,6 @@ _PY_TOKENS = "|".join(
         r"[\"\x27]",
     )
 )
-_JS_TOKENS = "|".join(
-    (
-        r"//[^\n]*+",
-        r"/\*[^*]*+(?:\*(?!/)[^*]*+)*+\*/",
-        r"\"[^\"\\\n]*+(?:\\[\s\S][^\"\\\n]*+)*+\"",
-        r"\x27[^\x27\\\n]*+(?:\\[\s\S][^\x27\\\n]*+)*+\x27",
-        r"`[^`\\]*+(?:\\[\s\S][^`\\]*+)*+`",
-        # A regular expression literal: a slash where a value may start.
-        r"/(?<=(?:[=(,:;!&|?{}\[+*%~^<>-]\s{0,40}|return\s{1,40}|^)/)(?![/*])"
-        r"(?:[^/\\\n\[]|\\.|\[(?:[^\]\\\n]|\\.)*+\])++/",
-        r"[^\"\x27`/]++",
-        r"[\"\x27`/]",
-    )
-)
 
 
 def masked_sql(text: str, tokens: str) -> str:
@@ -57,8 +37,8 @@ def masked_sql(text: str, tokens: str) -> str:
         )
 
     mask = (
-        f"CASE WHEN left(m, 1) = '#' OR left(m, 2) IN ('//', '/*') THEN {fill("' '")} "
-        f"WHEN length(m) > 1 AND left(m, 1) IN ('\"', '\\'', '`', '/') "
+        f"CASE WHEN left(m, 1) = '#' THEN {fill("' '")} "
+        f"WHEN length(m) > 1 AND left(m, 1) IN ('\"', '\\'') "
         f"THEN concat('S', substr({fill('char(1)')}, 2)) ELSE m END"
     )
     return (
@@ -78,10 +58,6 @@ def _balance(brackets: str, opening: str, closing: str, others: str = "") -> str
     )
 
 
-def _lines_in(text: str) -> str:
-    return f"(length({text}) - length(replace({text}, '\\n', '')))"
-
-
 def python_definitions_sql(text: str) -> str:
     """Top-level functions and direct methods of top-level classes."""
     name = raw(r"^[ \t]*(?:async[ \t]+)?def[ \t]+([\p{L}_][\p{L}\p{N}_]*)")
@@ -156,141 +132,3 @@ def _with_bodies(found: str) -> str:
         "'start_line', d.start_line, 'end_line', d.end_line, 'body', d.body, "
         "'checksum', sha2(d.body, 256)))"
     )
-
-
-_IDENTIFIER = r"[\p{L}_$][\p{L}\p{N}_$]*"
-_LINE_START = r"(?s)^((?:.*\n)?\s*)"
-_JS_FUNCTION = _LINE_START + rf"((?:async\s+)?function\s+)({_IDENTIFIER})\s*[<(][^;]*$"
-_JS_CLASS = (
-    _LINE_START + r"(?:@[\p{L}\p{N}_.$]+(?:\([^()]*\))?\s*)*class\b[^;=]*$"
-)
-_JS_METHOD = (
-    r"(?s)^((?:.*?\n)?\s*)((?:@[\p{L}\p{N}_.$]+(?:\((?:[^()]|\([^()]*\))*\))?\s*)*)"
-    r"((?:(?:static|async|get|set|public|private|protected|override|readonly)\s+)*(?:\*\s*)?)"
-    rf"(#?{_IDENTIFIER}\x01*|\[[^\]]*\]|\d[\p{{L}}\p{{N}}.]*)\??\s*(?:<[^(]*>\s*)?\(.*\)\s*(?::[^=;]*)?$"
-)
-# What may not stand before a statement: an operator or a keyword that goes on.
-_UNFINISHED = (
-    r"(?:[=(,\[:?&|+*/%<>!~^.-]|\b(?:export|default|return|new|await|typeof|void|declare|"
-    r"abstract|extends|in|of|throw|yield))\s*$"
-)
-# A brace after these opens a type literal, not a body.
-_TYPE_BRACE = r"(?:[:|&<,]|\b(?:extends|is|keyof|readonly))\s*$"
-
-
-def script_definitions_sql(text: str, language: str) -> str:
-    """Root function declarations and methods of root classes."""
-    open_type = (
-        "struct<level:int,name_at:int,name_length:int,start_at:int,line:int>"
-    )
-    found_type = (
-        "struct<name_at:int,name_length:int,start_at:int,line:int,end_at:int,last:int>"
-    )
-
-    def state(**fields: str) -> str:
-        names = ("depth", "at", "line", "head", "held", "cls", "opened", "done")
-        return "named_struct(" + ", ".join(
-            f"'{n}', {fields.get(n, f'a.{n}')}" for n in names
-        ) + ")"
-
-    moved = {"depth": "x.depth", "at": "x.at", "line": "a.line + x.newline"}
-    nothing_open = f"cast(NULL AS {open_type})"
-    # Everything a step derives from the piece p, bound once as x.
-    step = (
-        "named_struct('mark', p.mark, 'before', a.depth + p.inner, "
-        "'depth', greatest(a.depth + p.inner + if(p.mark = '{', 1, if(p.mark = '}', -1, 0)), 0), "
-        "'at', a.at + p.length, 'newline', if(p.mark = '\\n', 1, 0), 'level', if(a.cls, 1, 0))"
-    )
-    head = "substr(masked, a.head + 1, x.at - a.head - 1)"
-
-    def group(pattern: str, number: int) -> str:
-        return f"regexp_extract(h, {raw(pattern)}, {number})"
-
-    def opening(before_start: str, before_name: str, name: str) -> str:
-        rest = f"substr(h, {before_start} + 1)"
-        return (
-            "named_struct('level', x.level, "
-            f"'name_at', a.head + {before_name}, 'name_length', {name}, "
-            f"'start_at', a.head + {before_start}, "
-            f"'line', a.line + 1 - {_lines_in(rest)})"
-        )
-
-    function_prefix = f"length({group(_JS_FUNCTION, 1)})"
-    function_open = opening(
-        function_prefix,
-        f"{function_prefix} + length({group(_JS_FUNCTION, 2)})",
-        f"length({group(_JS_FUNCTION, 3)})",
-    )
-    method_prefix = f"length({group(_JS_METHOD, 1)})"
-    method_decorators = f"length({group(_JS_METHOD, 2)})"
-    # A method's decorators belong to the method in JavaScript only.
-    method_start = (
-        method_prefix if language == "JavaScript" else f"{method_prefix} + {method_decorators}"
-    )
-    method_open = opening(
-        method_start,
-        f"{method_prefix} + {method_decorators} + length({group(_JS_METHOD, 3)})",
-        f"length({group(_JS_METHOD, 4)})",
-    )
-    unfinished = raw(_UNFINISHED)
-    brace = let(
-        "h", head,
-        f"CASE WHEN h RLIKE {raw(_TYPE_BRACE)} THEN {state(**moved, held='true')} "
-        f"WHEN NOT a.cls AND h RLIKE {raw(_JS_FUNCTION)} "
-        f"AND NOT {group(_JS_FUNCTION, 1)} RLIKE {unfinished} "
-        f"THEN {state(**moved, opened=function_open)} "
-        f"WHEN NOT a.cls AND h RLIKE {raw(_JS_CLASS)} "
-        f"AND NOT {group(_JS_CLASS, 1)} RLIKE {unfinished} "
-        f"THEN {state(**moved, cls='true', head='x.at')} "
-        f"WHEN a.cls AND h RLIKE {raw(_JS_METHOD)} "
-        f"THEN {state(**moved, opened=method_open)} "
-        f"ELSE {state(**moved)} END",
-    )
-    finished = (
-        "concat(a.done, array(named_struct('name_at', a.opened.name_at, "
-        "'name_length', a.opened.name_length, 'start_at', a.opened.start_at, "
-        "'line', a.opened.line, 'end_at', x.at, 'last', a.line + 1)))"
-    )
-    merge = let(
-        "x", step,
-        "CASE WHEN a.opened IS NOT NULL THEN "
-        f"  if(x.mark = '}}' AND x.depth <= a.opened.level, "
-        f"  {state(**moved, opened=nothing_open, done=finished, head='x.at', held='false')}, "
-        f"  {state(**moved)}) "
-        f"WHEN x.mark = '{{' AND x.before = x.level THEN {brace} "
-        f"WHEN x.mark = '}}' AND a.cls AND x.depth = 0 THEN "
-        f"  {state(**moved, cls='false', head='x.at', held='false')} "
-        f"WHEN x.mark = '}}' AND x.depth = x.level THEN "
-        f"  {state(**moved, head='if(a.held, a.head, x.at)', held='false')} "
-        f"WHEN x.mark = ';' AND x.depth = x.level THEN {state(**moved, head='x.at')} "
-        f"ELSE {state(**moved)} END",
-    )
-    start = state(
-        depth="0", at="0", line="0", head="0", held="false", cls="false",
-        opened=nothing_open, done=f"cast(array() AS array<{found_type}>)",
-    )
-    pieces = (
-        f"transform(regexp_extract_all(masked, {raw('[^{};\\n]*+[{};\\n]')}, 0), p -> named_struct("
-        "'mark', substr(p, -1), 'length', length(p), "
-        f"'inner', {let('b', _brackets('p'), _balance('b', '([', ')]', '{}'))}))"
-    )
-    found = f"aggregate({pieces}, {start}, (a, p) -> {merge}, a -> a.done)"
-    return let(
-        "masked", masked_sql(text, _JS_TOKENS),
-        _with_bodies(
-            f"transform({found}, d -> named_struct("
-            f"'name', substr({text}, d.name_at + 1, d.name_length), "
-            "'start_line', d.line, 'end_line', d.last, "
-            f"'body', substr({text}, d.start_at + 1, d.end_at - d.start_at)))"
-        ),
-    )
-
-
-def definitions_sql(text: str, language: str) -> str:
-    """Definitions of a file by its language; other languages have none."""
-    return (
-        f"CASE {language} WHEN 'Python' THEN {python_definitions_sql(text)} "
-        f"WHEN 'JavaScript' THEN {script_definitions_sql(text, 'JavaScript')} "
-        f"WHEN 'TypeScript' THEN {script_definitions_sql(text, 'TypeScript')} "
-        f"ELSE cast(array() AS {DEFINITIONS_TYPE}) END"
-    )

@@ -6,8 +6,9 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, functions as F
 
-from shelfmark.functions.definitions import definitions_sql
+from shelfmark.functions.definitions import python_definitions_sql
 from shelfmark.functions.fixed_values import DEFINITION_LANGUAGES
+from shelfmark.functions.scripts import script_definitions_of
 from shelfmark.functions.sqltext import let
 from shelfmark.functions.text import ENGLISH, Analyzer, lexemes_sql
 from shelfmark.operators.enrichment import Model, enrich, hashed_embedding, lead_summary
@@ -32,13 +33,17 @@ def extract_definitions(
     further columns to carry along. With ``one_per_line`` only the last of
     several definitions on a line stays; they are neighbours in source order.
     """
-    found = definitions_sql("body", "language")
+    python = F.col("language") == "Python"
+    script = F.when(~python, F.col("body"))  # Python files are not sent to the script scanner
+    listed = supported(files).select(
+        "file_id", *keep,
+        F.when(python, F.expr(python_definitions_sql("body")))
+        .otherwise(script_definitions_of(script, F.col("language"))).alias("_found"),
+    )
     if one_per_line:
-        found = let(
-            "every", found,
-            "filter(every, (d, i) -> NOT get(every, i + 1).start_line <=> d.start_line)",
-        )
-    listed = supported(files).select("file_id", *keep, F.expr(found).alias("_found"))
+        listed = listed.withColumn("_found", F.expr(let(
+            "every", "_found", "filter(every, (d, i) -> NOT get(every, i + 1).start_line <=> d.start_line)",
+        )))
     # The outer form does not compute the array once more to filter by its size.
     return (
         listed.select("file_id", *keep, F.posexplode_outer("_found").alias("ordinal", "_d"))

@@ -1,9 +1,11 @@
 import ast
 import glob
 import os
+import time
 
 from pyspark.sql import functions as F
 
+from shelfmark.functions.scripts import script_definitions
 from shelfmark.operators.definitions import extract_definitions, last_per_line
 
 
@@ -163,3 +165,36 @@ def test_last_definition_of_a_line_wins(spark):
     )
     kept = last_per_line(extract_definitions(rows)).collect()
     assert {(r["start_line"], r["name"]) for r in kept} == {(1, "b"), (2, "c")}
+
+
+def test_decorators_of_any_length_and_depth(spark):
+    long = "x" * 100000
+    text = f"class A {{\n  @Doc('{long}')\n  run(a) {{ return 1 }}\n}}\n"
+    assert extract(spark, "JavaScript", text) == [("run", 2, 3, f"@Doc('{long}')\n  run(a) {{ return 1 }}")]
+    text = f"class A {{\n  @Doc(({'(' * 5000}{')' * 5000}))\n  run(a) {{ return 1 }}\n}}\n"
+    assert extract(spark, "TypeScript", text) == [("run", 3, 3, "run(a) { return 1 }")]
+    text = "class A {\n  @Doc(() => [of(f(1))])\n  run(a) { return 1 }\n}\n"
+    assert extract(spark, "TypeScript", text) == [("run", 3, 3, "run(a) { return 1 }")]
+    assert extract(spark, "TypeScript", "@Comp({p: [ref(f(1))]}) class A { run(a) { return 1 } }") == [
+        ("run", 1, 1, "run(a) { return 1 }")]
+    text = "class A {\n  @One()\n  @Two\n  static async run(a) { }\n  x = call()\n  next() { }\n}"
+    assert extract(spark, "JavaScript", text) == [
+        ("run", 2, 4, "@One()\n  @Two\n  static async run(a) { }"), ("next", 6, 6, "next() { }")]
+
+
+def test_regular_expressions_after_many_blanks(spark):
+    for blanks in ("", " " * 45, " " * 5000, "\n" * 100):
+        text = f"function f() {{ x ={blanks}/}}/; return 1 }}"
+        assert extract(spark, "JavaScript", text) == [("f", 1, 1 + blanks.count("\n"), text)]
+
+
+def test_scripts_take_linear_time():
+    def seconds(n):
+        text = "".join(f"function f{i}(a, b = {{}}) {{\n  return '{{' + `x` + /[}}]/;\n}}\n" for i in range(n))
+        began = time.process_time()
+        assert len(script_definitions(text, "JavaScript")) == n
+        return time.process_time() - began
+
+    small = min(seconds(2000) for _ in range(3))
+    assert min(seconds(8000) for _ in range(2)) < 8 * small
+    assert script_definitions("class A {" + "x: {a: 1} | {b: 2}\n" * 20000 + "run() {} }", "TypeScript")[0]["name"] == "run"
