@@ -27,8 +27,8 @@ FAMILIES = {
 }
 UNDETERMINED = "und"
 DIMENSIONS = 1 << 12
-#: Training rows for each language, as drawn by a hash of the text: at most about this many.
-SAMPLE_PER_LANGUAGE = 800
+#: Training rows, shared equally by the languages and drawn by a hash of the id: about this many, at most twice.
+SAMPLE = 3200
 #: The most frequent labels are learned, so that the models stay small.
 MAX_LANGUAGES = 64
 EPOCHS = 12
@@ -69,19 +69,20 @@ def train_svm(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
     Rows of each class weigh as much as those of the other together.
     """
-    x = np.hstack([x, np.ones((len(x), 1))])
-    norms = (x * x).sum(axis=1)
+    norms = np.einsum("ij,ij->i", x, x) + 1
     bound = np.where(y > 0, len(y) / (2 * max(1, (y > 0).sum())), len(y) / (2 * max(1, (y < 0).sum()))) * PENALTY
-    weights, alpha = np.zeros(x.shape[1]), np.zeros(len(x))
+    weights, bias, alpha = np.zeros(x.shape[1], x.dtype), 0.0, np.zeros(len(x))
     rng = np.random.default_rng(0)
     for _ in range(EPOCHS):
         for i in rng.permutation(len(x)):
-            gradient = y[i] * (x[i] @ weights) - 1
+            gradient = y[i] * (float(x[i] @ weights) + bias) - 1
             new = min(max(alpha[i] - gradient / norms[i], 0.0), bound[i])
             if new != alpha[i]:
-                weights += (new - alpha[i]) * y[i] * x[i]
+                step = (new - alpha[i]) * y[i]
+                weights += x.dtype.type(step) * x[i]
+                bias += step
                 alpha[i] = new
-    return weights
+    return np.append(weights, bias).astype(float)
 
 
 @dataclass
@@ -124,12 +125,12 @@ def held_out(id_col: str = "doc_id") -> Column:
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text: str = "text", lang: str = "lang",
-          per_language: int = SAMPLE_PER_LANGUAGE) -> Model:
+          sample: int = SAMPLE) -> Model:
     """Learn from rows with text and language that aren't held out.
 
-    Counting the labels reads one column. The sample has about ``per_language``
-    rows of each language, chosen by a hash of the id, and twice as many at most;
-    its trigram counts are all that reaches the driver. Labels without a usable
+    Counting the labels reads two columns. The sample has about ``sample`` rows,
+    as many of each language where there are so many, chosen by a hash of the id,
+    and twice as many at most; its trigram counts are all that reaches the driver. Labels without a usable
     text are not learned; with none at all the model answers ``und``.
     """
     known = docs.where(~held_out(id_col) & F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
@@ -138,12 +139,11 @@ def train(docs: DataFrame, id_col: str = "doc_id", text: str = "text", lang: str
     sizes = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
     if not sizes:
         return Model([], {}, {}, {})
-    share = F.create_map(*[
-        F.lit(v) for r in sizes for v in (r["lang"], min(1.0, per_language / r["count"]))
-    ])
+    each = sample / len(sizes)
+    share = F.create_map(*[F.lit(v) for r in sizes for v in (r["lang"], min(1.0, each / r["count"]))])
     drawn = known.where(
         (F.shiftrightunsigned("h", 32).cast("double") / float(1 << 32)) < F.element_at(share, F.col("lang"))
-    ).limit(2 * per_language * len(sizes))
+    ).limit(2 * sample)
 
     def start():
         def batch(texts):
@@ -157,7 +157,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text: str = "text", lang: str
 
     rows = append_columns(drawn, "text", start, "grams array<int>").select("lang", "h", "grams").collect()
     rows = sorted((r for r in rows if r["grams"]), key=lambda r: (r["h"], r["lang"]))
-    x = np.zeros((len(rows), DIMENSIONS))
+    x = np.zeros((len(rows), DIMENSIONS), np.float32)
     for vector, r in zip(x, rows):
         grams = np.array(r["grams"]).reshape(2, -1)
         vector[grams[0]] = np.sqrt(grams[1] / grams[1].sum())
@@ -170,8 +170,9 @@ def train(docs: DataFrame, id_col: str = "doc_id", text: str = "text", lang: str
     def machines(names, of):
         out = {}
         for a, b in combinations(names, 2):
-            rows_of = np.flatnonzero((of == a) | (of == b))
-            out[a, b] = train_svm(x[rows_of], np.where(of[rows_of] == a, 1.0, -1.0))
+            own = (of == a) | (of == b)
+            chosen = x if own.all() else x[own]
+            out[a, b] = train_svm(chosen, np.where(of[own] == a, 1.0, -1.0))
         return out
 
     within = {}
