@@ -235,6 +235,15 @@ SCRIPT_SOURCE = (
     '  }}\n'
     '}}\n'
 )
+TYPED_SOURCE = (
+    '@Injectable({{ deps: [of("{{")] }})\n'
+    'class Typed_{id}<T extends {{ a: number }}> {{\n'
+    '  @Input(() => [f({{}})])\n'
+    '  public method_{lang}(first: {{ a: string }}, second?: T): Promise<{{ b: T }}> {{\n'
+    '    return `{text}`;\n'
+    '  }}\n'
+    '}}\n'
+)
 
 
 def source_text(template: str, quote: str = "''") -> str:
@@ -262,13 +271,18 @@ def source_text(template: str, quote: str = "''") -> str:
     return "concat(" + ", ".join(parts) + ")"
 
 
-CLEAN = "regexp_replace(text, '[^A-Za-z0-9 ,.\n]', '_', 'g')"
+# A text as the inside of a literal: everything is kept, quotes and backslashes are escaped.
+CLEAN = r"""regexp_replace(text, '([\\"`])', '\\\1', 'g')"""
+
+
+def _escaped(text: Column) -> Column:
+    return F.regexp_replace(text, r'([\\"`])', r"\\$1")
 
 
 def source_files(spark: SparkSession, folder: str) -> DataFrame:
-    """Two source files per document, each holding its whole text."""
+    """A source file in each language per document, each holding its whole text."""
     documents = spread(table(spark, folder, "documents")).withColumn(
-        "clean", F.regexp_replace("text", "[^A-Za-z0-9 ,.\n]", "_")
+        "clean", _escaped(F.col("text"))
     )
     def body(template: str):
         return F.expr(source_text(template, quote="\\'"))
@@ -285,7 +299,11 @@ def source_files(spark: SparkSession, folder: str) -> DataFrame:
         (-F.col("doc_id") - 1).alias("file_id"), F.lit("Go").alias("language"),
         body(SCRIPT_SOURCE).alias("body"),
     )
-    return python.unionByName(script).unionByName(other)
+    typed = documents.select(
+        (F.col("doc_id") + 1000000000).alias("file_id"), F.lit("TypeScript").alias("language"),
+        body(TYPED_SOURCE).alias("body"),
+    )
+    return python.unionByName(script).unionByName(typed).unionByName(other)
 
 
 def repository_scan(spark: SparkSession, folder: str, edited: bool = False) -> DataFrame:
@@ -297,7 +315,7 @@ def repository_scan(spark: SparkSession, folder: str, edited: bool = False) -> D
     documents = (
         document_paths(spread(table(spark, folder, "documents")))
         .join(good.withColumn("_good", F.lit(True)), "doc_id", "left")
-        .withColumn("clean", F.regexp_replace("text", "[^A-Za-z0-9 ,.\n]", "_"))
+        .withColumn("clean", _escaped(F.col("text")))
     )
     python, script = (
         F.expr(source_text(t, quote="\\'")) for t in (PYTHON_SOURCE, SCRIPT_SOURCE)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from shelfmark.functions.fixed_values import ENGLISH_STOP_WORDS, EXTENSION_LANGUAGE
-from workload.corpus import CLEAN, PYTHON_SOURCE, SCRIPT_SOURCE, source_text
+from workload.corpus import CLEAN, PYTHON_SOURCE, SCRIPT_SOURCE, TYPED_SOURCE, source_text
 
 _STOPS = ", ".join(f"'{w}'" for w in ENGLISH_STOP_WORDS)
 _WORD = r"[\p{L}\p{N}]+"
@@ -320,7 +320,10 @@ UNION ALL
              _between(SCRIPT_SOURCE, 'constructor', 'super(first); }}'))}
 UNION ALL
 {_definition('doc_id * 2 + 1', 2, 'lang', '12 + k', '14 + k',
-             _between(SCRIPT_SOURCE, 'static get', f"';{chr(10)}  }}}}"))})"""
+             _between(SCRIPT_SOURCE, 'static get', f"';{chr(10)}  }}}}"))}
+UNION ALL
+{_definition('doc_id + 1000000000', 0, "'method_' || lang", '4', '6 + k',
+             _between(TYPED_SOURCE, 'public method_', f"`;{chr(10)}  }}}}"))})"""
 
 ORACLES: dict[str, str] = {
     "scan_folder": """SELECT 'https://example.org/' || source || '.git' AS git_url,
