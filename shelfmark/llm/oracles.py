@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from shelfmark.llm import secret_scan
+
 ORACLES: dict[str, str] = {}
 
 ORACLES["op1_quality_rules"] = r"""
@@ -66,3 +68,81 @@ FROM split s LEFT JOIN rules r
     ON (s.host = r.host OR ends_with(s.host, '.' || r.host)) AND starts_with(s.path, r.path)
 QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY length(r.host || r.path) DESC NULLS LAST, r.action DESC) = 1
 """
+
+ORACLES["op4_benchmark_decontamination"] = r"""
+WITH items AS (
+    SELECT item_id, w, least(5, len(w)) AS n
+    FROM (SELECT item_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}_]+') AS w FROM benchmark)
+    WHERE len(w) > 0
+), wanted AS (
+    SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS shingle
+    FROM (SELECT item_id, n, w, unnest(range(1, len(w) - n + 2)) AS i FROM items)
+), sizes AS (
+    SELECT item_id, count(*) AS k FROM wanted GROUP BY item_id
+), docs AS (
+    SELECT doc_id, n, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}_]+') AS w
+    FROM documents, (SELECT DISTINCT n FROM items)
+), present AS (
+    SELECT DISTINCT doc_id, n, array_to_string(w[i:i + n - 1], ' ') AS shingle
+    FROM (SELECT doc_id, n, w, unnest(range(1, len(w) - n + 2)) AS i FROM docs WHERE len(w) >= n)
+), shared AS (
+    SELECT doc_id, item_id, count(*) AS s FROM present JOIN wanted USING (n, shingle) GROUP BY doc_id, item_id
+)
+SELECT doc_id, item_id, k::INTEGER AS n_shingles, s::INTEGER AS n_shared, s / k AS containment
+FROM shared JOIN sizes USING (item_id) WHERE 10 * s >= 8 * k
+"""
+
+
+def _spans(name: str, pattern: str, group: int) -> str:
+    """``doc_id, start, stop, value`` of the matches of a pattern, placed by what stands before them."""
+    quoted = pattern.replace("'", "''")
+    return f"""
+{name} AS (
+    SELECT doc_id, value, stop - length(whole) AS start, stop FROM (
+        SELECT doc_id, value, whole,
+            sum(length(gap) + length(whole)) OVER (PARTITION BY doc_id ORDER BY place)::BIGINT AS stop
+        FROM (
+            SELECT doc_id, unnest(found) AS whole, unnest(chosen) AS value, unnest(gaps[:len(found)]) AS gap,
+                generate_subscripts(found, 1) AS place
+            FROM (
+                SELECT doc_id, regexp_extract_all(text, '{quoted}') AS found,
+                    regexp_extract_all(text, '{quoted}', {group}) AS chosen,
+                    string_split_regex(text, '{quoted}') AS gaps
+                FROM documents WHERE regexp_matches(text, '{quoted}')))))"""
+
+
+_ALLOWED = " OR ".join(f"regexp_matches(value, '{p}')" for p in secret_scan.ALLOWED)
+_LIMITS = " ".join(
+    f"WHEN regexp_matches(value, '{p}') THEN {secret_scan.entropy_limit(bits)}" for p, bits in secret_scan.CLASSES
+)
+_JOINED = "coalesce(string_agg({kind} || ':' || start || ':' || stop, ',' ORDER BY start, rank){only}, '')"
+
+ORACLES["op7_secret_scans"] = rf"""
+WITH {_spans("assigned", secret_scan.ASSIGN, 2)}, {_spans("keys", secret_scan.ACCESS, 0)},
+{_spans("digits", secret_scan.HEX, 0)}, {_spans("candidates", secret_scan.CANDIDATE, 0)},
+base AS (
+    SELECT doc_id, 'assign' AS kind, 0 AS rank, start, stop FROM assigned WHERE length(value) >= 6
+    UNION ALL SELECT doc_id, 'access', 1, start, stop FROM keys
+    UNION ALL SELECT doc_id, 'hex', 2, start, stop FROM digits
+), apart AS (
+    SELECT doc_id, start, stop, value FROM candidates c
+    WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = c.doc_id AND b.start < c.stop AND b.stop > c.start)
+        AND regexp_matches(value, '[A-Za-z]') AND regexp_matches(value, '[0-9]') AND NOT ({_ALLOWED})
+), windows AS (
+    SELECT doc_id, start, stop, value, i, unnest(string_split(substr(value, i, {secret_scan.WINDOW}), '')) AS c
+    FROM (SELECT *, unnest(range(1, length(value) - {secret_scan.WINDOW} + 2)) AS i FROM apart)
+), sums AS (
+    SELECT doc_id, start, stop, value, i, sum(round(n * log2(n) * 1000000)) AS s
+    FROM (SELECT doc_id, start, stop, value, i, c, count(*) AS n FROM windows GROUP BY ALL) GROUP BY ALL
+), spans AS (
+    SELECT * FROM base
+    UNION ALL
+    SELECT doc_id, 'entropy', 3, start, stop FROM sums GROUP BY doc_id, start, stop, value
+    HAVING min(s) <= CASE {_LIMITS} END
+)
+SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+    count(*) FILTER (kind = 'hex') AS n_hex,
+    sha256({_JOINED.format(kind="kind", only=" FILTER (rank < 3)")}) AS base_sha256,
+    {_JOINED.format(kind="kind", only="")} AS spans
+FROM documents LEFT JOIN spans USING (doc_id) GROUP BY doc_id
+"""
