@@ -28,16 +28,17 @@ def column_model(expression: Callable[..., Column]) -> Model:
 def batch_model(make: Callable[[], Callable[..., pd.Series]], returns: str) -> Model:
     """A model run in Python workers.
 
-    ``make()`` builds the callable once per task; it gets pandas Series of the
-    flagged rows' inputs. Other rows' inputs are not sent to Python.
+    ``make()`` builds the callable once per task that has flagged rows; it gets
+    pandas Series of these rows' inputs. Other rows' inputs are not sent to Python.
     """
 
     def call(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
-        model = make()
+        model = None
         for wanted, *inputs in batches:
             chosen = wanted.fillna(False).astype(bool)
             result = pd.Series([None] * len(wanted), dtype=object)
             if chosen.any():
+                model = model or make()
                 answers = model(*[values[chosen].reset_index(drop=True) for values in inputs])
                 result[chosen.to_numpy()] = pd.Series(list(answers), dtype=object).to_numpy()
             yield result

@@ -37,8 +37,13 @@ def terms(table: DataFrame, *keys: str) -> DataFrame:
 
 
 def postings(table: DataFrame) -> DataFrame:
-    """The inverted index ``(term, id, project_id, pos)``."""
-    return terms(table, "id", "project_id").select("term", "id", "project_id", "pos")
+    """The inverted index ``(term, id, project_id, positions)``, one row per word of a row.
+
+    The positions of a word are gathered where its text is, before anything moves.
+    """
+    return terms(table, "id", "project_id").groupBy("term", "id", "project_id").agg(
+        F.sort_array(F.collect_list("pos")).alias("positions")
+    )
 
 
 def cluster_postings(index: DataFrame) -> DataFrame:
@@ -46,7 +51,7 @@ def cluster_postings(index: DataFrame) -> DataFrame:
 
     Ranges run over term and id: a frequent term spreads over many files.
     """
-    return index.repartitionByRange("term", "id").sortWithinPartitions("term", "id", "pos")
+    return index.repartitionByRange("term", "id").sortWithinPartitions("term", "id")
 
 
 @dataclass(frozen=True)
@@ -121,17 +126,18 @@ def keyword_scores(table: DataFrame, query: WebQuery) -> DataFrame:
 def keyword_scores_from_postings(index: DataFrame, query: WebQuery) -> DataFrame:
     """``(id, score)`` computed from postings.
 
-    The term list reaches the scan as a literal filter. Hits are gathered per
-    row id, so the largest group is one document's hits.
+    The term list reaches the scan as a literal filter. The hits of one word are
+    one row already; those of several words are gathered per row id, so the
+    largest group is one document's hits.
     """
     if query.needs_all_rows:
         raise ValueError("a query of exclusions only has to read the table itself")
-    hits = (
-        index.where(F.col("term").isin(query.terms) if query.terms else F.lit(False))
-        .groupBy("id")
-        .agg(F.array_sort(F.collect_list(F.struct("pos", "term"))).alias("hits"))
+    found = index.where(F.col("term").isin(query.terms) if query.terms else F.lit(False)).select(
+        "id", F.transform("positions", lambda p: F.struct(p.alias("pos"), F.col("term").alias("term"))).alias("hits")
     )
-    return _evaluated(hits, query)
+    if len(query.terms) > 1:
+        found = found.groupBy("id").agg(F.array_sort(F.flatten(F.collect_list("hits"))).alias("hits"))
+    return _evaluated(found, query)
 
 
 def rank_order(score: str = "score") -> list[Column]:

@@ -26,7 +26,7 @@ _MANIFEST = "version long, run string, as_of timestamp"
 # skips row groups. A large project is split over several files.
 _CLUSTERED_BY = {"projects": "id", "files": "project_id", "functions": "project_id"}
 POSTINGS = {"file_postings": "files", "function_postings": "functions"}
-_POSTINGS_SCHEMA = "term string, id long, project_id long, pos int"
+_POSTINGS_SCHEMA = "term string, id long, project_id long, positions array<int>"
 
 
 def clustered(table: DataFrame, column: str) -> DataFrame:
@@ -34,6 +34,21 @@ def clustered(table: DataFrame, column: str) -> DataFrame:
     return table.hint("rebalance", F.col(column)).sortWithinPartitions(column, "id")
 
 
+def write_table(rows: DataFrame, location: str) -> None:
+    """Write rows with a bloom filter on the column that they are fetched by.
+
+    It lets a fetch by id skip row groups although ids are not in order; postings
+    are found by term.
+    """
+    writer = rows.write.mode("errorifexists")
+    sought = "term" if "term" in rows.columns else "id"
+    if sought in rows.columns:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{sought}", "true").option(
+            "parquet.bloom.filter.adaptive.enabled", "true"
+        )
+    writer.parquet(location)
+
+
 class ConflictError(RuntimeError):
     """Another run has published the version that this run was to become."""
 
@@ -121,14 +136,7 @@ class Run:
 
     def _write(self, table: str, rows: DataFrame, schema) -> DataFrame:
         location = self.store._location(table, self.run)
-        writer = rows.write.mode("errorifexists")
-        # Lets a fetch by id skip row groups although ids are not in order; postings are found by term.
-        sought = "term" if "term" in rows.columns else "id"
-        if sought in rows.columns:
-            writer = writer.option(f"parquet.bloom.filter.enabled#{sought}", "true").option(
-                "parquet.bloom.filter.adaptive.enabled", "true"
-            )
-        writer.parquet(location)
+        write_table(rows, location)
         return self.store.spark.read.schema(schema).parquet(location)
 
     def publish(self, as_of) -> int:

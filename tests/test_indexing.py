@@ -1,3 +1,4 @@
+import re
 from datetime import datetime
 
 import pandas as pd
@@ -5,6 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfmark.operators.enrichment import batch_model
+from shelfmark.operators.files import files_for_language
+from shelfmark.operators.fulltext import keyword_scores_from_postings, web_query
 from shelfmark.operators.definitions import enrich_functions, stale_functions
 from shelfmark.plans.indexing import run_index
 from shelfmark.plans.search import hybrid_search_files, query_embedding
@@ -139,6 +142,8 @@ def test_search_after_indexing(spark, store):
         postings=store.read("file_postings"), fetch="ids",
     ).collect()
     assert [r["path"] for r in found] == ["b.py", "a.py"]
+    one_word = keyword_scores_from_postings(store.read("file_postings"), web_query(spark, "charts"))
+    assert "Exchange" not in one_word._jdf.queryExecution().executedPlan().toString()
 
 
 def test_cascading_delete(spark, store):
@@ -229,3 +234,17 @@ def test_file_drops(spark, store, tmp_path):
     index()
     assert store.latest()["version"] == 2
     assert rows(store, "functions", "name") == {("first",)}
+
+
+def test_contents_of_a_large_project_are_spread(spark):
+    listing = spark.createDataFrame([(URL, f"{i}.py") for i in range(100)], "git_url string, path string")
+    projects = spark.createDataFrame([(1, URL, "Python")], "id long, git_url string, language string")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        chosen = files_for_language(listing, projects)
+        plan = chosen._jdf.queryExecution().executedPlan().toString()
+        assert chosen.count() == 100
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert re.search(r"hashpartitioning\([^)]*_slot", plan)

@@ -1,5 +1,6 @@
 import random
 
+import duckdb
 from pyspark.sql import functions as F
 
 from shelfmark.functions.stemming import stems_sql
@@ -12,6 +13,7 @@ from shelfmark.operators.fulltext import (
     web_query,
 )
 from shelfmark.operators.ranking import keyword_topk
+from workload import english
 
 # Every word counts, so that letters can stand for words.
 LETTERS = Analyzer(stemmer="none", path_mode="split", stop_words=())
@@ -150,3 +152,9 @@ def test_long_words_are_stemmed(spark):
     row = spark.createDataFrame([(words,)], "w array<string>").select(F.expr(stems_sql("w"))).first()
     assert row[0][:3] == ["ab" * 150 + "run", "ba" * 60, "bcd" * 100 + "ed"]
     assert row[0][3] == "a" * 100000 + "b" and row[0][4] == "b" * 100000 + "s"
+
+
+def test_the_oracle_stems_alike():
+    values = ", ".join(f"('{w}')" for w in STEMS)
+    found = duckdb.sql(f"WITH words(t) AS (VALUES {values}), {english.stems('words')} SELECT t, stem FROM stems").fetchall()
+    assert dict(found) == STEMS

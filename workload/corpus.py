@@ -15,6 +15,7 @@ from shelfmark.functions.sentences import lead_sentences
 from shelfmark.functions.text import PLAIN
 from shelfmark.operators.fulltext import analyze, cluster_postings, postings
 from shelfmark.session import shared_folder
+from shelfmark.sources.snapshots import clustered, write_table
 from shelfmark.sources.tables import read_table, spread
 
 AS_OF = datetime(2024, 1, 1)
@@ -29,14 +30,15 @@ _STORED: dict[tuple, str] = {}
 
 
 def stored(spark: SparkSession, folder: str, name: str, build: Callable[..., DataFrame]) -> DataFrame:
-    """A derived table, written once per session to the shared folder.
+    """A derived table, written once per session to the shared folder as the store writes it.
 
     Searches run over stored lexemes and vectors, as after an indexing run.
     """
     key = (spark.sparkContext.applicationId, folder, name)
     if key not in _STORED:
         location = f"{shared_folder(spark)}/corpus-{uuid.uuid4().hex}/{name}"
-        build(spark, folder).write.parquet(location)
+        rows = build(spark, folder)
+        write_table(clustered(rows, "project_id") if "term" not in rows.columns else rows, location)
         _STORED[key] = location
     return read_table(spark, _STORED[key])
 

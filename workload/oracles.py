@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from shelfmark.functions.fixed_values import ENGLISH_STOP_WORDS, EXTENSION_LANGUAGE
+from workload import english
 from workload.corpus import CLEAN, PYTHON_SOURCE, SCRIPT_SOURCE, TYPED_SOURCE, source_text
 
 _STOPS = ", ".join(f"'{w}'" for w in ENGLISH_STOP_WORDS)
@@ -471,8 +472,13 @@ ORACLES: dict[str, str] = {
     "embed_hashing": _hashed("documents", "doc_id"),
     "query_embedding": _hashed("benchmark", "item_id"),
     "analyze_terms": f"WITH {_TEXT_WORDS} SELECT * FROM words",
+    "analyze_terms_english": f"""WITH {_DOCUMENTS},
+        {english.tokens('documents_as_files', 'doc_id', "path || ' ' || text")},
+        words AS (SELECT * FROM tokens WHERE t NOT IN ({_STOPS})), {english.stems('words')}
+        SELECT doc_id AS id, stem AS term, cast(pos AS INTEGER) AS pos FROM words JOIN stems USING (t)""",
     "postings": f"""WITH {_DOCUMENTS}, {_TEXT_WORDS}
-        SELECT term, id, project_id, pos FROM words JOIN documents_as_files ON doc_id = id""",
+        SELECT term, id, project_id, string_agg(pos, ',' ORDER BY pos) AS positions
+        FROM words JOIN documents_as_files ON doc_id = id GROUP BY term, id, project_id""",
     "web_query": f"""
         WITH split AS (SELECT item_id, {_tokens('text')} AS w FROM benchmark),
         asked AS (SELECT * FROM split),

@@ -443,9 +443,18 @@ def analyze_terms(spark, folder):
     return fulltext.terms(corpus.texts(spark, folder), "id")
 
 
+@query
+def analyze_terms_english(spark, folder):
+    """The default analyzer over all documents with their paths."""
+    documents = corpus.document_paths(spread(table(spark, folder, "documents")))
+    rows = documents.select(F.col("doc_id").alias("id"), F.concat("path", F.lit(" "), "text").alias("text"))
+    return fulltext.terms(fulltext.analyze(rows, "text"), "id")
+
+
 @query
 def postings(spark, folder):
-    return fulltext.cluster_postings(fulltext.postings(corpus.texts(spark, folder)))
+    index = fulltext.cluster_postings(fulltext.postings(corpus.texts(spark, folder)))
+    return index.withColumn("positions", F.array_join("positions", ","))
 
 
 @query
