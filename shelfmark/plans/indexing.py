@@ -85,7 +85,7 @@ def run_index(
         old_files.select("id", "checksum"), ["id", "checksum"], "left_anti"
     )
     candidates = supported(files.withColumn("language", indexed_language(F.col("path"))))
-    sources = candidates.join(changed.select("id"), "id", "left_semi").select(
+    sources = run.with_bodies("files", candidates.join(changed.select("id"), "id", "left_semi")).select(
         F.col("id").alias("file_id"), "project_id", "body", "language"
     )
     definitions = run.set_aside(
@@ -93,11 +93,14 @@ def run_index(
     )
     changed_files = changed.select(F.col("id").alias("file_id"))
     diff = run.set_aside("diff", diff_functions(old_functions, definitions, changed_files))
+    following = apply_diff(old_functions, definitions, diff, as_of, analyzer)
+    # Bodies are at hand for new and changed functions; of the others, few still lack a summary.
+    bare = F.col("summary").isNull() & F.col("body").isNull()
+    filled = following.where(~bare).unionByName(run.with_bodies("functions", following.where(bare)))
     functions = run.write(
         "functions",
         enrich_functions(
-            apply_diff(old_functions, definitions, diff, as_of, analyzer),
-            files, as_of, summarize_function, embed, analyzer, indexable(of_run),
+            filled, files, as_of, summarize_function, embed, analyzer, indexable(of_run),
         ),
     )
     if with_postings:

@@ -125,15 +125,24 @@ def hybrid_search_functions(
     analyzer: Analyzer = ENGLISH,
     postings: DataFrame | None = None,
     fetch: str = "ids",
+    bodies: DataFrame | None = None,
 ) -> DataFrame:
-    """``id, file_id, project_id, path, name, summary, body, rrf_score``, best first."""
+    """``id, file_id, project_id, path, name, summary, body, rrf_score``, best first.
+
+    With ``bodies (checksum, body)``, ``functions`` needs no bodies: those of the
+    results are looked up by checksum.
+    """
     best = _best(
         functions, query_embedding, query_text, match_count, rrf_k, analyzer, postings,
         {"project_id": p_project_id},
     )
-    found = _fetch(
-        functions.select("id", "file_id", "project_id", "name", "summary", "body"), best, fetch,
-    )
+    text = "body" if bodies is None else "checksum"
+    found = _fetch(functions.select("id", "file_id", "project_id", "name", "summary", text), best, fetch)
+    if bodies is not None:
+        if fetch == "ids":
+            sums = [r["checksum"] for r in found.select("checksum").distinct().collect()]
+            bodies = bodies.where(F.col("checksum").isin(sums) if sums else F.lit(False))
+        found = found.join(bodies, "checksum", "left")
     owners = files.select("id", "path")
     if fetch == "ids":
         found_files = {r["file_id"] for r in found.select("file_id").collect()}

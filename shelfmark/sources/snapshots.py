@@ -1,6 +1,8 @@
 """The three tables as published snapshots in a folder all executors share.
 
-Every run writes whole tables into folders of its own and publishes them by
+Bodies of files and functions live apart from the tables, by checksum: a run
+writes only bodies that no earlier version has, so unchanged text is neither
+moved nor stored again. Every run writes its tables, without bodies, into folders of its own and publishes them by
 creating one manifest file at the end, whose name is the version. The file is
 created only if it is not there: of two runs that began from one version, the
 second one to publish fails and nothing of the first is lost. A run that fails
@@ -21,7 +23,9 @@ from shelfmark.operators.projects import delete_projects
 from shelfmark.operators.identity import check_unique
 from shelfmark.schemas import TABLES, UNIQUE_KEYS
 
-_MANIFEST = "version long, run string, as_of timestamp"
+_MANIFEST = "version long, run string, as_of timestamp, bodies array<string>"
+_WITH_BODIES = ("files", "functions")
+_BODIES = "checksum string, body string"
 # Rows next to each other in a file share the project, so a project filter
 # skips row groups. A large project is split over several files.
 _CLUSTERED_BY = {"projects": "id", "files": "project_id", "functions": "project_id"}
@@ -38,11 +42,11 @@ def write_table(rows: DataFrame, location: str) -> None:
     """Write rows with a bloom filter on the column that they are fetched by.
 
     It lets a fetch by id skip row groups although ids are not in order; postings
-    are found by term.
+    are found by term, bodies by checksum.
     """
     writer = rows.write.mode("errorifexists")
-    sought = "term" if "term" in rows.columns else "id"
-    if sought in rows.columns:
+    sought = next((c for c in ("term", "id", "checksum") if c in rows.columns), None)
+    if sought:
         writer = writer.option(f"parquet.bloom.filter.enabled#{sought}", "true").option(
             "parquet.bloom.filter.adaptive.enabled", "true"
         )
@@ -76,16 +80,37 @@ class SnapshotStore:
             return None
         return manifest.orderBy(F.col("version").desc()).first()
 
-    def read(self, table: str) -> DataFrame:
-        """A table of the newest snapshot; empty before the first run."""
-        return self.read_at(self.latest(), table)
+    def read(self, table: str, bodies: bool = True) -> DataFrame:
+        """A table of the newest snapshot; empty before the first run.
+
+        With ``bodies``, files and functions are joined with their bodies. Spark
+        leaves the join out where ``body`` isn't selected. Without, ``body`` is NULL.
+        """
+        return self.read_at(self.latest(), table, bodies)
 
-    def read_at(self, newest, table: str) -> DataFrame:
+    def read_at(self, newest, table: str, bodies: bool = True) -> DataFrame:
         """A table of the snapshot that a manifest row names."""
         schema = _POSTINGS_SCHEMA if table in POSTINGS else TABLES[table]
         if newest is None:
             return self.spark.createDataFrame([], schema)
-        return self._read_or_empty(self._location(table, newest["run"]), schema)
+        rows = self._read_or_empty(self._location(table, newest["run"]), schema)
+        return self._joined(rows, newest, table) if bodies and table in _WITH_BODIES else rows
+
+    def read_bodies(self, table: str) -> DataFrame:
+        """``checksum, body`` of the newest snapshot, each checksum once."""
+        return self.bodies_at(self.latest(), table)
+
+    def bodies_at(self, newest, table: str) -> DataFrame:
+        runs = newest["bodies"] or [] if newest else []
+        places = [self._location(f"{table}_bodies", r.split("/")[1]) for r in runs if r.startswith(f"{table}/")]
+        if not places:
+            return self.spark.createDataFrame([], _BODIES)
+        return self.spark.read.schema(_BODIES).parquet(*places)
+
+    def _joined(self, rows: DataFrame, newest, table: str) -> DataFrame:
+        """``rows`` with their bodies. The aggregation tells Spark that checksums are unique."""
+        unique = self.bodies_at(newest, table).groupBy("checksum").agg(F.first("body").alias("body"))
+        return rows.drop("body").join(unique, "checksum", "left").select(*rows.columns)
 
     def _location(self, table: str, run: str) -> str:
         return f"{self.folder}/{table}/run={run}"
@@ -94,7 +119,7 @@ class SnapshotStore:
         """Publish a snapshot without the projects of ``removed(id)``, their files, functions and postings."""
         run = self.begin()
         gone = removed.select("id").distinct()
-        left = delete_projects(run.read("projects"), run.read("files"), run.read("functions"), gone)
+        left = delete_projects(*(run.read(t) for t in ("projects", "files", "functions")), gone)
         for table, rows in zip(("projects", "files", "functions"), left):
             run.write(table, rows)
         owners = gone.select(F.col("id").alias("project_id"))
@@ -114,19 +139,42 @@ class Run:
         self.newest = newest
         self.run = uuid.uuid4().hex
         self.version = (newest["version"] if newest else 0) + 1
+        self.bodies = list(newest["bodies"] or []) if newest else []
 
     def read(self, table: str) -> DataFrame:
-        """A table as it was when this run began."""
-        return self.store.read_at(self.newest, table)
+        """A table as it was when this run began, without bodies."""
+        return self.store.read_at(self.newest, table, bodies=False)
+
+    def with_bodies(self, table: str, rows: DataFrame) -> DataFrame:
+        """``rows`` of a table with the bodies that are stored so far, by this run too."""
+        return self.store._joined(rows, {"bodies": self.bodies}, table)
 
     def write(self, table: str, rows: DataFrame) -> DataFrame:
-        """Write a table of this run and return it as stored."""
+        """Write a table of this run and return it as stored, without bodies.
+
+        A body may be NULL where its checksum has been stored before.
+        """
         schema = TABLES[table]
         typed = rows.select([F.col(f.name).cast(f.dataType) for f in schema])
+        if table in _WITH_BODIES:
+            typed = self._without_bodies(table, typed)
         stored = self._write(table, clustered(typed, _CLUSTERED_BY[table]), schema)
         check_unique(stored, UNIQUE_KEYS[table])
         return stored
 
+    def _without_bodies(self, table: str, rows: DataFrame) -> DataFrame:
+        """Store the new bodies of ``rows`` and return the rows, set aside, with NULL for ``body``."""
+        known = self.store.bodies_at(self.newest, table).select("checksum", F.lit(True).alias("_known"))
+        fresh = rows.join(known, "checksum", "left").withColumn(
+            "body", F.when(F.col("_known").isNull(), F.col("body"))
+        )
+        aside = self.set_aside(f"{table}_rows", fresh.select(*rows.columns))
+        new = aside.where("body IS NOT NULL").select("checksum", "body").dropDuplicates(["checksum"])
+        if not new.isEmpty():
+            self._write(f"{table}_bodies", new, _BODIES)
+            self.bodies.append(f"{table}/{self.run}")
+        return aside.withColumn("body", F.lit(None).cast("string"))
+
     def write_postings(self, name: str, index: DataFrame) -> DataFrame:
         return self._write(name, cluster_postings(index), _POSTINGS_SCHEMA)
 
@@ -141,7 +189,7 @@ class Run:
 
     def publish(self, as_of) -> int:
         """Make this run's tables the newest version, unless another run has published it already."""
-        row = {"version": self.version, "run": self.run, "as_of": as_of.isoformat()}
+        row = {"version": self.version, "run": self.run, "as_of": as_of.isoformat(), "bodies": self.bodies}
         spark = self.store.spark
         jvm = spark.sparkContext._jvm
         place = jvm.org.apache.hadoop.fs.Path(f"{self.store.folder}/manifest/{self.version:012d}.json")

@@ -10,7 +10,7 @@ from shelfmark.operators.files import files_for_language
 from shelfmark.operators.fulltext import keyword_scores_from_postings, web_query
 from shelfmark.operators.definitions import enrich_functions, stale_functions
 from shelfmark.plans.indexing import run_index
-from shelfmark.plans.search import hybrid_search_files, query_embedding
+from shelfmark.plans.search import hybrid_search_files, hybrid_search_functions, query_embedding
 from shelfmark.schemas import METADATA, SCAN
 from shelfmark.sources.repositories import scan_repositories, scan_repository
 from shelfmark.sources.snapshots import ConflictError, SnapshotStore
@@ -156,6 +156,35 @@ def test_cascading_delete(spark, store):
     assert rows(store, "file_postings", "project_id") == rows(store, "projects", "id")
 
 
+def bodies_of_run(store, table):
+    newest = store.latest()
+    if f"{table}/{newest['run']}" not in newest["bodies"]:
+        return set()
+    place = f"{store.folder}/{table}_bodies/run={newest['run']}"
+    return {r["body"] for r in store.spark.read.parquet(place).collect()}
+
+
+def test_only_new_bodies_are_written(spark, store):
+    files = {"a.py": ONE, "b.py": ONE, "c.py": "# Other.\n"}
+    run_index(store, scan(spark, files), metadata(spark), DAY[0])
+    assert bodies_of_run(store, "files") == {ONE, "# Other.\n"}
+    assert len(bodies_of_run(store, "functions")) == 2
+    run_index(store, scan(spark, files), metadata(spark), DAY[1])
+    assert bodies_of_run(store, "files") == bodies_of_run(store, "functions") == set()
+    edited = ONE.replace("Two.", "Edited.")
+    run_index(store, scan(spark, {"a.py": edited}), metadata(spark), DAY[2])
+    assert bodies_of_run(store, "files") == {edited}
+    assert len(bodies_of_run(store, "functions")) == 1
+    assert rows(store, "files", "path", "body") == {("a.py", edited), ("b.py", ONE), ("c.py", "# Other.\n")}
+    narrow = store.read("files").select("id", "path")
+    assert "Join" not in narrow._jdf.queryExecution().optimizedPlan().toString()
+    found = hybrid_search_functions(
+        store.read("functions", bodies=False), store.read("files", bodies=False), query_embedding(spark, "edited"),
+        "second", match_count=1, bodies=store.read_bodies("functions"),
+    ).collect()
+    assert [(r["path"], r["name"], "Edited." in r["body"]) for r in found] == [("a.py", "second", True)]
+
+
 def test_two_runs_begun_together(spark, store):
     run_index(store, scan(spark, {"a.py": ONE}), metadata(spark), DAY[0])
     late = store.begin()
