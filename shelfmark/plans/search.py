@@ -154,7 +154,10 @@ def hybrid_search_functions(
 
 
 def format_results(results: DataFrame) -> DataFrame:
-    """``rank, line, summary_line`` for display of a file search."""
+    """``rank, line, summary_line`` for display of a file search.
+
+    Fixed values: the layout of both lines.
+    """
     order = Window.orderBy(F.col("rrf_score").desc(), F.col("id").asc())
     return results.withColumn("rank", F.row_number().over(order)).select(
         "rank",
