@@ -18,7 +18,7 @@ from itertools import islice
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from shelfmark.llm.frames import append_columns
+from shelfmark.llm.frames import append_columns, put_by, unused
 
 SHINGLE = 5
 CONTAINMENT = 0.8
@@ -113,7 +113,7 @@ def with_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_i
     """
     kind = f"array<struct<item:{benchmark.schema[item_id].dataType.simpleString()},n_shingles:int,n_shared:int>>"
     context = docs.sparkSession.sparkContext
-    found, blocks = docs, 0
+    found, names = docs.drop("leaks"), []
     for items in _blocks(benchmark, item_id, item_text):
         shared = context.broadcast(items)
 
@@ -121,11 +121,10 @@ def with_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_i
             search = Searcher(shared.value, containment).search
             return lambda texts: [[search(t) for t in texts]]
 
-        found = append_columns(found, text, start, f"`{'leaks' if not blocks else f'__leaks_{blocks}'}` {kind}")
-        blocks += 1
-    if blocks > 1:
-        parts = [f"__leaks_{i}" for i in range(1, blocks)]
-        found = found.withColumn("leaks", F.array_sort(F.concat("leaks", *parts))).drop(*parts)
+        names.append(unused(found, "leaks"))
+        found = append_columns(found, text, start, f"`{names[-1]}` {kind}")
+    if len(names) > 1:
+        found = found.withColumn("leaks", F.array_sort(F.concat(*names))).drop(*names[1:])
     return found
 
 
@@ -142,7 +141,6 @@ def leaked_pairs(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
     """Rows of ``docs`` that contain no item; all columns as they are."""
-    own = [c for c in docs.columns if c.lower() == "leaks"]
-    put_by = docs.withColumnsRenamed({c: f"__own_{c}" for c in own})
-    kept = with_leaks(put_by, benchmark, text).where(F.size("leaks") == 0).drop("leaks")
-    return kept.withColumnsRenamed({f"__own_{c}": c for c in own}).select(*docs.columns)
+    others, aside = put_by(docs, "leaks")
+    kept = with_leaks(others, benchmark, text).where(F.size("leaks") == 0).drop("leaks")
+    return kept.withColumnsRenamed(aside).select(*docs.columns)

@@ -17,6 +17,25 @@ def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def unused(frame: DataFrame, name: str) -> str:
+    """A column name like ``name`` that ``frame`` doesn't have."""
+    taken = {c.lower() for c in frame.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
+def put_by(frame: DataFrame, *names: str) -> tuple[DataFrame, dict[str, str]]:
+    """``frame`` with its columns ``names`` renamed out of the way, and the names to restore."""
+    aside = {}
+    for column in frame.columns:
+        if column.lower() in names:
+            other = unused(frame, f"own_{column}")
+            frame = frame.withColumnRenamed(column, other)
+            aside[other] = column
+    return frame, aside
+
+
 def append_columns(
     frame: DataFrame,
     source: str,

@@ -14,7 +14,7 @@ from itertools import combinations
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
-from shelfmark.llm.frames import append_columns
+from shelfmark.llm.frames import append_columns, put_by
 
 #: Families of languages that are easily confused.
 FAMILIES = {
@@ -210,8 +210,7 @@ def keep_identified(docs: DataFrame, text: str = "text", least: float = LEAST_SC
 
     The model is learned from the given rows. Texts without a letter go.
     """
-    own = [c for c in docs.columns if c.lower() in ("lang_pred", "score")]
-    put_by = docs.withColumnsRenamed({c: f"__own_{c}" for c in own})
-    found = identify(put_by, train(docs, text=text), text)
+    others, aside = put_by(docs, "lang_pred", "score")
+    found = identify(others, train(docs, text=text), text)
     kept = found.where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= least))
-    return kept.drop("lang_pred", "score").withColumnsRenamed({f"__own_{c}": c for c in own}).select(*docs.columns)
+    return kept.drop("lang_pred", "score").withColumnsRenamed(aside).select(*docs.columns)

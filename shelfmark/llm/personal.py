@@ -17,7 +17,7 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from shelfmark.llm.frames import append_columns
+from shelfmark.llm.frames import append_columns, unused
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("other", *KINDS)
@@ -335,8 +335,7 @@ def mask(docs: DataFrame, text: str = "text", n_chars: str = "n_chars") -> DataF
         field = shared.value
         return lambda texts: [[masked(t, field) for t in texts]]
 
-    changed = append_columns(
-        docs.withColumn("__before", F.col(text)), "__before", start, f"`{text}` string"
-    )
-    length = F.when(F.col(text) != F.col("__before"), F.length(text).cast("long")).otherwise(F.col(n_chars))
+    before = unused(docs, "before")
+    changed = append_columns(docs.withColumn(before, F.col(text)), before, start, f"`{text}` string")
+    length = F.when(F.col(text) != F.col(before), F.length(text).cast("long")).otherwise(F.col(n_chars))
     return changed.withColumn(n_chars, length).select(*docs.columns)

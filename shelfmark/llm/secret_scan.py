@@ -14,6 +14,8 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from shelfmark.llm.frames import unused
+
 WINDOW = 20
 #: The base patterns.
 ASSIGN = (
@@ -158,9 +160,10 @@ def with_secrets(docs: DataFrame, text: str = "text", name: str = "secrets", all
     base match or fits an ``allowed`` pattern. A null or empty text has no secret.
     A column of ``docs`` that bears the name is replaced.
     """
-    own = {k: f"__{k}" for k in KINDS}
-    value = F.coalesce(F.col(text), F.lit(""))
     kept = docs.drop(name)
+    own = {k: unused(kept, f"found_{k}") for k in KINDS}
+    whole = unused(kept, "found_base")
+    value = F.coalesce(F.col(text), F.lit(""))
     base = kept.withColumns({
         own["assign"]: F.filter(_matches(value, ASSIGN, 2), lambda s: F.length(s["value"]) >= 6),
         own["access"]: _matches(value, ACCESS),
@@ -175,17 +178,17 @@ def with_secrets(docs: DataFrame, text: str = "text", name: str = "secrets", all
         return out
 
     def apart(s: Column) -> Column:
-        return ~F.exists(F.col("__base"), lambda b: (b["start"] < s["end"]) & (b["end"] > s["start"]))
+        return ~F.exists(F.col(whole), lambda b: (b["start"] < s["end"]) & (b["end"] > s["start"]))
 
     def labelled(kind: str) -> Column:
         return F.transform(own[kind], lambda s: F.struct(
             s["start"].alias("start"), F.lit(KINDS.index(kind)).alias("rank"), s["end"].alias("end")))
 
-    spans = base.withColumn("__base", F.concat(*[labelled(k) for k in KINDS[:3]])).withColumn(
+    spans = base.withColumn(whole, F.concat(*[labelled(k) for k in KINDS[:3]])).withColumn(
         own["entropy"], F.filter(own["entropy"], lambda s: apart(s) & ~harmless(s) & _random(s["value"])))
     kinds = F.array(*[F.lit(k) for k in KINDS])
     found = F.transform(
-        F.array_sort(F.concat("__base", labelled("entropy"))),
+        F.array_sort(F.concat(whole, labelled("entropy"))),
         lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"),
                            F.element_at(kinds, s["rank"] + 1).alias("kind"), (s["rank"] < 3).alias("base")),
     )

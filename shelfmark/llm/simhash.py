@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from shelfmark.llm.components import connected_components
-from shelfmark.llm.frames import append_columns, written
+from shelfmark.llm.frames import append_columns, unused, written
 
 BITS = 64
 SHINGLE = 3
@@ -248,7 +248,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> Dat
     """
     kept = simhash_components(docs, id_col, text).where(F.col(id_col) == F.col("component_id")).select(id_col)
     order = Window.partitionBy(id_col).orderBy(F.col(text).asc_nulls_first())
-    rank = "__rank"
+    rank = unused(docs, "rank")
     return (
         docs.join(kept.distinct(), id_col, "left_semi")
         .withColumn(rank, F.row_number().over(order)).where(F.col(rank) == 1).drop(rank)

@@ -18,7 +18,7 @@ from collections import Counter
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from shelfmark.llm.frames import append_columns, written
+from shelfmark.llm.frames import append_columns, unused, written
 from shelfmark.llm.urls import host_of
 
 #: Pages on which a style node must occur before its importance counts.
@@ -325,22 +325,20 @@ def extract(pages: DataFrame, url: str = "url", source: str = "html", name: str
         .select("host", "path")
     )
     kept = pages.drop(name) if name.lower() != source.lower() else pages
-    known = kept.withColumn("__host", F.xxhash64(host_of(F.col(url))))
-    by_host = noisy.groupBy(F.col("host").alias("__host"))
+    host, slot, noise = (unused(pages, n) for n in ("site", "slot", "noise"))
+    known = kept.withColumn(host, F.xxhash64(host_of(F.col(url))))
+    lists = noisy.groupBy(F.col("host").alias(host)).agg(F.collect_set("path").alias(noise))
     if noisy.count() <= BROADCAST_NODES:
-        lists = by_host.agg(F.collect_set("path").alias("__noisy"))
-        joined = known.join(F.broadcast(lists), "__host", "left")
+        joined = known.join(F.broadcast(lists), host, "left")
     else:
-        slot = F.pmod(F.xxhash64(F.col(source)), F.lit(SLOTS)).cast("int")
-        lists = by_host.agg(F.collect_set("path").alias("__noisy")).withColumn(
-            "__slot", F.explode(F.sequence(F.lit(0), F.lit(SLOTS - 1))))
-        joined = known.withColumn("__slot", slot).join(lists, ["__host", "__slot"], "left").drop("__slot")
+        dealt = F.pmod(F.xxhash64(F.col(source)), F.lit(SLOTS)).cast("int")
+        lists = lists.withColumn(slot, F.explode(F.sequence(F.lit(0), F.lit(SLOTS - 1))))
+        joined = known.withColumn(slot, dealt).join(lists, [host, slot], "left")
 
     def start():
-        return lambda rows: [[
-            Page(r["html"]).text(frozenset(r["noisy"] or ())) for r in rows
-        ]]
+        return lambda rows: [[Page(r["html"]).text(frozenset(r["noise"] or ())) for r in rows]]
 
     wanted = [c for c in kept.columns if c.lower() != name.lower()]
-    ready = joined.select(*wanted, F.struct(F.col(source).alias("html"), F.col("__noisy").alias("noisy")).alias("__in"))
-    return append_columns(ready, "__in", start, f"`{name}` string", keep_source=False)
+    given = unused(pages, "given")
+    ready = joined.select(*wanted, F.struct(F.col(source).alias("html"), F.col(noise).alias("noise")).alias(given))
+    return append_columns(ready, given, start, f"`{name}` string", keep_source=False)

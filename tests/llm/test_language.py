@@ -37,7 +37,7 @@ def test_long_texts_are_counted_whole(monkeypatch):
 def test_edge_cases(spark):
     rows = [(1, None, "en"), (2, "", "en"), (3, "12 $$", "fr"), (4, "the and of", None), (None, "the and of", "en"),
             (5, "les des une", "fr"), (5, "les des une", "fr"), (6, "x" * 300000, "zz")]
-    docs = spark.createDataFrame(rows, DOCS).selectExpr("*", "'kept' as Score", "9 as h", "8 as grams")
+    docs = spark.createDataFrame(rows, DOCS).selectExpr("*", "'kept' as Score", "9 as h", "8 as grams", "7 as own_Score")
     model = language.train(docs)
     found = language.identify(docs, model)
     got = [(r["doc_id"], r["lang_pred"]) for r in found.collect()]

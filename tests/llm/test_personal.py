@@ -111,7 +111,7 @@ def test_query_and_mask_over_whole_documents(spark):
 def test_edge_cases(spark):
     rows = [(1, None, None, None, None), (2, "", "en", "s", 0), (3, "a@b.org", None, "s", 7), (3, "a@b.org", None, "s", 7),
             (None, "1.2.3.4 " * 3, None, None, None), (4, "9" * 300000 + "@" * 300000, None, None, 5)]
-    docs = spark.createDataFrame(rows, DOCS).selectExpr("*", "'mine' as pii", "1 as h", "2 as seen")
+    docs = spark.createDataFrame(rows, DOCS).selectExpr("*", "'mine' as pii", "1 as h", "2 as seen", "3 as before")
     got = p.mask(docs)
     assert got.columns == docs.columns
     out = got.collect()

@@ -84,7 +84,7 @@ def test_whole_documents(spark):
 def test_edge_cases(spark):
     rows = [(3, None, None, None, None), (1, "", "en", "s", 0), (2, "a b c d", None, "s", 7),
             (2, "a b c d", None, "s", 7), (None, "A B C D", None, None, None), (None, "other words here", None, None, None)]
-    docs = spark.createDataFrame(rows, DOCS).selectExpr("*", "1 as fp", "2 as component_id", "3 as node")
+    docs = spark.createDataFrame(rows, DOCS).selectExpr("*", "1 as fp", "2 as component_id", "3 as node", "4 as rank")
     got = sorted(simhash.simhash_components(docs).select("doc_id", "component_id").collect(), key=str)
     assert sorted(map(tuple, got), key=str) == sorted(
         [(3, 1), (1, 1), (2, 2), (2, 2), (None, 2), (None, None)], key=str)

@@ -114,10 +114,10 @@ def test_query_over_whole_pages(spark):
 def test_edge_cases(spark):
     rows = [(1, None, None), (2, "no host", ""), (None, None, "<p>a</p>"), (3, "http://x/", "<p>b</p>"), (3, "http://x/", "<p>b</p>"),
             (4, "http://x/", "<p>" + "w" * 400000)]
-    pages = spark.createDataFrame(rows, PAGES).selectExpr("*", "'mine' as Text", "1 as host", "2 as rows", "3 as path")
+    pages = spark.createDataFrame(rows, PAGES).selectExpr("*", "'mine' as Text", "1 as host", "2 as rows", "3 as noise", "4 as given")
     got = s.extract(pages)
-    assert got.columns == ["page_id", "url", "html", "host", "rows", "path", "text"]
+    assert got.columns == ["page_id", "url", "html", "host", "rows", "noise", "given", "text"]
     assert sorted((str(r["page_id"]), r["text"][:5], r["host"]) for r in got.collect()) == [
         ("1", "", 1), ("2", "", 1), ("3", "b", 1), ("3", "b", 1), ("4", "wwwww", 1), ("None", "a", 1)]
     assert s.extract(pages.where("false")).count() == 0
-    assert s.extract(pages, name="html").columns == ["page_id", "url", "Text", "host", "rows", "path", "html"]
+    assert s.extract(pages, name="html").columns == ["page_id", "url", "Text", "host", "rows", "noise", "given", "html"]
