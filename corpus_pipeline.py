@@ -1,7 +1,11 @@
 """From raw documents to token ids, in five stages over whole tables.
 
 Each stage takes ``(spark, docs, sf_dir)`` and works on all rows that the one
-before it kept. All but the last return the columns of ``documents``.
+before it kept. All but the last return the columns of ``documents``, and any
+others that are there, as they are. A null or empty text has no language and goes
+at the first stage. A row without an id goes at the second, and of repeated rows
+one stays. Nulls in other columns pass, texts of any length are worked on whole,
+and an empty table gives an empty result.
 """
 
 from __future__ import annotations
