@@ -2,8 +2,9 @@
 
 Bodies of files and functions live apart from the tables, by checksum: a run
 writes only bodies that no earlier version has, so unchanged text is neither
-moved nor stored again. Every run writes its tables, without bodies, into folders of its own and publishes them by
-creating one manifest file at the end, whose name is the version. The file is
+moved nor stored again. The tables, without bodies, lie in hash buckets of the id.
+A run writes the buckets in which rows have changed into folders of its own; the
+others are carried over. It publishes all by creating one manifest file at the end, whose name is the version. The file is
 created only if it is not there: of two runs that began from one version, the
 second one to publish fails and nothing of the first is lost. A run that fails
 publishes nothing, and readers keep the snapshot they opened.
@@ -16,14 +17,18 @@ import uuid
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from shelfmark.operators.fulltext import cluster_postings
 from shelfmark.operators.projects import delete_projects
 from shelfmark.operators.identity import check_unique
 from shelfmark.schemas import TABLES, UNIQUE_KEYS
 
-_MANIFEST = "version long, run string, as_of timestamp, bodies array<string>"
+_MANIFEST = (
+    "version long, run string, as_of timestamp, bodies array<string>, "
+    "parts map<string,map<string,string>>"  # table, bucket, run that wrote it
+)
+BUCKETS = 64
 _WITH_BODIES = ("files", "functions")
 _BODIES = "checksum string, body string"
 # Rows next to each other in a file share the project, so a project filter
@@ -33,12 +38,21 @@ POSTINGS = {"file_postings": "files", "function_postings": "functions"}
 _POSTINGS_SCHEMA = "term string, id long, project_id long, positions array<int>"
 
 
+def _bucket() -> Column:
+    return F.pmod(F.xxhash64("id"), F.lit(BUCKETS)).cast("int")
+
+
+def _digest(columns: list[str]) -> Column:
+    """A hash of a row; NULLs count by their place."""
+    return F.xxhash64(*columns, *[F.col(c).isNull() for c in columns])
+
+
 def clustered(table: DataFrame, column: str) -> DataFrame:
     """Rows of one ``column`` value together, in tasks of even size."""
     return table.hint("rebalance", F.col(column)).sortWithinPartitions(column, "id")
 
 
-def write_table(rows: DataFrame, location: str) -> None:
+def write_table(rows: DataFrame, location: str, *partitioned_by: str) -> None:
     """Write rows with a bloom filter on the column that they are fetched by.
 
     It lets a fetch by id skip row groups although ids are not in order; postings
@@ -50,6 +64,8 @@ def write_table(rows: DataFrame, location: str) -> None:
         writer = writer.option(f"parquet.bloom.filter.enabled#{sought}", "true").option(
             "parquet.bloom.filter.adaptive.enabled", "true"
         )
+    if partitioned_by:
+        writer = writer.partitionBy(*partitioned_by)
     writer.parquet(location)
 
 
@@ -93,9 +109,19 @@ class SnapshotStore:
         schema = _POSTINGS_SCHEMA if table in POSTINGS else TABLES[table]
         if newest is None:
             return self.spark.createDataFrame([], schema)
-        rows = self._read_or_empty(self._location(table, newest["run"]), schema)
+        if table in POSTINGS:
+            return self._read_or_empty(self._location(table, newest["run"]), schema)
+        rows = self.parts_at(newest["parts"], table)
         return self._joined(rows, newest, table) if bodies and table in _WITH_BODIES else rows
 
+    def parts_at(self, parts: dict, table: str, buckets=None) -> DataFrame:
+        """The rows of a table, or of some of its buckets, from the runs that wrote them."""
+        own = parts.get(table) or {}
+        places = [f"{self._location(table, run)}/bucket={b}" for b, run in own.items() if buckets is None or int(b) in buckets]
+        if not places:
+            return self.spark.createDataFrame([], TABLES[table])
+        return self.spark.read.schema(TABLES[table]).parquet(*places)
+
     def read_bodies(self, table: str) -> DataFrame:
         """``checksum, body`` of the newest snapshot, each checksum once."""
         return self.bodies_at(self.latest(), table)
@@ -140,6 +166,7 @@ class Run:
         self.run = uuid.uuid4().hex
         self.version = (newest["version"] if newest else 0) + 1
         self.bodies = list(newest["bodies"] or []) if newest else []
+        self.parts = {t: dict(p) for t, p in (newest["parts"] or {}).items()} if newest else {}
 
     def read(self, table: str) -> DataFrame:
         """A table as it was when this run began, without bodies."""
@@ -150,30 +177,53 @@ class Run:
         return self.store._joined(rows, {"bodies": self.bodies}, table)
 
     def write(self, table: str, rows: DataFrame) -> DataFrame:
-        """Write a table of this run and return it as stored, without bodies.
+        """Make ``rows`` the table of this run and return it as stored, without bodies.
 
-        A body may be NULL where its checksum has been stored before.
+        Rows equal to stored ones are found by a digest and not written. A body may
+        be NULL where its checksum has been stored before.
         """
         schema = TABLES[table]
         typed = rows.select([F.col(f.name).cast(f.dataType) for f in schema])
+        old = self.read(table)
+        compared = [c for c in schema.fieldNames() if c != "body"]
+        digests = old.select("id", _digest(compared).alias("_digest"))
+        changed = typed.withColumn("_digest", _digest(compared)).join(digests, ["id", "_digest"], "left_anti")
+        if table in _WITH_BODIES:
+            known = self.store.bodies_at(self.newest, table).select("checksum", F.lit(True).alias("_known"))
+            changed = changed.join(known, "checksum", "left").withColumn(
+                "body", F.when(F.col("_known").isNull(), F.col("body"))
+            )
+        changed = self.set_aside(f"{table}_changes", changed.select(*schema.fieldNames()))
         if table in _WITH_BODIES:
-            typed = self._without_bodies(table, typed)
-        stored = self._write(table, clustered(typed, _CLUSTERED_BY[table]), schema)
+            self._write_bodies(table, changed)
+            changed = changed.withColumn("body", F.lit(None).cast("string"))
+        removed = self.set_aside(f"{table}_removed", old.select("id").join(typed.select("id"), "id", "left_anti"))
+        self._write_buckets(table, changed, removed)
+        stored = self.store.parts_at(self.parts, table)
         check_unique(stored, UNIQUE_KEYS[table])
         return stored
 
-    def _without_bodies(self, table: str, rows: DataFrame) -> DataFrame:
-        """Store the new bodies of ``rows`` and return the rows, set aside, with NULL for ``body``."""
-        known = self.store.bodies_at(self.newest, table).select("checksum", F.lit(True).alias("_known"))
-        fresh = rows.join(known, "checksum", "left").withColumn(
-            "body", F.when(F.col("_known").isNull(), F.col("body"))
-        )
-        aside = self.set_aside(f"{table}_rows", fresh.select(*rows.columns))
-        new = aside.where("body IS NOT NULL").select("checksum", "body").dropDuplicates(["checksum"])
+    def _write_bodies(self, table: str, changed: DataFrame) -> None:
+        new = changed.where("body IS NOT NULL").select("checksum", "body").dropDuplicates(["checksum"])
         if not new.isEmpty():
             self._write(f"{table}_bodies", new, _BODIES)
             self.bodies.append(f"{table}/{self.run}")
-        return aside.withColumn("body", F.lit(None).cast("string"))
+
+    def _write_buckets(self, table: str, changed: DataFrame, removed: DataFrame) -> None:
+        """Write the buckets of changed and removed rows anew; at most ``BUCKETS`` numbers reach the driver."""
+        replaced = changed.select("id").union(removed)
+        touched = {r[0] for r in replaced.select(_bucket()).distinct().collect()}
+        if not touched:
+            return
+        kept = self.store.parts_at(self.parts, table, touched).join(replaced, "id", "left_anti")
+        rows = kept.select(*changed.columns).union(changed).withColumn("bucket", _bucket())
+        order = ["bucket", _CLUSTERED_BY[table], "id"] if _CLUSTERED_BY[table] != "id" else ["bucket", "id"]
+        location = self.store._location(table, self.run)
+        write_table(rows.hint("rebalance", F.col("bucket")).sortWithinPartitions(*order), location, "bucket")
+        written = self.store.spark.read.schema("id long, bucket int").parquet(location)
+        present = {r[0] for r in written.select("bucket").distinct().collect()}
+        own = {b: run for b, run in self.parts.get(table, {}).items() if int(b) not in touched}
+        self.parts[table] = own | {str(b): self.run for b in sorted(present)}
 
     def write_postings(self, name: str, index: DataFrame) -> DataFrame:
         return self._write(name, cluster_postings(index), _POSTINGS_SCHEMA)
@@ -189,7 +239,8 @@ class Run:
 
     def publish(self, as_of) -> int:
         """Make this run's tables the newest version, unless another run has published it already."""
-        row = {"version": self.version, "run": self.run, "as_of": as_of.isoformat(), "bodies": self.bodies}
+        row = {"version": self.version, "run": self.run, "as_of": as_of.isoformat(), "bodies": self.bodies,
+               "parts": self.parts}
         spark = self.store.spark
         jvm = spark.sparkContext._jvm
         place = jvm.org.apache.hadoop.fs.Path(f"{self.store.folder}/manifest/{self.version:012d}.json")

@@ -176,6 +176,9 @@ def test_only_new_bodies_are_written(spark, store):
     assert bodies_of_run(store, "files") == {edited}
     assert len(bodies_of_run(store, "functions")) == 1
     assert rows(store, "files", "path", "body") == {("a.py", edited), ("b.py", ONE), ("c.py", "# Other.\n")}
+    newest = store.latest()
+    assert list(newest["parts"]["files"].values()).count(newest["run"]) == 1
+    assert set(newest["parts"]["files"].values()) != {newest["run"]} or len(newest["parts"]["files"]) == 1
     narrow = store.read("files").select("id", "path")
     assert "Join" not in narrow._jdf.queryExecution().optimizedPlan().toString()
     found = hybrid_search_functions(
