@@ -20,9 +20,16 @@ def _dot(a: str, b: str) -> str:
     )
 
 
-def cosine_distance_sql(a: str, b: str) -> str:
-    """1 - cosine similarity. A zero vector gives NaN, unequal sizes an error."""
-    similarity = f"try_divide({_dot(a, b)}, sqrt({_dot(a, a)} * {_dot(b, b)}))"
+def squared_norm_sql(a: str) -> str:
+    return _dot(a, a)
+
+
+def cosine_distance_sql(a: str, b: str, b_squared: str | None = None) -> str:
+    """1 - cosine similarity. A zero vector gives NaN, unequal sizes an error.
+
+    ``b_squared`` is the squared norm of ``b``, where it is at hand.
+    """
+    similarity = f"try_divide({_dot(a, b)}, sqrt({_dot(a, a)} * {b_squared or _dot(b, b)}))"
     distance = let(
         "c", similarity,
         "CASE WHEN c IS NULL THEN double('NaN') WHEN c > 1 THEN 0.0D "

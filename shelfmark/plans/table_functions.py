@@ -14,24 +14,27 @@ from shelfmark.functions.text import (
     hits_sql,
     web_query_sql,
 )
-from shelfmark.functions.vectors import cosine_distance_sql, vector_literal
+from shelfmark.functions.vectors import cosine_distance_sql, squared_norm_sql, vector_literal
 
 
 def _fused_sql(table: str, filters: str, analyzer: Analyzer) -> str:
     """Common table expressions ending in ``combined(id, score)``.
 
     LIMIT takes no argument, so the cuts are written as ``rank <= n``; Catalyst
-    turns them into a top-n below the window. The query is parsed in an
-    aggregate over one row, so it is evaluated once. That single row meets the
+    turns them into a top-n below the window. The query is parsed, and its
+    vector's norm taken, in an aggregate over one row, so once. That single row meets the
     table as the condition of a join, since a function's arguments may not be
     used in a scalar subquery; no rows are multiplied.
     """
     return f"""
-    query AS (SELECT first({web_query_sql('query_text', analyzer)}) AS clauses),
+    query AS (
+        SELECT first({web_query_sql('query_text', analyzer)}) AS clauses,
+               first({squared_norm_sql('query_embedding')}) AS squared
+    ),
     semantic AS (
         SELECT id, row_number() OVER (ORDER BY distance, id) AS rank
-        FROM (SELECT f.id, {cosine_distance_sql('f.embedding', 'query_embedding')} AS distance
-              FROM {table} f WHERE f.embedding IS NOT NULL AND {filters})
+        FROM (SELECT f.id, {cosine_distance_sql('f.embedding', 'query_embedding', 'query.squared')} AS distance
+              FROM {table} f JOIN query ON f.embedding IS NOT NULL WHERE {filters})
     ),
     found AS (
         SELECT f.id, {hits_sql('f.fts', 'query.clauses')} AS hits, query.clauses

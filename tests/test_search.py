@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from shelfmark.functions.vectors import cosine_distance_sql
 from shelfmark.operators.fulltext import analyze, postings
 from shelfmark.operators.ranking import fuse, semantic_topk
-from shelfmark.plans import table_functions
+from shelfmark.plans import search, table_functions
 from shelfmark.plans.search import (
     format_results,
     hybrid_search_files,
@@ -101,6 +101,26 @@ def test_postings_ids_and_sql_give_the_same(spark, files, text):
     assert sorted(map(tuple, called.collect())) == sorted(map(tuple, plain))
 
 
+def test_long_id_lists_are_fetched_in_parts(files, monkeypatch):
+    wanted = hybrid_search_files(files, [0.6, 0.8], "query").collect()
+    monkeypatch.setattr(search, "IDS_IN_A_FILTER", 1)
+    assert hybrid_search_files(files, [0.6, 0.8], "query").collect() == wanted and len(wanted) > 1
+
+
+def test_sql_function_broadcasts_its_winners(spark, functions, files):
+    functions.createOrReplaceTempView("search_functions")
+    files.createOrReplaceTempView("search_files")
+    table_functions.create_function_search(spark, "find_functions", "search_functions", "search_files")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        called = table_functions.call(spark, "find_functions", [1.0, 0.0], "parsing")
+        plan = called._jdf.queryExecution().sparkPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert plan.count("BroadcastHashJoin") == 2
+
+
 def test_sql_arguments(spark, files):
     files.createOrReplaceTempView("search_files")
     table_functions.create_file_search(spark, "find_files", "search_files")
