@@ -3,7 +3,6 @@ import random
 import re
 
 import numpy as np
-import pytest
 
 from shelfmark.llm import personal as p
 from shelfmark.llm.queries import QUERIES
