@@ -308,18 +308,31 @@ def style_nodes(pages: DataFrame, url: str = "url", source: str = "html") -> Dat
     )
 
 
+def different_pages(pages: DataFrame, url: str = "url", source: str = "html") -> DataFrame:
+    """``url`` and ``source`` of each different page of each host, once.
+
+    A task first drops the copies it holds, so a page with very many of them is
+    no heavier than others.
+    """
+    host, key = (unused(pages, n) for n in ("site", "key"))
+    return pages.select(url, source).withColumns(
+        {host: F.xxhash64(host_of(F.col(url))), key: F.xxhash64(F.col(source))}
+    ).dropDuplicates([host, key]).select(url, source)
+
+
 def extract(pages: DataFrame, url: str = "url", source: str = "html", name: str = "text") -> DataFrame:
     """``pages`` with the main text of each whole page in column ``name``.
 
     White space inside a block is one space, blocks are joined by one space in
     page order. A null, empty or textless page has an empty text; a null URL
-    counts as one without host, and those form one site. Repeated pages each
-    count as a page of their site. The noise nodes are broadcast if they are at
-    most ``BROADCAST_NODES``, else joined to the pages, each host in ``SLOTS``
-    parts. A column of ``pages`` that bears the name is replaced.
+    counts as one without host, and those form one site. Copies of a page count
+    as one page of their site, so that their number doesn't make it noise. The
+    noise nodes are broadcast if they are at most ``BROADCAST_NODES``, else joined
+    to the pages, each host in ``SLOTS`` parts. A column of ``pages`` that bears
+    the name is replaced.
     """
     noisy = written(
-        style_nodes(pages, url, source)
+        style_nodes(different_pages(pages, url, source), url, source)
         .where((F.col("pages") >= LEAST_PAGES) & (F.col("importance") <= NOISE)
                & (F.coalesce("content", F.lit(0.0)) <= NOISE) & (F.col("path") != 0))
         .select("host", "path")

@@ -100,6 +100,20 @@ def test_repeated_branches_go(spark, monkeypatch, limit):
     assert got[200] == "one page, many copies"
 
 
+def test_copies_count_once(spark):
+    """A host that is 95 % copies of one page keeps the headings of all its pages."""
+    def page(i, n):
+        return f"<article><h1>Title {i}</h1>" + "".join(f"<p>Line {j} of {i}</p>" for j in range(n)) + "</article>"
+
+    rows = [(0, f"http://copies.org/{i}", page(0, 3)) for i in range(190)]
+    rows += [(i, f"http://copies.org/own{i}", page(i, 20)) for i in range(1, 11)]
+    got = s.extract(spark.createDataFrame(rows, PAGES).repartition(5)).collect()
+    assert len(got) == 200
+    for r in got:
+        i = r["page_id"]
+        assert r["text"] == " ".join([f"Title {i}", *(f"Line {j} of {i}" for j in range(20 if i else 3))])
+
+
 def test_query_over_whole_pages(spark):
     folder = "/root/testdata/sf0.1"
     pages = {r["page_id"]: r for r in spark.read.parquet(f"{folder}/pages.parquet").collect()}
