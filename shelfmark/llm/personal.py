@@ -67,7 +67,7 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     if not _EVIDENCE.search(text):
         return spans
     for m in _IP.finditer(text):
-        if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m.group().split(".")):
+        if all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or "0") <= 255 for p in m.group().split(".")):
             spans.append(("ip", m.start(), m.end()))
     for m in _CARD.finditer(text):
         if m.end() - m.start() >= 16:

@@ -118,3 +118,8 @@ def test_edge_cases(spark):
         (1, None, None), (2, "", 0), (3, "[EMAIL]", 7), (3, "[EMAIL]", 7), (None, "[IP] [IP] [IP] ", 15)]
     assert p.mask(docs.where("false")).count() == 0
     assert p.with_spans(docs, p.train(docs)).where("size(pii) > 0").count() == 3
+
+
+def test_parts_of_very_many_zeros():
+    assert p.base_spans("0" * 4301 + ".1.2.3") == [("ip", 0, 4307)]
+    assert p.base_spans("1." + "0" * 5000 + ".2.0256 0.0.0.0") == [("ip", 5010, 5017)]
