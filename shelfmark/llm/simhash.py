@@ -218,6 +218,22 @@ def link_fingerprints(prints: DataFrame, budget: int = BUDGET, limit: int = GROU
     )
 
 
+def _labelled(docs: DataFrame, id_col: str, text: str, limit: int) -> DataFrame:
+    """``id_col, fp, digest, component, component_id`` for every row of ``docs``; the digest is the text's."""
+    given = docs.select(id_col, text)
+    digest = unused(given, "digest")
+    prints = written(with_fingerprint(given.withColumn(digest, F.xxhash64(text)), text, "fp").select(
+        id_col, "fp", F.col(digest).alias("digest")))
+    distinct = prints.groupBy("fp").agg(F.min(id_col).alias("least"))
+    groups = connected_components(link_fingerprints(distinct.select("fp"), limit=limit))
+    joined = distinct.join(groups, distinct.fp == groups.node, "left").select(
+        "fp", "least", F.coalesce("component", "fp").alias("component")
+    )
+    named = joined.groupBy("component").agg(F.min("least").alias("component_id"))
+    labels = joined.join(named, "component").select("fp", "component", "component_id")
+    return prints.join(labels, "fp").select(id_col, "fp", "digest", "component", "component_id")
+
+
 def simhash_components(
     docs: DataFrame, id_col: str = "doc_id", text: str = "text", limit: int = GROUP_LIMIT
 ) -> DataFrame:
@@ -229,28 +245,23 @@ def simhash_components(
     component, whose id is null only if all its ids are. Repeated rows stay. An
     empty table gives an empty result; other columns are not read.
     """
-    prints = written(with_fingerprint(docs.select(id_col, text), text, "fp").select(id_col, "fp"))
-    distinct = prints.groupBy("fp").agg(F.min(id_col).alias("least"))
-    groups = connected_components(link_fingerprints(distinct.select("fp"), limit=limit))
-    joined = distinct.join(groups, distinct.fp == groups.node, "left").select(
-        "fp", "least", F.coalesce("component", "fp").alias("component")
-    )
-    named = joined.groupBy("component").agg(F.min("least").alias("component_id"))
-    labels = joined.join(named, "component").select("fp", "component_id")
-    return prints.join(labels, "fp").select(id_col, "fp", "component_id")
+    return _labelled(docs, id_col, text, limit).select(id_col, "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """One row of each near-duplicate group of ``docs``, all columns.
 
-    The row with the smallest id stays; of rows sharing that id, the one whose
-    text sorts first (null first). Rows without an id go: nothing could refer to them.
+    The row with the smallest id stays; of rows of the group sharing that id, the
+    one whose text sorts first (null first). Different texts under one id are
+    rows of their own groups. Rows without an id go: nothing could refer to them.
     """
-    kept = simhash_components(docs, id_col, text).where(F.col(id_col) == F.col("component_id")).select(id_col)
-    order = Window.partitionBy(id_col).orderBy(F.col(text).asc_nulls_first())
-    rank = unused(docs, "rank")
+    digest, component, rank = (unused(docs, n) for n in ("digest", "component", "rank"))
+    kept = _labelled(docs, id_col, text, GROUP_LIMIT).where(F.col(id_col) == F.col("component_id")).select(
+        id_col, F.col("digest").alias(digest), F.col("component").alias(component)
+    ).distinct()
+    order = Window.partitionBy(component).orderBy(F.col(text).asc_nulls_first())
     return (
-        docs.join(kept.distinct(), id_col, "left_semi")
-        .withColumn(rank, F.row_number().over(order)).where(F.col(rank) == 1).drop(rank)
+        docs.withColumn(digest, F.xxhash64(text)).join(kept, [id_col, digest])
+        .withColumn(rank, F.row_number().over(order)).where(F.col(rank) == 1)
         .select(*docs.columns)
     )

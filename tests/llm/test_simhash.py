@@ -93,3 +93,14 @@ def test_edge_cases(spark):
     empty = docs.where("false")
     assert simhash.simhash_components(empty).count() == 0
     assert simhash.keep_one(empty).count() == 0
+
+
+def test_different_texts_under_one_id(spark):
+    """Each group keeps its own row, whatever other texts its id has."""
+    near, far, third = "a b c d e", "z y x w v", "other words altogether here"
+    rows = [(2, near), (5, near.upper()), (5, far), (7, third), (7, "q r s t"), (7, third), (8, "q r s t")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 as digest", "2 as component")
+    kept = simhash.keep_one(docs)
+    assert kept.columns == docs.columns
+    assert sorted((r["doc_id"], r["text"]) for r in kept.collect()) == [
+        (2, near), (5, far), (7, third), (7, "q r s t")]
