@@ -27,10 +27,8 @@ FAMILIES = {
 }
 UNDETERMINED = "und"
 DIMENSIONS = 1 << 12
-#: Training rows, shared equally by the languages and drawn by a hash of the id: about this many, at most twice.
-SAMPLE = 3200
-#: The most frequent labels are learned, so that the models stay small.
-MAX_LANGUAGES = 64
+#: Training rows of each language, drawn by a hash of the id: about this many, at most twice on average.
+SAMPLE = 800
 EPOCHS = 12
 PENALTY = 10.0
 #: Letters counted at once, so that a very long text needs no long arrays.
@@ -64,22 +62,24 @@ def _unit(counts: np.ndarray) -> np.ndarray:
     return np.sqrt(counts / counts.sum())
 
 
-def train_svm(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+def train_svm(x: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray) -> np.ndarray:
     """A linear support vector machine by dual coordinate descent; the last weight is the bias.
 
-    Rows of each class weigh as much as those of the other together.
+    A row is the places and values of its entries that aren't zero. Rows of each
+    class weigh as much as those of the other together.
     """
-    norms = np.einsum("ij,ij->i", x, x) + 1
+    norms = np.array([float(values @ values) for _, values in x]) + 1
     bound = np.where(y > 0, len(y) / (2 * max(1, (y > 0).sum())), len(y) / (2 * max(1, (y < 0).sum()))) * PENALTY
-    weights, bias, alpha = np.zeros(x.shape[1], x.dtype), 0.0, np.zeros(len(x))
+    weights, bias, alpha = np.zeros(DIMENSIONS, np.float32), 0.0, np.zeros(len(x))
     rng = np.random.default_rng(0)
     for _ in range(EPOCHS):
         for i in rng.permutation(len(x)):
-            gradient = y[i] * (float(x[i] @ weights) + bias) - 1
+            places, values = x[i]
+            gradient = y[i] * (float(values @ weights[places]) + bias) - 1
             new = min(max(alpha[i] - gradient / norms[i], 0.0), bound[i])
             if new != alpha[i]:
                 step = (new - alpha[i]) * y[i]
-                weights += x.dtype.type(step) * x[i]
+                weights[places] += np.float32(step) * values
                 bias += step
                 alpha[i] = new
     return np.append(weights, bias).astype(float)
@@ -128,39 +128,39 @@ def train(docs: DataFrame, id_col: str = "doc_id", text: str = "text", lang: str
           sample: int = SAMPLE) -> Model:
     """Learn from rows with text and language that aren't held out.
 
-    Counting the labels reads two columns. The sample has about ``sample`` rows,
-    as many of each language where there are so many, chosen by a hash of the id,
-    and twice as many at most; its trigram counts are all that reaches the driver. Labels without a usable
-    text are not learned; with none at all the model answers ``und``.
+    Counting the labels reads two columns. All labels are learned. The sample has
+    about ``sample`` rows of each where there are so many, chosen by a hash of the
+    id, and twice as many in all at most; its trigram counts are all that reaches
+    the driver. Labels without a usable text are not learned; with none at all
+    the model answers ``und``.
     """
     known = docs.where(~held_out(id_col) & F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
         F.col(text).alias("text"), F.col(lang).alias("lang"), F.xxhash64(F.col(id_col)).alias("h")
     )
-    sizes = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
+    sizes = known.groupBy("lang").count().collect()
     if not sizes:
         return Model([], {}, {}, {})
-    each = sample / len(sizes)
-    share = F.create_map(*[F.lit(v) for r in sizes for v in (r["lang"], min(1.0, each / r["count"]))])
+    share = F.create_map(*[F.lit(v) for r in sizes for v in (r["lang"], min(1.0, sample / r["count"]))])
     drawn = known.where(
         (F.shiftrightunsigned("h", 32).cast("double") / float(1 << 32)) < F.element_at(share, F.col("lang"))
-    ).limit(2 * sample)
+    ).limit(2 * sample * len(sizes))
 
     def start():
         def batch(texts):
             out = []
             for t in texts:
                 counts = counts_of(t)
-                used = [] if counts is None else np.flatnonzero(counts)
-                out.append([] if counts is None else np.stack([used, counts[used]]).astype(np.int32).ravel())
+                used = None if counts is None else np.flatnonzero(counts)
+                out.append(None if counts is None else np.stack([used, counts[used]]).astype(np.int32).tobytes())
             return [out]
         return batch
 
-    rows = append_columns(drawn, "text", start, "grams array<int>").select("lang", "h", "grams").collect()
+    rows = append_columns(drawn, "text", start, "grams binary").select("lang", "h", "grams").collect()
     rows = sorted((r for r in rows if r["grams"]), key=lambda r: (r["h"], r["lang"]))
-    x = np.zeros((len(rows), DIMENSIONS), np.float32)
-    for vector, r in zip(x, rows):
-        grams = np.array(r["grams"]).reshape(2, -1)
-        vector[grams[0]] = np.sqrt(grams[1] / grams[1].sum())
+    x = []
+    for r in rows:
+        places, counts = np.frombuffer(r["grams"], np.int32).reshape(2, -1)
+        x.append((places, np.sqrt(counts / counts.sum()).astype(np.float32)))
     labels = np.array([r["lang"] for r in rows])
     languages: dict[str, list[str]] = {}
     for name in sorted(set(labels)):
@@ -170,9 +170,8 @@ def train(docs: DataFrame, id_col: str = "doc_id", text: str = "text", lang: str
     def machines(names, of):
         out = {}
         for a, b in combinations(names, 2):
-            own = (of == a) | (of == b)
-            chosen = x if own.all() else x[own]
-            out[a, b] = train_svm(chosen, np.where(of[own] == a, 1.0, -1.0))
+            own = np.flatnonzero((of == a) | (of == b))
+            out[a, b] = train_svm([x[i] for i in own], np.where(of[own] == a, 1.0, -1.0))
         return out
 
     within = {}

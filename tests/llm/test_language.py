@@ -50,3 +50,21 @@ def test_edge_cases(spark):
     assert language.identify(empty, language.train(empty)).count() == 0
     untaught = language.identify(docs, language.train(empty)).collect()
     assert {(r["lang_pred"], r["score"]) for r in untaught} == {("und", 0.0)}
+
+
+def test_all_languages_are_learned(spark, monkeypatch):
+    """Seventy labels with words of their own, the last one rare; the bound holds for each language."""
+    words = {f"l{i:02}": f"{chr(97 + i % 26) * 3}{chr(97 + i // 26) * 2}" for i in range(70)}
+    rows = [(100 * i + j, f"{w} {w}{w[0]} {w}", k) for i, (k, w) in enumerate(words.items())
+            for j in range(8 if k != "l69" else 6)]
+    docs = spark.createDataFrame(rows, DOCS)
+    model = language.train(docs)
+    assert model.languages == {"other": sorted(words)}
+    assert [model.predict(f"{w} {w}{w[0]}")[0] for w in words.values()] == list(words)
+
+    learned = []
+    train_svm = language.train_svm
+    monkeypatch.setattr(language, "train_svm", lambda x, y: learned.append(len(y)) or train_svm(x, y))
+    many = [(1000 * i + j, t, k) for i, (_, t, k) in enumerate(rows[::70]) for j in range(60)]
+    language.train(spark.createDataFrame(many, DOCS), sample=30)
+    assert len(learned) == 28 and min(learned) > 40
