@@ -228,8 +228,9 @@ class Page:
     def text(self, noisy: frozenset[int] = frozenset()) -> str:
         """The article's blocks, without noise by structure and without style nodes in ``noisy``.
 
-        Where a page has an ``article`` (else a ``main``), its blocks lie in it. If
-        nothing but noisy style nodes is left, they stay.
+        Where the page's ``article`` elements (else its ``main``) hold at least half
+        of that text, its blocks lie in them; else they are teasers, and all blocks
+        stay. If nothing but noisy style nodes is left, they stay.
         """
         if not self.blocks:
             return ""
@@ -251,13 +252,14 @@ class Page:
             repeated[id(node)] = repeated.get(up, False) or node.path in noisy and node.path != 0
             inside[id(node)] = inside.get(up, set()) | {node.tag} if node.tag in CONTAINERS else inside.get(up, set())
         kept = [(o, t) for o, t in self.blocks if not structural[id(o)]]
+        important = [(o, t) for o, t in kept if not repeated[id(o)]] or kept
+        size = sum(len(t) for _, t in important)
         for kind in CONTAINERS:
-            within = [(o, t) for o, t in kept if kind in inside[id(o)]]
-            if within:
-                kept = within
+            within = [(o, t) for o, t in important if kind in inside[id(o)]]
+            if within and 2 * sum(len(t) for _, t in within) >= size:
+                important = within
                 break
-        important = [(o, t) for o, t in kept if not repeated[id(o)]]
-        return " ".join([t for _, t in important or kept])
+        return " ".join([t for _, t in important])
 
 
 def _ascii_lower(text: str) -> str:

@@ -32,6 +32,16 @@ def test_small_pages(page, text):
     assert s.Page(page).text() == text
 
 
+def test_article_cards_beside_the_main_text():
+    """Teasers in article elements don't displace a main text that is longer than they are."""
+    main = "<p>" + "The main text goes on. " * 9 + "</p>"
+    cards = "<article><h3>Read this</h3></article><article><h3>And that</h3></article>"
+    text = "The main text goes on. " * 8 + "The main text goes on."
+    assert s.Page(f"<div>{main}</div>{cards}").text() == f"{text} Read this And that"
+    assert s.Page(f"<i>x</i><main>{main}{cards}</main><p>out</p>").text() == f"{text} Read this And that"
+    assert s.Page(f"<article>{main}</article><article>{main}</article><p>out</p>").text() == f"{text} {text}"
+
+
 def test_long_and_deep_pages():
     assert s.Page("<div>" * 3000 + "x" + "</div>" * 3000).text() == "x"
     assert s.Page("<p>w " * 50000).text() == " ".join(["w"] * 50000)
