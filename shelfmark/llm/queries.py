@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfmark.llm import chat, decontamination, language, personal, pieces, quality, secret_scan, simhash, site_style, urls
+from shelfmark.llm import (
+    chat, decontamination, language, personal, pieces, quality, secret_scan, sharding, simhash, site_style, spelling, urls,
+    whitening,
+)
 from shelfmark.llm.frames import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -122,3 +126,40 @@ def op10_simhash_near_dedup(spark, folder):
     return groups.select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def _lose_one_in_31(doc_id: str, run: str) -> str:
+    """The contract's misspelling: a run whose checksum 31 divides loses one letter."""
+    h = zlib.crc32(f"{doc_id}:{run}".encode())
+    at = h % len(run)
+    return run if h % 31 else run[:at] + run[at + 1:]
+
+
+@query
+def op11_spelling_variants(spark, folder):
+    docs = read(spark, folder, "documents").select("doc_id", "text")
+    return spelling.group_spellings(docs, alter=_lose_one_in_31).select(
+        "word", "form", "root", "n", "n_near", "form_n")
+
+
+@query
+def op12_sharding(spark, folder):
+    docs = read(spark, folder, "documents").select("doc_id", "text")
+    return sharding.into_shards(docs, 16).select(
+        "doc_id", sharding.record_size().alias("size"), F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"),
+        F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+@query
+def op13_embedding_whitening(spark, folder):
+    vectors = read(spark, folder, "embeddings").select("vec_id", "embedding")
+    fitted = whitening.fit(vectors)
+    error = whitening.identity_error(vectors, fitted)
+    explained = F.array(*[F.lit(e) for e in fitted.explained]).cast("array<double>")
+    rows = whitening.whiten(vectors, fitted).select(
+        "vec_id", F.col("deviation").cast("long").alias("deviation"), F.posexplode("whitened").alias("at", "whitened"))
+    return rows.select(
+        "vec_id", (F.col("at") + 1).alias("component"), F.lit(fitted.n).cast("long").alias("n"), "deviation", "whitened",
+        F.get(explained, F.col("at")).alias("explained"), F.lit(error).alias("identity_error"),
+    )
