@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfmark.functions.definitions import python_definitions_sql
 from shelfmark.functions.fixed_values import DEFINITION_LANGUAGES
@@ -87,37 +87,42 @@ def diff_counts(diff: DataFrame) -> DataFrame:
     return diff.groupBy("change").agg(F.count("*").alias("functions"))
 
 
-def apply_diff(
-    stored: DataFrame,
-    definitions: DataFrame,
-    diff: DataFrame,
-    as_of: datetime,
+def upserted_functions(
+    old_ids: DataFrame, definitions: DataFrame, diff: DataFrame, after: Column | int, as_of: datetime,
     analyzer: Analyzer = ENGLISH,
 ) -> DataFrame:
-    """The next functions table.
+    """The rows of new and changed functions.
 
-    Removed rows go, new ones get an id, changed ones keep theirs and lose
-    summary and embedding, all other rows stay untouched. ``definitions`` also
-    has ``project_id``.
+    New ones get an id, counted on from ``after``; changed ones keep theirs, from
+    ``old_ids (file_id, start_line, id)``, and lose summary and embedding.
+    ``definitions`` also has ``project_id``.
     """
-    changes = diff.where(F.col("change") != "unchanged")
-    kept = stored.join(changes.where(F.col("change") != "new").select(*KEY), KEY, "left_anti")
-    new_ids = number_rows(
-        changes.where(F.col("change") == "new").select(*KEY), KEY, "id", highest_id(stored)
-    )
-    old_ids = stored.select(*KEY, "id").join(
-        changes.where(F.col("change") == "changed").select(*KEY), KEY, "left_semi"
+    new_ids = number_rows(diff.where(F.col("change") == "new").select(*KEY), KEY, "id", after)
+    kept_ids = old_ids.select(*KEY, "id").join(
+        diff.where(F.col("change") == "changed").select(*KEY), KEY, "left_semi"
     )
-    written = definitions.join(new_ids.select(*KEY, "id").unionByName(old_ids), KEY)
-    columns = FUNCTIONS.fieldNames()
-    rows = written.select(
+    written = definitions.join(new_ids.select(*KEY, "id").unionByName(kept_ids), KEY)
+    return written.select(
         "id", "file_id", "project_id", "start_line", *_CONTENT,
         F.lit(None).cast("string").alias("summary"),
         F.lit(None).cast("array<float>").alias("embedding"),
         F.expr(lexemes_sql("concat(name, ' ')", analyzer)).alias("fts"),
         F.lit(as_of).cast("timestamp").alias("last_updated"),
-    )
-    return kept.select(*columns).unionByName(rows.select(*columns))
+    ).select(*FUNCTIONS.fieldNames())
+
+
+def apply_diff(
+    stored: DataFrame,
+    definitions: DataFrame,
+    diff: DataFrame,
+    as_of: datetime,
+    analyzer: Analyzer = ENGLISH,
+) -> DataFrame:
+    """The next functions table: removed rows go, new and changed ones come, all others stay untouched."""
+    gone = diff.where(F.col("change").isin("removed", "changed")).select(*KEY)
+    kept = stored.join(gone, KEY, "left_anti").select(*FUNCTIONS.fieldNames())
+    return kept.unionByName(
+        upserted_functions(stored, definitions, diff, highest_id(stored), as_of, analyzer))
 
 
 def _of_projects(rows: DataFrame, projects: DataFrame | None) -> DataFrame:

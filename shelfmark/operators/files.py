@@ -6,7 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from shelfmark.functions.content import checksum, decode_lossy
+from shelfmark.functions.content import checksum
 from shelfmark.functions.naming import indexed_language
 from shelfmark.functions.text import ENGLISH, Analyzer, lexemes_sql
 from shelfmark.operators.enrichment import Model, enrich, hashed_embedding, lead_summary
@@ -23,7 +23,7 @@ def files_for_language(listing: DataFrame, projects: DataFrame) -> DataFrame:
 
     Adds ``project_id`` and ``language``. Suffixes without a language are
     filtered before the join. Each project is dealt to ``SLOTS`` keys, so that the
-    contents of a very large repository don't meet in one task.
+    rows of a very large repository don't meet in one task.
     """
     known = listing.withColumn("_language", indexed_language(F.col("path"))).where(
         F.col("_language").isNotNull()
@@ -35,15 +35,51 @@ def files_for_language(listing: DataFrame, projects: DataFrame) -> DataFrame:
     return (
         known.withColumn("_slot", F.pmod(F.hash("path"), F.lit(SLOTS))).join(owners, ["git_url", "_slot"])
         .where(F.col("_language") == F.col("language"))
-        .drop("_language", "_slot", "git_url")
+        .drop("_language", "_slot")
     )
 
 
-def read_contents(selected: DataFrame) -> DataFrame:
-    """Replace raw ``content`` by its checksum and its lossy text."""
-    return selected.withColumn("checksum", checksum(F.col("content"))).withColumn(
-        "body", decode_lossy(F.col("content"))
-    ).drop("content")
+def scanned_keys(scan: DataFrame, projects: DataFrame) -> DataFrame:
+    """``project_id, git_url, path, checksum`` of the files to index; contents stay where they are."""
+    listing = scan.select("git_url", "path", checksum(F.col("content")).alias("checksum"))
+    return files_for_language(listing, projects).select("project_id", "git_url", "path", "checksum")
+
+
+def file_states(stored: DataFrame, keys: DataFrame, **flags: Column) -> DataFrame:
+    """``project_id, path, id, state, checksum, old_checksum`` of stored and scanned files.
+
+    ``state`` is new, changed, same, or missing for files that the scan lacks.
+    Only keys and checksums are joined, with ``flags`` of the stored rows; further
+    columns of ``keys`` are kept.
+    """
+    old = stored.select(*KEY, "id", F.col("checksum").alias("old_checksum"), *[c.alias(n) for n, c in flags.items()])
+    return keys.withColumn("_seen", F.lit(True)).join(old, KEY, "full_outer").withColumn(
+        "state",
+        F.when(F.col("id").isNull(), "new").when(F.col("_seen").isNull(), "missing")
+        .when(F.col("checksum").eqNullSafe(F.col("old_checksum")), "same").otherwise("changed"),
+    ).drop("_seen")
+
+
+def with_new_ids(states: DataFrame, after: Column | int) -> DataFrame:
+    """``states`` with ids for new files, counted on from ``after``."""
+    new = number_rows(states.where("state = 'new'").drop("id"), KEY, "id", after)
+    return states.where("state <> 'new'").unionByName(new)
+
+
+def differing_files(stored: DataFrame, contents: DataFrame, states: DataFrame, on: list[str], analyzer: Analyzer = ENGLISH) -> DataFrame:
+    """New and changed files with their new body, and ``_scanned`` and ``_old_checksum``.
+
+    ``states`` has ids; ``contents`` has ``body`` and the key columns ``on``. Only
+    contents of differing keys are joined with anything: the second phase of the
+    upsert, after ``file_states``. Of stored rows, bodies are not read.
+    """
+    wanted = states.where(F.col("state").isin("new", "changed")).select(
+        *dict.fromkeys([*KEY, *on]), "id", "state", "checksum", F.col("old_checksum").alias("_old_checksum"))
+    old = stored.select("id", "summary", "embedding", F.col("fts").alias("_fts"), "last_updated")
+    path_only = F.expr(lexemes_sql("concat(path, ' ')", analyzer))
+    return contents.select(*on, "body").join(wanted, on).join(old, "id", "left").withColumn(
+        "fts", F.when(F.col("state") == "new", path_only).otherwise(F.col("_fts"))
+    ).withColumn("_scanned", F.lit(True)).select(*FILES.fieldNames(), "_scanned", "_old_checksum")
 
 
 def merge_files(
@@ -51,36 +87,22 @@ def merge_files(
 ) -> DataFrame:
     """The next files table, with ``_scanned`` and ``_old_checksum`` per row.
 
-    ``scanned`` has ``project_id, path, checksum, body``. Each side's bodies are
-    shuffled once; ids of new rows come from a join of keys only.
+    ``scanned`` has ``project_id, path, checksum, body``. Keys and checksums are
+    joined first; bodies of files that stay the same are not compared or moved by
+    key again: stored rows only meet the state of their id, scanned bodies the
+    keys that differ.
     """
-    new_keys = scanned.select(*KEY).join(stored.select(*KEY), KEY, "left_anti")
-    new_ids = number_rows(new_keys, KEY, "new_id", highest_id(stored))
-    incoming = (
-        scanned.select(*KEY, "checksum", "body")
-        .join(new_ids, KEY, "left")
-        .withColumn("_seen", F.lit(True))
-        .alias("n")
-    )
-    seen = F.col("n._seen").isNotNull()
-    joined = stored.alias("o").join(
-        incoming, F.expr("o.project_id = n.project_id AND o.path = n.path"), "full_outer"
-    )
-    path_only = lexemes_sql("concat(n.path, ' ')", analyzer)
-    return joined.select(
-        F.coalesce("o.id", "n.new_id").alias("id"),
-        F.coalesce("o.project_id", "n.project_id").alias("project_id"),
-        F.coalesce("o.path", "n.path").alias("path"),
-        F.when(seen, F.col("n.checksum")).otherwise(F.col("o.checksum")).alias("checksum"),
-        F.when(seen, F.col("n.body")).otherwise(F.col("o.body")).alias("body"),
-        F.col("o.summary").alias("summary"),
-        F.col("o.embedding").alias("embedding"),
-        F.when(F.col("o.id").isNull(), F.expr(path_only)).otherwise(F.col("o.fts")).alias("fts"),
-        F.when(seen, F.lit(as_of)).otherwise(F.col("o.last_updated")).cast("timestamp")
-        .alias("last_updated"),
-        seen.alias("_scanned"),
-        F.col("o.checksum").alias("_old_checksum"),
+    states = with_new_ids(file_states(stored, scanned.select(*KEY, "checksum")), highest_id(stored))
+    incoming = differing_files(stored, scanned, states, KEY, analyzer)
+    now = F.lit(as_of).cast("timestamp")
+    staying = stored.join(
+        states.where("state <> 'new'").select("id", "state"), "id"
+    ).where("state <> 'changed'").withColumn("_scanned", F.col("state") == "same").select(
+        *[F.when(F.col("_scanned"), now).otherwise(F.col(c)).alias(c) if c == "last_updated" else c
+          for c in FILES.fieldNames()],
+        "_scanned", F.col("checksum").alias("_old_checksum"),
     )
+    return incoming.withColumn("last_updated", now).unionByName(staying)
 
 
 def upsert_files(

@@ -46,12 +46,37 @@ def postings(table: DataFrame) -> DataFrame:
     )
 
 
+def term_bucket(term: Column, buckets: int) -> Column:
+    """The partition of a term's postings."""
+    return F.pmod(F.xxhash64(term), F.lit(buckets)).cast("int")
+
+
 def cluster_postings(index: DataFrame) -> DataFrame:
     """Order postings for writing, so a search reads few row groups.
 
-    Ranges run over term and id: a frequent term spreads over many files.
+    A word's rows come together by its hash; where a frequent word makes a task
+    large, Spark splits it.
+    """
+    return index.hint("rebalance", F.col("term")).sortWithinPartitions("term", "id")
+
+
+def changed_postings(old: DataFrame, new: DataFrame) -> DataFrame:
+    """Postings, with ``comes``, where rows ``old (id, project_id, fts)`` are replaced by ``new``.
+
+    Those that don't come go. Rows whose lexemes stay as they are have neither.
     """
-    return index.repartitionByRange("term", "id").sortWithinPartitions("term", "id")
+    rows = ("id", "project_id", "fts")
+    both = old.select(*rows, F.lit(False).alias("comes")).union(new.select(*rows, F.lit(True).alias("comes")))
+    whole = F.struct("project_id", "fts")
+    changed = both.groupBy("id").agg(
+        F.min(F.when(~F.col("comes"), whole)).alias("_old"), F.min(F.when(F.col("comes"), whole)).alias("_new")
+    ).where(~F.col("_old").eqNullSafe(F.col("_new"))).select("id", F.explode(F.array(
+        F.struct(F.lit(False).alias("comes"), F.col("_old.project_id").alias("project_id"),
+                 F.col("_old.fts").alias("fts")),
+        F.struct(F.lit(True).alias("comes"), F.col("_new.project_id").alias("project_id"), F.col("_new.fts").alias("fts")),
+    )).alias("_r")).select("id", "_r.*")
+    return terms(changed, "id", "project_id", "comes").groupBy("term", "id", "project_id", "comes").agg(
+        F.sort_array(F.collect_list("pos")).alias("positions"))
 
 
 @dataclass(frozen=True)
@@ -123,15 +148,19 @@ def keyword_scores(table: DataFrame, query: WebQuery) -> DataFrame:
     )
 
 
-def keyword_scores_from_postings(index: DataFrame, query: WebQuery) -> DataFrame:
+def keyword_scores_from_postings(index: DataFrame, query: WebQuery, buckets: int | None = None) -> DataFrame:
     """``(id, score)`` computed from postings.
 
-    The term list reaches the scan as a literal filter. The hits of one word are
+    With ``buckets``, the number of partitions of an index with a ``bucket``, only
+    the partitions of the query's terms are read. The term list reaches the scan as a literal filter. The hits of one word are
     one row already; those of several words are gathered per row id, so the
     largest group is one document's hits.
     """
     if query.needs_all_rows:
         raise ValueError("a query of exclusions only has to read the table itself")
+    if buckets is not None:
+        terms = [term_bucket(F.lit(t), buckets) for t in query.terms]
+        index = index.where(F.col("bucket").isin(*terms) if terms else F.lit(False))
     found = index.where(F.col("term").isin(query.terms) if query.terms else F.lit(False)).select(
         "id", F.transform("positions", lambda p: F.struct(p.alias("pos"), F.col("term").alias("term"))).alias("hits")
     )

@@ -61,6 +61,32 @@ def register_projects(
     )
 
 
+def project_digests(keys: DataFrame) -> DataFrame:
+    """``project_id, digest, files`` of the scanned ``keys (project_id, path, checksum)``.
+
+    The digest doesn't depend on the order of files: their number, and the sum of
+    their hashes, added up by partial aggregation.
+    """
+    total = F.sum(F.xxhash64("path", "checksum").cast("decimal(38,0)"))
+    return keys.groupBy("project_id").agg(
+        F.concat_ws(":", F.count("*").cast("string"), total.cast("string")).alias("digest"), F.count("*").alias("files"))
+
+
+#: Digest of a project without scanned files.
+NO_FILES = "0:0"
+
+
+def unchanged_projects(stored: DataFrame, scanned: DataFrame) -> DataFrame:
+    """``project_id, unchanged`` of the projects in ``scanned (project_id, digest)``.
+
+    ``stored`` has ``project_id, digest`` of the last scan that all tables agree
+    with; a project without one has changed.
+    """
+    before = stored.select("project_id", F.col("digest").alias("_before"))
+    return scanned.join(before, "project_id", "left").select(
+        "project_id", F.coalesce(F.col("digest") == F.col("_before"), F.lit(False)).alias("unchanged"))
+
+
 def indexable(projects: DataFrame) -> DataFrame:
     """Projects that have a language; the others are registered only."""
     return projects.where(F.col("language").isNotNull())

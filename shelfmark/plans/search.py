@@ -38,6 +38,7 @@ def _best(
     rrf_k: int,
     analyzer: Analyzer,
     postings: DataFrame | None,
+    postings_buckets: int | None,
     filters: dict,
 ) -> DataFrame:
     """``(id, rrf_score)`` of the best rows; both branches see the filters."""
@@ -46,7 +47,7 @@ def _best(
     if postings is None or query.needs_all_rows:
         scores = keyword_scores(chosen, query)
     else:
-        scores = keyword_scores_from_postings(_filtered(postings, **filters), query)
+        scores = keyword_scores_from_postings(_filtered(postings, **filters), query, postings_buckets)
     fused = fuse(
         semantic_topk(chosen, embedding, 2 * match_count),
         keyword_topk(scores, 2 * match_count),
@@ -99,6 +100,7 @@ def hybrid_search_files(
     *,
     analyzer: Analyzer = ENGLISH,
     postings: DataFrame | None = None,
+    postings_buckets: int | None = None,
     fetch: str = "ids",
 ) -> DataFrame:
     """``id, project_id, path, summary, rrf_score``, best first.
@@ -106,7 +108,7 @@ def hybrid_search_files(
     ``files`` has ``id, project_id, path, summary, embedding, fts``.
     """
     best = _best(
-        files, query_embedding, query_text, match_count, rrf_k, analyzer, postings,
+        files, query_embedding, query_text, match_count, rrf_k, analyzer, postings, postings_buckets,
         {"project_id": p_project_id, "id": p_file_id},
     )
     found = _fetch(files.select("id", "project_id", "path", "summary"), best, fetch)
@@ -124,25 +126,18 @@ def hybrid_search_functions(
     *,
     analyzer: Analyzer = ENGLISH,
     postings: DataFrame | None = None,
+    postings_buckets: int | None = None,
     fetch: str = "ids",
-    bodies: DataFrame | None = None,
 ) -> DataFrame:
     """``id, file_id, project_id, path, name, summary, body, rrf_score``, best first.
 
-    With ``bodies (checksum, body)``, ``functions`` needs no bodies: those of the
-    results are looked up by checksum.
+    Bodies are read for the results only, found by their ids.
     """
     best = _best(
-        functions, query_embedding, query_text, match_count, rrf_k, analyzer, postings,
+        functions, query_embedding, query_text, match_count, rrf_k, analyzer, postings, postings_buckets,
         {"project_id": p_project_id},
     )
-    text = "body" if bodies is None else "checksum"
-    found = _fetch(functions.select("id", "file_id", "project_id", "name", "summary", text), best, fetch)
-    if bodies is not None:
-        if fetch == "ids":
-            sums = [r["checksum"] for r in found.select("checksum").distinct().collect()]
-            bodies = bodies.where(F.col("checksum").isin(sums) if sums else F.lit(False))
-        found = found.join(bodies, "checksum", "left")
+    found = _fetch(functions.select("id", "file_id", "project_id", "name", "summary", "body"), best, fetch)
     owners = files.select("id", "path")
     if fetch == "ids":
         found_files = {r["file_id"] for r in found.select("file_id").collect()}

@@ -48,6 +48,11 @@ FUNCTIONS = _fields(
     ("fts", _LEXEMES, True),
     ("last_updated", _TIME, True),
 )
+POSTINGS = _fields(
+    ("term", _STRING, True), ("id", _LONG, True), ("project_id", _LONG, True), ("positions", T.ArrayType(_INT), True)
+)
+#: Stored beside the columns of projects: the digest of the last scan that all tables agree with, and its time.
+SCAN_STATE = _fields(("scan_digest", _STRING, True), ("scanned_at", _TIME, True))
 TABLES = {"projects": PROJECTS, "files": FILES, "functions": FUNCTIONS}
 UNIQUE_KEYS = {
     "projects": ["git_url"],

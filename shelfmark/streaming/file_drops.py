@@ -11,12 +11,12 @@ from pyspark.sql.streaming import StreamingQuery
 from shelfmark.plans.indexing import run_index
 from shelfmark.schemas import SCAN
 from shelfmark.sources.repositories import latest_drop
-from shelfmark.sources.snapshots import SnapshotStore
+from shelfmark.sources.store import TableStore
 
 
 def index_file_drops(
     spark: SparkSession,
-    store: SnapshotStore,
+    store: TableStore,
     drops: str,
     metadata: Callable[[DataFrame], DataFrame],
     as_of: Callable[[int], datetime],

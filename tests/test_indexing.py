@@ -1,19 +1,22 @@
 import re
 from datetime import datetime
+from pathlib import Path
 
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from shelfmark.functions.text import PLAIN
 from shelfmark.operators.enrichment import batch_model
-from shelfmark.operators.files import files_for_language
-from shelfmark.operators.fulltext import keyword_scores_from_postings, web_query
+from shelfmark.operators.files import differing_files, file_states, files_for_language, scanned_keys, with_new_ids
+from shelfmark.operators.fulltext import keyword_scores_from_postings, postings, web_query
+from shelfmark.operators.projects import project_digests
 from shelfmark.operators.definitions import enrich_functions, stale_functions
 from shelfmark.plans.indexing import run_index
 from shelfmark.plans.search import hybrid_search_files, hybrid_search_functions, query_embedding
 from shelfmark.schemas import METADATA, SCAN
 from shelfmark.sources.repositories import scan_repositories, scan_repository
-from shelfmark.sources.snapshots import ConflictError, SnapshotStore
+from shelfmark.sources.store import POSTINGS, TableStore
 from shelfmark.streaming.file_drops import index_file_drops
 
 URL = "https://h/u/repo.git"
@@ -34,7 +37,7 @@ def metadata(spark, *urls):
 
 @pytest.fixture
 def store(spark, tmp_path):
-    return SnapshotStore(spark, str(tmp_path / "state"))
+    return TableStore(spark, str(tmp_path / "state"), buckets=16)
 
 
 def rows(store, table, *columns):
@@ -125,12 +128,12 @@ def test_batch_model_sees_flagged_rows_only(spark, store):
     assert ("b.py", "again") in rows(store, "files", "path", "summary")
 
 
-def test_failed_run_publishes_nothing(spark, store):
+def test_failed_run_changes_nothing(spark, store):
     run_index(store, scan(spark, {"a.py": ONE}), metadata(spark), DAY[0])
     broken = scan(spark, {"a.py": "def other(): pass\n"})
     with pytest.raises(ValueError):
         run_index(store, broken.union(broken), metadata(spark), DAY[1])
-    assert store.latest()["version"] == 1
+    assert store.version == 1
     assert rows(store, "functions", "name") == {("first",), ("second",)}
 
 
@@ -156,48 +159,113 @@ def test_cascading_delete(spark, store):
     assert rows(store, "file_postings", "project_id") == rows(store, "projects", "id")
 
 
-def bodies_of_run(store, table):
-    newest = store.latest()
-    if f"{table}/{newest['run']}" not in newest["bodies"]:
-        return set()
-    place = f"{store.folder}/{table}_bodies/run={newest['run']}"
-    return {r["body"] for r in store.spark.read.parquet(place).collect()}
+def partitions(store, table):
+    """The data files of each partition of a table."""
+    found = {}
+    for path in sorted(Path(store.folder, table).glob("bucket=*/*.parquet")):
+        found.setdefault(int(path.parent.name.split("=")[1]), []).append(path.name)
+    return found
 
 
-def test_only_new_bodies_are_written(spark, store):
-    files = {"a.py": ONE, "b.py": ONE, "c.py": "# Other.\n"}
-    run_index(store, scan(spark, files), metadata(spark), DAY[0])
-    assert bodies_of_run(store, "files") == {ONE, "# Other.\n"}
-    assert len(bodies_of_run(store, "functions")) == 2
+def rewritten(before, after):
+    return {b for b in after if before.get(b) != after[b]}
+
+
+def test_only_touched_partitions_are_written(spark, store):
+    files = {f"f{i}.py": ONE.replace("first", f"first{i}") for i in range(20)}
+    run_index(store, scan(spark, files), metadata(spark), DAY[0], with_postings=True)
+    tables = ("files", "functions", "file_postings", "function_postings")
+    before = {t: partitions(store, t) for t in tables}
     run_index(store, scan(spark, files), metadata(spark), DAY[1])
-    assert bodies_of_run(store, "files") == bodies_of_run(store, "functions") == set()
-    edited = ONE.replace("Two.", "Edited.")
-    run_index(store, scan(spark, {"a.py": edited}), metadata(spark), DAY[2])
-    assert bodies_of_run(store, "files") == {edited}
-    assert len(bodies_of_run(store, "functions")) == 1
-    assert rows(store, "files", "path", "body") == {("a.py", edited), ("b.py", ONE), ("c.py", "# Other.\n")}
-    newest = store.latest()
-    assert list(newest["parts"]["files"].values()).count(newest["run"]) == 1
-    assert set(newest["parts"]["files"].values()) != {newest["run"]} or len(newest["parts"]["files"]) == 1
+    assert before == {t: partitions(store, t) for t in tables}
+    files["f7.py"] = files["f7.py"].replace("Two.", "Edited.")
+    run_index(store, scan(spark, files), metadata(spark), DAY[2])
+    after = {t: partitions(store, t) for t in tables}
+    id_ = store.read("files").where("path = 'f7.py'").first()["id"]
+    for table, column in (("files", "id"), ("functions", "file_id")):
+        expected = {r["bucket"] for r in store.rows(table).where(f"{column} = {id_}").collect()}
+        assert rewritten(before[table], after[table]) == expected and len(expected) == 1
+    for table in ("file_postings", "function_postings"):
+        touched = rewritten(before[table], after[table])
+        of_row = store.rows(table).where("term = 'edit'").first()
+        changed = postings(store.read(POSTINGS[table]).where(F.col("id") == of_row["id"]))
+        own = {r["bucket"] for r in changed.select(store.bucket(table).alias("bucket")).collect()}
+        assert own <= touched and len(touched - own) <= 1  # 'two' has gone
+        assert len(touched) < len(after[table])
+    assert rows(store, "files", "last_updated") == {(DAY[2],)}
+    assert store.read("files").where("path = 'f7.py'").first()["body"] == files["f7.py"]
     narrow = store.read("files").select("id", "path")
     assert "Join" not in narrow._jdf.queryExecution().optimizedPlan().toString()
     found = hybrid_search_functions(
-        store.read("functions", bodies=False), store.read("files", bodies=False), query_embedding(spark, "edited"),
-        "second", match_count=1, bodies=store.read_bodies("functions"),
+        store.read("functions"), store.read("files"), query_embedding(spark, "edited"), "edited", match_count=1,
+        postings=store.read("function_postings"), postings_buckets=store.buckets,
     ).collect()
-    assert [(r["path"], r["name"], "Edited." in r["body"]) for r in found] == [("a.py", "second", True)]
+    assert [(r["path"], r["name"], "Edited." in r["body"]) for r in found] == [("f7.py", "second", True)]
 
 
-def test_two_runs_begun_together(spark, store):
-    run_index(store, scan(spark, {"a.py": ONE}), metadata(spark), DAY[0])
-    late = store.begin()
-    for table in ("projects", "files", "functions"):
-        late.write(table, late.read(table).limit(0))
-    run_index(store, scan(spark, {"b.py": ONE}), metadata(spark), DAY[1])
-    with pytest.raises(ConflictError):
-        late.publish(DAY[2])
-    assert store.latest()["version"] == 2
-    assert {p for (p,) in rows(store, "files", "path")} == {"a.py", "b.py"}
+def test_unchanged_run_reads_no_file_and_no_function(spark, store, monkeypatch):
+    both = scan(spark, {"a.py": ONE}).union(scan(spark, {"z.py": ONE}, OTHER))
+    run_index(store, both, metadata(spark, URL, OTHER), DAY[0], with_postings=True)
+    read = []
+    original = store.rows
+    monkeypatch.setattr(store, "rows", lambda table: read.append(table) or original(table))
+    run_index(store, both, metadata(spark, URL, OTHER), DAY[1])
+    assert set(read) == {"projects"}
+    monkeypatch.undo()
+    assert rows(store, "files", "path", "last_updated") == {("a.py", DAY[1]), ("z.py", DAY[1])}
+    assert rows(store, "functions", "last_updated") == {(DAY[0],)}
+
+
+def test_files_that_go_and_come_back(spark, store):
+    """A file that has gone from the scan keeps its time until it is back."""
+    for day, files in enumerate(({"a.py": ONE, "b.py": ONE}, {"a.py": ONE}, {"a.py": ONE}, {"a.py": ONE, "b.py": ONE})):
+        run_index(store, scan(spark, files), metadata(spark), DAY[day], analyzer=PLAIN)
+        times = dict(rows(store, "files", "path", "last_updated"))
+        assert times == {"a.py": DAY[day], "b.py": DAY[0 if day in (1, 2) else day]}
+    assert len(rows(store, "functions", "id")) == 4
+
+
+def test_same_files_in_the_other_order(spark):
+    keys = [(1, "a", "x"), (1, "b", "y"), (2, "a", "x"), (3, "a", "y"), (3, "a", "y")]
+    one, other = (project_digests(spark.createDataFrame(k, "project_id long, path string, checksum string")).collect()
+                  for k in (keys, keys[::-1]))
+    assert sorted(map(tuple, one)) == sorted(map(tuple, other))
+    assert len({r["digest"] for r in one}) == 3
+
+
+def test_equal_contents_are_not_exchanged(spark, store):
+    """Contents meet the keys that differ where they are; only these are moved to their partition."""
+    files = {f"{i}.py": f"# File {i}.\n" for i in range(30)}
+    run_index(store, scan(spark, files), metadata(spark), DAY[0])
+    contents = scan(spark, {**files, "3.py": "# New.\n"}).withColumn("body", F.col("content").cast("string"))
+    stored = store.rows("files")
+    keys = scanned_keys(contents, store.rows("projects"))
+    states = store.begin(DAY[1]).set_aside("states", with_new_ids(file_states(stored, keys), 100))
+    found = differing_files(stored, contents, states, ["git_url", "path"])
+    assert [r["path"] for r in found.collect()] == ["3.py"]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastExchange" in plan and not re.search(r"(?<!Broadcast)Exchange", plan), plan
+
+
+def test_a_run_that_broke_off_is_made_good(spark, store):
+    run_index(store, scan(spark, {"a.py": ONE, "b.py": ONE}), metadata(spark), DAY[0], with_postings=True)
+    broken = store.begin(DAY[1])
+    broken.update("function_postings", store.rows("function_postings").limit(0), store.rows("function_postings"))
+    broken.update("functions", store.rows("functions").limit(0), broken.set_aside("x", store.rows("functions").where("name = 'first'")))
+    assert store.read("function_postings").count() == 0 and store.version == 1
+    edited = {"a.py": ONE.replace("Two.", "Edited."), "b.py": ONE + "# more\n"}
+    run_index(store, scan(spark, edited), metadata(spark), DAY[2])
+    assert store.version == 3
+    expected = postings(store.read("functions")).select("term", "id", "project_id", "positions")
+    assert sorted(map(str, store.read("function_postings").drop("bucket").collect())) == sorted(map(str, expected.collect()))
+    assert rows(store, "functions", "name") == {("first",), ("second",)}
+
+
+def test_emptied_partitions(spark, store):
+    run_index(store, scan(spark, {"a.py": ONE}), metadata(spark), DAY[0], with_postings=True)
+    assert store.delete_projects(store.read("projects").select("id"), DAY[1]) == 2
+    for table in ("projects", "files", "functions", "file_postings", "function_postings"):
+        assert store.read(table).count() == 0
 
 
 def test_a_run_leaves_other_projects_alone(spark, store):
@@ -259,12 +327,12 @@ def test_file_drops(spark, store, tmp_path):
 
     scan(spark, {"a.py": ONE}).write.parquet(drops)
     index()
-    assert store.latest()["version"] == 1
+    assert store.version == 1
     index()
-    assert store.latest()["version"] == 1
+    assert store.version == 1
     scan(spark, {"a.py": "def first():\n    return 'One sentence here.'\n"}).write.mode("append").parquet(drops)
     index()
-    assert store.latest()["version"] == 2
+    assert store.version == 2
     assert rows(store, "functions", "name") == {("first",)}
 
 

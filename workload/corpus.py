@@ -15,7 +15,7 @@ from shelfmark.functions.sentences import lead_sentences
 from shelfmark.functions.text import PLAIN
 from shelfmark.operators.fulltext import analyze, cluster_postings, postings
 from shelfmark.session import shared_folder
-from shelfmark.sources.snapshots import clustered, write_table
+from shelfmark.sources.store import clustered, write_table
 from shelfmark.sources.tables import read_table, spread
 
 AS_OF = datetime(2024, 1, 1)

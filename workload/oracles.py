@@ -479,6 +479,20 @@ ORACLES: dict[str, str] = {
     "postings": f"""WITH {_DOCUMENTS}, {_TEXT_WORDS}
         SELECT term, id, project_id, string_agg(pos, ',' ORDER BY pos) AS positions
         FROM words JOIN documents_as_files ON doc_id = id GROUP BY term, id, project_id""",
+    "postings_after_change": f"""WITH kept AS (
+            SELECT * REPLACE (CASE WHEN doc_id IN (SELECT doc_id FROM labels WHERE quality = 1)
+                THEN text || ' Edited tion' ELSE text END AS text)
+            FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1)),
+        {_DOCUMENTS.replace('FROM documents', 'FROM kept')}, {_TEXT_WORDS.replace('FROM documents', 'FROM kept')}
+        SELECT term, id, project_id, string_agg(pos, ',' ORDER BY pos) AS positions
+        FROM words JOIN documents_as_files ON doc_id = id GROUP BY term, id, project_id""",
+    "unchanged_projects": """
+        WITH pairs AS (
+            SELECT cast(substr(source, 4) AS BIGINT) AS project_id, text,
+                CASE WHEN doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1 AND quality = 0)
+                    THEN 'Edited. ' || text ELSE text END AS new_text FROM documents)
+        SELECT project_id, count(*) AS files, count(*) FILTER (new_text <> text) = 0 AS unchanged
+        FROM pairs GROUP BY project_id""",
     "web_query": f"""
         WITH split AS (SELECT item_id, {_tokens('text')} AS w FROM benchmark),
         asked AS (SELECT * FROM split),

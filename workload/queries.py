@@ -24,7 +24,7 @@ from shelfmark.plans import search, table_functions
 from shelfmark.plans.indexing import run_index
 from shelfmark.session import shared_folder
 from shelfmark.sources.repositories import scan_repositories
-from shelfmark.sources.snapshots import SnapshotStore
+from shelfmark.sources.store import TableStore
 from shelfmark.sources.tables import spread
 from workload import corpus
 from workload.corpus import AS_OF, table
@@ -90,26 +90,26 @@ def stored_lookup(spark, folder):
     return file_ops.stored_lookup(corpus.stored_files(spark, folder), labelled)
 
 
-def _publish(store: SnapshotStore, spark, folder, files: DataFrame) -> None:
-    """A snapshot of the given files, the turns as functions and the sources as projects."""
-    run = store.begin()
+def _fill(store: TableStore, spark, folder, files: DataFrame) -> None:
+    """A store of the given files, the turns as functions and the sources as projects."""
+    run = store.begin(AS_OF)
     sources = table(spark, folder, "documents").select("source").distinct()
-    run.write("projects", sources.select(
+    run.replace("projects", sources.select(
         F.expr("cast(substr(source, 4) AS bigint)").alias("id"), F.col("source").alias("name"),
         F.col("source").alias("git_url"), F.lit(None).alias("language"),
         F.lit(None).alias("default_branch"), F.lit(None).alias("summary"),
         F.lit(None).alias("embedding"), F.lit(AS_OF).alias("last_updated"),
     ))
-    run.write("files", files)
-    run.write("functions", corpus.stored_functions(spark, folder))
-    run.publish(AS_OF)
+    run.replace("files", files)
+    run.replace("functions", corpus.stored_functions(spark, folder))
+    run.finish()
 
 
 @query
 def snapshot_roundtrip(spark, folder):
-    """Write all three tables as a snapshot, publish it, read it back."""
-    store = SnapshotStore(spark, f"{shared_folder(spark)}/snapshot-{uuid.uuid4().hex}")
-    _publish(store, spark, folder, corpus.stored_files(spark, folder))
+    """Write all three tables, read them back."""
+    store = TableStore(spark, f"{shared_folder(spark)}/snapshot-{uuid.uuid4().hex}")
+    _fill(store, spark, folder, corpus.stored_files(spark, folder))
     return (
         store.read("files").select(F.lit("files").alias("kind"), "id", "checksum")
         .unionByName(store.read("functions").select(F.lit("functions").alias("kind"), "id", "checksum"))
@@ -225,10 +225,10 @@ def files_for_language(spark, folder):
 
 @query
 def cascade_delete(spark, folder):
-    """Publish a snapshot, delete the projects of toxic documents in the store, read the next one back."""
-    store = SnapshotStore(spark, f"{shared_folder(spark)}/deleted-{uuid.uuid4().hex}")
+    """Fill a store, delete the projects of toxic documents in it, read it back."""
+    store = TableStore(spark, f"{shared_folder(spark)}/deleted-{uuid.uuid4().hex}")
     files = corpus.files(spark, folder).withColumn("last_updated", F.lit(AS_OF).cast("timestamp"))
-    _publish(store, spark, folder, files)
+    _fill(store, spark, folder, files)
     removed = corpus.document_paths(
         table(spark, folder, "documents")
         .join(table(spark, folder, "labels").where("toxic = 1"), "doc_id", "left_semi")
@@ -240,6 +240,24 @@ def cascade_delete(spark, folder):
     return first.unionByName(second).unionByName(third)
 
 
+def _edited_few(spark, folder) -> DataFrame:
+    """Documents as files of their projects with a new ``text`` of a few: toxic ones of low quality."""
+    few = table(spark, folder, "labels").where("toxic = 1 AND quality = 0").select("doc_id").distinct()
+    return corpus.document_paths(table(spark, folder, "documents")).join(
+        few.withColumn("_few", F.lit(True)), "doc_id", "left"
+    ).withColumn("new_text", F.when(F.col("_few"), F.concat(F.lit("Edited. "), "text")).otherwise(F.col("text")))
+
+
+@query
+def unchanged_projects(spark, folder):
+    """Projects whose scan has the digest of the one before, with the number of their files."""
+    edited = _edited_few(spark, folder)
+    before, now = (
+        projects.project_digests(edited.select("project_id", "path", checksum(F.col(text)).alias("checksum")))
+        for text in ("text", "new_text"))
+    return projects.unchanged_projects(before, now).join(now.select("project_id", "files"), "project_id")
+
+
 # Files
 
 
@@ -383,7 +401,7 @@ def extract_definitions(spark, folder):
 @query
 def indexed_functions(spark, folder):
     """Two indexing runs over all documents, the second with edited files."""
-    store = SnapshotStore(spark, f"{shared_folder(spark)}/indexed-{uuid.uuid4().hex}")
+    store = TableStore(spark, f"{shared_folder(spark)}/indexed-{uuid.uuid4().hex}")
     for as_of, edited in ((corpus.EARLIER, False), (AS_OF, True)):
         scan = corpus.repository_scan(spark, folder, edited)
         metadata = table(spark, folder, "documents").select("source").distinct().select(
@@ -457,6 +475,25 @@ def postings(spark, folder):
     return index.withColumn("positions", F.array_join("positions", ","))
 
 
+@query
+def postings_after_change(spark, folder):
+    """Postings of all texts in a store, kept up after edits: good documents changed, toxic ones taken out."""
+    store = TableStore(spark, f"{shared_folder(spark)}/postings-{uuid.uuid4().hex}")
+    old = _stored_texts(spark, folder)
+    run = store.begin(AS_OF)
+    run.replace("file_postings", fulltext.postings(old))
+    labels = table(spark, folder, "labels")
+    edited = corpus.document_paths(
+        table(spark, folder, "documents").join(labels.where("quality = 1 AND toxic = 0"), "doc_id", "left_semi")
+    ).select(F.col("doc_id").alias("id"), "project_id", F.concat("text", F.lit(" Edited tion")).alias("text"))
+    new = fulltext.analyze(edited, "text", PLAIN)
+    gone = labels.where("quality = 1 OR toxic = 1").select(F.col("doc_id").alias("id"))
+    moved = run.set_aside("moves", fulltext.changed_postings(old.join(gone, "id", "left_semi"), new))
+    run.update("file_postings", moved.where("comes"), moved.where("NOT comes"))
+    run.finish()
+    return store.read("file_postings").drop("bucket").withColumn("positions", F.array_join("positions", ","))
+
+
 @query
 def web_query(spark, folder):
     words = F.expr("regexp_extract_all(lower(text), r'[\\p{L}\\p{N}]+', 0)")
