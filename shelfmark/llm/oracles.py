@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from shelfmark.llm import secret_scan
-
 ORACLES: dict[str, str] = {}
 
 ORACLES["op1_quality_rules"] = r"""
@@ -93,52 +91,84 @@ FROM shared JOIN sizes USING (item_id) WHERE 10 * s >= 8 * k
 """
 
 
-def _spans(name: str, pattern: str, group: int) -> str:
+def _spans(name: str, pattern: str, group: int, source: str = "SELECT doc_id, 0 AS shift, text FROM documents") -> str:
     """``doc_id, start, stop, value`` of the matches of a pattern, placed by what stands before them."""
     quoted = pattern.replace("'", "''")
     return f"""
 {name} AS (
-    SELECT doc_id, value, stop - length(whole) AS start, stop FROM (
-        SELECT doc_id, value, whole,
-            sum(length(gap) + length(whole)) OVER (PARTITION BY doc_id ORDER BY place)::BIGINT AS stop
+    SELECT doc_id, value, shift + stop - length(whole) AS start, shift + stop AS stop FROM (
+        SELECT doc_id, shift, value, whole,
+            sum(length(gap) + length(whole)) OVER (PARTITION BY doc_id, shift ORDER BY place)::BIGINT AS stop
         FROM (
-            SELECT doc_id, unnest(found) AS whole, unnest(chosen) AS value, unnest(gaps[:len(found)]) AS gap,
+            SELECT doc_id, shift, unnest(found) AS whole, unnest(chosen) AS value, unnest(gaps[:len(found)]) AS gap,
                 generate_subscripts(found, 1) AS place
             FROM (
-                SELECT doc_id, regexp_extract_all(text, '{quoted}') AS found,
+                SELECT doc_id, shift, regexp_extract_all(text, '{quoted}') AS found,
                     regexp_extract_all(text, '{quoted}', {group}) AS chosen,
                     string_split_regex(text, '{quoted}') AS gaps
-                FROM documents WHERE regexp_matches(text, '{quoted}')))))"""
+                FROM ({source}) WHERE regexp_matches(text, '{quoted}')))))"""
+
+
+def _cut(name: str, runs: str, spans: str) -> str:
+    """The parts of ``runs`` outside ``spans``, of 20 characters at least."""
+    return f"""
+{name} AS (
+    SELECT doc_id, p AS start, piece_stop AS stop, substr(value, p - start + 1, piece_stop - p) AS value FROM (
+        SELECT r.*, coalesce((SELECT min(b.start) FROM {spans} b
+            WHERE b.doc_id = r.doc_id AND b.start >= r.p AND b.start < r.stop), r.stop) AS piece_stop
+        FROM (
+            SELECT doc_id, start, stop, value, start AS p FROM {runs}
+            UNION SELECT c.doc_id, c.start, c.stop, c.value, b.stop
+            FROM {runs} c JOIN {spans} b ON b.doc_id = c.doc_id AND b.start < c.stop AND b.stop > c.start) r
+        WHERE p < stop AND NOT EXISTS (
+            SELECT 1 FROM {spans} b WHERE b.doc_id = r.doc_id AND b.start <= r.p AND b.stop > r.p))
+    WHERE piece_stop - p >= 20)"""
+
+
+def _secret(name: str, source: str) -> str:
+    """The strings of ``source`` with a window as random as its class asks and nothing harmless."""
+    return rf"""
+{name} AS (
+    SELECT doc_id, start, stop FROM (
+        SELECT doc_id, start, stop, w, sum(round(n * log2(n) * 1000000)) AS s FROM (
+            SELECT doc_id, start, stop, i, w, c, count(*) AS n FROM (
+                SELECT *, unnest(string_split(w, '')) AS c FROM (
+                    SELECT doc_id, start, stop, i, substr(value, i, 20) AS w FROM (
+                        SELECT *, unnest(range(1, length(value) - 18)) AS i FROM {source}
+                        WHERE NOT regexp_matches(value,
+                            '(?i)example|sample|placeholder|changeme|dummy|x{{6}}|0{{8}}|123456789|abcdefgh')
+                        AND NOT regexp_matches(value, '(^|[^0-9a-fA-F])[0-9a-fA-F]{{8}}(-[0-9a-fA-F]{{4}}){{3}}'
+                            || '-[0-9a-fA-F]{{12}}($|[^0-9a-fA-F])'))))
+            GROUP BY ALL)
+        GROUP BY doc_id, start, stop, i, w)
+    WHERE s <= floor(20 * (log2(20) - CASE
+            WHEN regexp_full_match(w, '[0-9a-fA-F]+') AND regexp_matches(w, '[a-fA-F]') AND regexp_matches(w, '[0-9]')
+                THEN 3.0
+            WHEN regexp_full_match(w, '[0-9A-Za-z]+')
+                THEN CASE WHEN regexp_matches(w, '[A-Za-z]') AND regexp_matches(w, '[0-9]') THEN 3.7 ELSE 4.0 END
+            WHEN regexp_matches(w, '[A-Za-z]') AND regexp_matches(w, '[0-9]') THEN 3.8 ELSE 9 END) * 1000000)
+    GROUP BY ALL)"""
 
 
-_ALLOWED = " OR ".join(f"regexp_matches(value, '{p}')" for p in secret_scan.ALLOWED)
-_LIMITS = " ".join(
-    f"WHEN regexp_matches(value, '{p}') THEN {secret_scan.entropy_limit(bits)}" for p, bits in secret_scan.CLASSES
-)
 _JOINED = "coalesce(string_agg({kind} || ':' || start || ':' || stop, ',' ORDER BY start, rank){only}, '')"
+_PIECES = "SELECT doc_id, start AS shift, value AS text FROM pieces"
 
 ORACLES["op7_secret_scans"] = rf"""
-WITH {_spans("assigned", secret_scan.ASSIGN, 2)}, {_spans("keys", secret_scan.ACCESS, 0)},
-{_spans("digits", secret_scan.HEX, 0)}, {_spans("candidates", secret_scan.CANDIDATE, 0)},
+WITH {_spans("assigned", '((?i:password|passwd|secret|token|api_?key))["' + "']?" + r'\x20*[:=]\x20*["' + "']?"
+             + '([A-Za-z0-9+/_.=-]+)', 2)},
+{_spans("keys", 'AKIA[A-Z0-9]+', 0)}, {_spans("digits", '[0-9a-f]+', 0)},
+{_spans("candidates", '[A-Za-z0-9+/_=-]{20,}', 0)},
 base AS (
     SELECT doc_id, 'assign' AS kind, 0 AS rank, start, stop FROM assigned WHERE length(value) >= 6
-    UNION ALL SELECT doc_id, 'access', 1, start, stop FROM keys
-    UNION ALL SELECT doc_id, 'hex', 2, start, stop FROM digits
-), apart AS (
-    SELECT doc_id, start, stop, value FROM candidates c
-    WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = c.doc_id AND b.start < c.stop AND b.stop > c.start)
-        AND regexp_matches(value, '[A-Za-z]') AND regexp_matches(value, '[0-9]') AND NOT ({_ALLOWED})
-), windows AS (
-    SELECT doc_id, start, stop, value, i, unnest(string_split(substr(value, i, {secret_scan.WINDOW}), '')) AS c
-    FROM (SELECT *, unnest(range(1, length(value) - {secret_scan.WINDOW} + 2)) AS i FROM apart)
-), sums AS (
-    SELECT doc_id, start, stop, value, i, sum(round(n * log2(n) * 1000000)) AS s
-    FROM (SELECT doc_id, start, stop, value, i, c, count(*) AS n FROM windows GROUP BY ALL) GROUP BY ALL
-), spans AS (
+    UNION ALL SELECT doc_id, 'access', 1, start, stop FROM keys WHERE length(value) >= 20
+    UNION ALL SELECT doc_id, 'hex', 2, start, stop FROM digits WHERE length(value) >= 24
+), {_cut("pieces", "candidates", "base")}, {_spans("words", '[A-Za-z0-9]{20,}', 0, _PIECES)},
+{_secret("secret_words", "words")}, {_cut("rest", "pieces", "secret_words")},
+signed AS (SELECT * FROM rest WHERE regexp_matches(value, '[+/_=-]')), {_secret("secret_rest", "signed")},
+spans AS (
     SELECT * FROM base
-    UNION ALL
-    SELECT doc_id, 'entropy', 3, start, stop FROM sums GROUP BY doc_id, start, stop, value
-    HAVING min(s) <= CASE {_LIMITS} END
+    UNION ALL SELECT doc_id, 'entropy', 3, start, stop FROM secret_words
+    UNION ALL SELECT doc_id, 'entropy', 3, start, stop FROM secret_rest
 )
 SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
     count(*) FILTER (kind = 'hex') AS n_hex,

@@ -1,10 +1,14 @@
 """Secret scans: fixed patterns, and sliding-window entropy of candidate strings.
 
-Candidates are runs of characters that keys are written in. A window slides over
-each one; the counts of its characters are kept up by one step in and one step
-out, and the lowest sum of ``c * log2(c)`` gives the highest Shannon entropy.
-Each character class has its own threshold. An allow list suppresses known
-harmless strings. Everything is a Spark expression of one row.
+Candidates are runs of characters that keys are written in, cut where a fixed
+pattern has matched. A window slides over each one; the counts of its characters
+are kept up by one step in and one step out, and with them the sum of
+``c * log2(c)``, which is low where the Shannon entropy is high. Each window is
+judged by its own character class and that class's threshold. Runs of letters and
+digits within a candidate are judged first and reported by themselves, so that
+what is glued to a key doesn't hide it; then what is left of the candidate. An
+allow list suppresses findings that hold known harmless strings. Everything is a
+Spark expression of one row.
 """
 
 from __future__ import annotations
@@ -25,21 +29,20 @@ ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"[0-9a-f]{24,}"
 KINDS = ("assign", "access", "hex", "entropy")
 CANDIDATE = r"[A-Za-z0-9+/_=-]{%d,}" % WINDOW
-#: Character classes in order: pattern of the whole candidate, its alphabet, bits from which a window is random.
-CLASSES = (
-    (r"^[0-9a-fA-F]+$", 3.0),
-    (r"^[A-Za-z0-9]+$", 3.7),
-    (r"^", 3.8),
-)
+_WORD = r"[A-Za-z0-9]{%d,}" % WINDOW
+_SIGN = r"[+/_=-]"
+#: Bits from which a window is random: of hexadecimal digits, of letters and digits, with signs too. A window
+#: of letters and digits is also random without a digit from ``BARE_BITS``; others need a letter and a digit.
+HEX_BITS, WORD_BITS, BARE_BITS, MIXED_BITS = 3.0, 3.7, 4.0, 3.8
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
-#: Candidates that are no secrets: samples from manuals, fillers, sequences, UUIDs.
+#: Findings that hold one of these are no secrets: samples from manuals, fillers, sequences, UUIDs.
 ALLOWED = (
     r"(?i)example|sample|placeholder|changeme|dummy|x{6}|0{8}|123456789|abcdefgh",
-    r"^[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$",
+    r"(?:^|[^0-9a-fA-F])[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}(?:$|[^0-9a-fA-F])",
 )
 #: Sums of ``c * log2(c)`` are whole millionths, so that no rounding depends on the order.
 _UNIT = 1_000_000
-_TERMS = [0 if c == 0 else round(c * math.log2(c) * _UNIT) for c in range(WINDOW + 1)]
+_TERMS = [0 if c == 0 else round(c * math.log2(c) * _UNIT) for c in range(WINDOW + 2)]  # one more before the oldest leaves
 #: Lengths are summed up in blocks, so that a text with very many matches takes linear time.
 _BLOCK = 256
 
@@ -104,12 +107,16 @@ def _matches(text: Column, pattern: str, group: int = 0) -> Column:
     return F.when(text.rlike(pattern), _found(text, pattern, group).cast(NONE)).otherwise(F.array().cast(NONE))
 
 
-def lowest_sum(value: Column) -> Column:
-    """The lowest sum of terms over the windows of ``value``, which has ``WINDOW`` characters at least."""
+def _random(value: Column) -> Column:
+    """Whether a window of ``value``, which has ``WINDOW`` characters at least, is as random as its class asks."""
     terms = F.array(*[F.lit(t).cast("long") for t in _TERMS])
     codes = F.transform(F.split(value, ""), lambda c: F.instr(F.lit(ALPHABET), c))
     codes = F.filter(codes, lambda c: c > 0)
     zeros = F.array_repeat(F.lit(0), len(ALPHABET))
+    kinds = {  # places in the alphabet
+        "letters": lambda c: c.between(1, 52), "digits": lambda c: c.between(53, 62), "signs": lambda c: c > 62,
+        "others": lambda c: c.between(7, 26) | c.between(33, 52),  # letters that are no hexadecimal digit
+    }
 
     def term(c: Column) -> Column:
         return F.element_at(terms, c + 1)
@@ -123,46 +130,71 @@ def lowest_sum(value: Column) -> Column:
         total = F.when(out == 0, gained).otherwise(gained - term(leaving) + term(leaving - 1))
         counts = F.transform(
             s["counts"], lambda c, i: c + (i + 1 == into).cast("int") - (i + 1 == out).cast("int"))
-        n = s["n"] + 1
-        return F.struct(
-            counts.alias("counts"), total.alias("sum"), n.alias("n"),
-            F.when(n >= WINDOW, F.least(s["least"], total)).otherwise(s["least"]).alias("least"),
+        of_kind = [(s[k] + holds(into).cast("int") - holds(out).cast("int")).alias(k) for k, holds in kinds.items()]
+        return F.struct(counts.alias("counts"), total.alias("sum"), (s["n"] + 1).alias("n"), *of_kind, s["found"].alias("found"))
+
+    def judged(s: Column) -> Column:
+        both = (s["letters"] > 0) & (s["digits"] > 0)
+        plain = s["signs"] == 0
+        limit = (
+            F.when(plain & (s["others"] == 0) & both, entropy_limit(HEX_BITS))
+            .when(plain & both, entropy_limit(WORD_BITS)).when(plain, entropy_limit(BARE_BITS))
+            .when(both, entropy_limit(MIXED_BITS)).otherwise(-1)
         )
+        found = s["found"] | ((s["n"] >= WINDOW) & (s["sum"] <= limit))
+        return F.struct(*[s[k].alias(k) for k in ("counts", "sum", "n", *kinds)], found.alias("found"))
 
     pairs = _let(codes, lambda own: F.slice(
         F.zip_with(own, F.concat(F.array_repeat(F.lit(0), WINDOW), own), lambda a, b: F.struct(
             a.alias("into"), b.alias("out"))), F.lit(1), F.size(own)))
-    return F.aggregate(
-        pairs,
-        F.struct(zeros.alias("counts"), F.lit(0).cast("long").alias("sum"), F.lit(0).alias("n"),
-                 F.lit(1 << 60).cast("long").alias("least")),
-        step, lambda s: s["least"],
-    )
+    start = F.struct(zeros.alias("counts"), F.lit(0).cast("long").alias("sum"), F.lit(0).alias("n"),
+                     *[F.lit(0).alias(k) for k in kinds], F.lit(False).alias("found"))
+    return F.aggregate(pairs, start, lambda s, pair: _let(step(s, pair), judged), lambda s: s["found"])
 
 
-def _random(value: Column) -> Column:
-    """Whether a candidate holds a letter and a digit and a window as random as its class asks."""
-    def verdict(low: Column) -> Column:
-        (pattern, bits), *rest = CLASSES
-        chosen = F.when(value.rlike(pattern), low <= entropy_limit(bits))
-        for pattern, bits in rest:
-            chosen = chosen.when(value.rlike(pattern), low <= entropy_limit(bits))
-        return chosen
+def _span(start: Column, end: Column, value: Column) -> Column:
+    return F.struct(start.alias("start"), end.alias("end"), value.alias("value"))
+
+
+def _cut(runs: Column, spans: Column) -> Column:
+    """What is left of ``runs`` outside ``spans``, in pieces of ``WINDOW`` characters at least."""
+    def pieces(r: Column) -> Column:
+        hit = F.filter(spans, lambda b: (b["start"] < r["end"]) & (b["end"] > r["start"]))
+
+        def parts(h: Column) -> Column:
+            begins = F.array_distinct(F.concat(F.array(r["start"]), F.transform(h, lambda b: b["end"])))
+            free = F.filter(begins, lambda p: (p < r["end"]) & ~F.exists(h, lambda b: (b["start"] <= p) & (b["end"] > p)))
 
-    return value.rlike("[A-Za-z]") & value.rlike("[0-9]") & _let(lowest_sum(value), verdict)
+            def piece(p: Column) -> Column:
+                behind = F.filter(h, lambda b: b["start"] >= p)
+                end = F.coalesce(F.array_min(F.transform(behind, lambda b: b["start"])), r["end"])
+                return _span(p, end, F.substr(r["value"], (p - r["start"] + 1).cast("int"), (end - p).cast("int")))
+
+            return F.transform(free, piece)
+
+        return _let(hit, lambda h: F.when(F.size(h) == 0, F.array(_span(r["start"], r["end"], r["value"]))).otherwise(parts(h)))
+
+    return F.filter(F.flatten(F.transform(runs, pieces)), lambda p: p["end"] - p["start"] >= WINDOW)
+
+
+def _words(runs: Column) -> Column:
+    """The runs of letters and digits, of ``WINDOW`` characters at least, within ``runs``."""
+    return F.flatten(F.transform(runs, lambda r: F.transform(_matches(r["value"], _WORD), lambda m: _span(
+        r["start"] + m["start"], r["start"] + m["end"], m["value"]))))
 
 
 def with_secrets(docs: DataFrame, text: str = "text", name: str = "secrets", allowed: tuple = ALLOWED) -> DataFrame:
     """``docs`` with column ``name``: ``array<struct<start, end, kind, base>>`` by start, then kind as listed.
 
     Positions count code points, the end is exclusive. Base kinds are always
-    reported. A random candidate is reported as ``entropy`` unless it touches a
-    base match or fits an ``allowed`` pattern. A null or empty text has no secret.
-    A column of ``docs`` that bears the name is replaced.
+    reported. A random run of letters and digits, or else what is left of a
+    candidate, is reported as ``entropy`` unless it fits an ``allowed`` pattern. A
+    null or empty text has no secret, repeated rows stay, an empty table gives an
+    empty result. A column of ``docs`` that bears the name is replaced.
     """
     kept = docs.drop(name)
     own = {k: unused(kept, f"found_{k}") for k in KINDS}
-    whole = unused(kept, "found_base")
+    whole, words, rest = (unused(kept, n) for n in ("found_base", "found_words", "found_rest"))
     value = F.coalesce(F.col(text), F.lit(""))
     base = kept.withColumns({
         own["assign"]: F.filter(_matches(value, ASSIGN, 2), lambda s: F.length(s["value"]) >= 6),
@@ -171,24 +203,25 @@ def with_secrets(docs: DataFrame, text: str = "text", name: str = "secrets", all
         own["entropy"]: _matches(value, CANDIDATE),
     })
 
-    def harmless(s: Column) -> Column:
-        out = F.lit(False)
+    def secret(s: Column) -> Column:
+        harmless = F.lit(False)
         for pattern in allowed:
-            out = out | s["value"].rlike(pattern)
-        return out
-
-    def apart(s: Column) -> Column:
-        return ~F.exists(F.col(whole), lambda b: (b["start"] < s["end"]) & (b["end"] > s["start"]))
+            harmless = harmless | s["value"].rlike(pattern)
+        return ~harmless & _random(s["value"])
 
-    def labelled(kind: str) -> Column:
-        return F.transform(own[kind], lambda s: F.struct(
+    def labelled(column: str, kind: str) -> Column:
+        return F.transform(column, lambda s: F.struct(
             s["start"].alias("start"), F.lit(KINDS.index(kind)).alias("rank"), s["end"].alias("end")))
 
-    spans = base.withColumn(whole, F.concat(*[labelled(k) for k in KINDS[:3]])).withColumn(
-        own["entropy"], F.filter(own["entropy"], lambda s: apart(s) & ~harmless(s) & _random(s["value"])))
+    spans = (
+        base.withColumn(whole, F.concat(*[labelled(own[k], k) for k in KINDS[:3]]))
+        .withColumn(own["entropy"], _cut(F.col(own["entropy"]), F.col(whole)))
+        .withColumn(words, F.filter(_words(F.col(own["entropy"])), secret))
+        .withColumn(rest, F.filter(_cut(F.col(own["entropy"]), F.col(words)), lambda s: s["value"].rlike(_SIGN) & secret(s)))
+    )
     kinds = F.array(*[F.lit(k) for k in KINDS])
     found = F.transform(
-        F.array_sort(F.concat(whole, labelled("entropy"))),
+        F.array_sort(F.concat(whole, labelled(words, "entropy"), labelled(rest, "entropy"))),
         lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"),
                            F.element_at(kinds, s["rank"] + 1).alias("kind"), (s["rank"] < 3).alias("base")),
     )

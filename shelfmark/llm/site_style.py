@@ -7,31 +7,30 @@ the share of pages that repeat its text; both run from 0 (the same on all pages)
 to 1. The composite importance of a node weighs its own presentation with the
 content below it. Branches without important content are removed from each page,
 as are those whose tag, role or class says that they are no part of the article.
+Within ``article`` and ``main`` elements repetition alone removes nothing.
 """
 
 from __future__ import annotations
 
 import html
 import re
-from collections import Counter
+from collections import defaultdict
 
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfmark.llm.frames import append_columns, unused, written
 from shelfmark.llm.urls import host_of
 
-#: Pages on which a style node must occur before its importance counts.
-LEAST_PAGES = 8
-#: Composite importance up to which a node is noise.
+#: Importance up to which a node is noise. Each is taken as if one more page had shown full importance, so that
+#: a few pages alone don't make noise of what they share.
 NOISE = 0.2
 #: Weight of a node's own presentation: 1 - GAMMA ** (number of child sequences).
 GAMMA = 0.9
-#: Elements nested deeper belong to the style node of their ancestor at this depth.
+#: Elements nested deeper belong to the style node of their ancestor at this depth: a node is counted with each
+#: of its ancestors, so hostile nesting would make rows without bound.
 DEPTH = 48
-#: Noise nodes up to which the table of them is broadcast.
-BROADCAST_NODES = 50_000
-#: Slots that a host's pages are dealt to when it isn't.
+#: Slots that a host's pages are dealt to.
 SLOTS = 32
 
 # Elements of HTML.
@@ -65,15 +64,19 @@ NOISE_WORDS = frozenset(
 )
 NOISE_NAMES = frozenset("header site-header page-header top-header masthead topbar top-bar site-head".split())
 CONTAINERS = ("article", "main")
+#: Elements of these that hold the main text wrap the whole page.
+WRAPPERS = frozenset("form fieldset".split())
 
 _TOKEN = re.compile(
-    r"""<!--.*?(?:--!?>|\Z)|<(/?)([a-zA-Z][^\s/><]*)((?:[^>"'<]++|"[^"]*+"|'[^']*+')*+)>|<[!?/][^>]*(?:>|\Z)|[^<]+|<""",
+    r"""<!--.*?(?:--!?>|\Z)|<(/?)([a-zA-Z][^\s/><]*)((?:[^>=<]++|=\s*+"[^"]*+"|=\s*+'[^']*+'|=)*+)>|<[!?/][^>]*(?:>|\Z)|[^<]+|<""",
     re.S,
 )
-_ATTRIBUTE = re.compile(r"""([^\s"'=<>/]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'=<>`]+)))?""")
+_ATTRIBUTE = re.compile(r"""([^\s"'=<>/]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
 _TELLING = re.compile(r"class|id\s*=|role|hidden|style", re.I)
 _DIGITS = re.compile(r"\d+")
 _WORDS = re.compile(r"[^a-z0-9]+")
+#: Comments and tags, roughly: what is left tells whether two pages have the same text.
+_MARKUP = r"(?s)<!--.*?-->|<[^>]*>|\s+"
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
@@ -103,6 +106,12 @@ def _attributes(text: str) -> dict[str, str]:
     return out
 
 
+def _names_noise(name: str) -> bool:
+    """Whether a class or id is a noise word, or begins or ends with one."""
+    parts = [p for p in _WORDS.split(name) if p]
+    return name in NOISE_NAMES or bool(parts) and (parts[0] in NOISE_WORDS or parts[-1] in NOISE_WORDS)
+
+
 def _judge(tag: str, attributes: dict[str, str]) -> tuple[str, bool]:
     """Style of an element, and whether its attributes say that it is noise."""
     names = attributes.get("class", "").lower().split()
@@ -111,7 +120,7 @@ def _judge(tag: str, attributes: dict[str, str]) -> tuple[str, bool]:
         attributes.get("role", "").lower() in NOISE_ROLES or "hidden" in attributes
         or attributes.get("aria-hidden", "").lower() == "true"
         or bool(_HIDDEN.search(attributes.get("style", "")))
-        or any(n in NOISE_NAMES or not NOISE_WORDS.isdisjoint(_WORDS.split(n)) for n in own if n)
+        or tag not in ("html", "body") and any(map(_names_noise, own))
     )
     style = ".".join([tag, *sorted({_DIGITS.sub("0", n) for n in names})])
     return style, noise
@@ -136,23 +145,20 @@ class Page:
 
     def _parse(self, source: str) -> None:
         stack = [self.root]
-        open_tags: Counter = Counter()
+        depths: dict[str, list[int]] = defaultdict(list)  # of the open elements of each tag
         at, size = 0, len(source)
         lower = None
 
         def pop_to(depth: int) -> None:
             self._end_block(stack[-1])
             while len(stack) > depth:
-                open_tags[stack.pop().tag] -= 1
+                depths[stack.pop().tag].pop()
 
         def close(tags: set, borders: set) -> None:
             """End the nearest open element of ``tags``, unless one of ``borders`` is nearer."""
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth].tag in borders:
-                    return
-                if stack[depth].tag in tags:
-                    pop_to(depth)
-                    return
+            nearest = max((depths[t][-1] for t in tags if depths[t]), default=0)
+            if nearest > max((depths[t][-1] for t in borders if depths[t]), default=0):
+                pop_to(nearest)
 
         while at < size:
             token = _TOKEN.match(source, at)
@@ -165,11 +171,10 @@ class Page:
                 continue
             tag = tag.lower()
             if token.group(1):
-                if tag == "br" or tag == "p" and not open_tags["p"]:
+                if tag == "br" or tag == "p" and not depths["p"]:
                     self._parts.append(" ")
-                elif open_tags[tag]:
-                    depth = next(d for d in range(len(stack) - 1, 0, -1) if stack[d].tag == tag)
-                    pop_to(depth)
+                elif depths[tag]:
+                    pop_to(depths[tag][-1])
                 continue
             if tag in ("br", "wbr"):
                 self._parts.append(" " if tag == "br" else "")
@@ -194,7 +199,7 @@ class Page:
                 continue
             if tag in INLINE and not noise:
                 continue
-            if tag in CLOSE_P and open_tags["p"]:
+            if tag in CLOSE_P and depths["p"]:
                 close({"p"}, {"table", "td", "th", "button", "object", "caption"})
             if tag in CLOSES:
                 close(*CLOSES[tag])
@@ -205,8 +210,8 @@ class Page:
             by_tag = tag in NOISE_TAGS or tag == "header" and not inside
             node = Node(tag, parent, style, by_tag or noise and not container, inside)
             self.nodes.append(node)
+            depths[tag].append(len(stack))
             stack.append(node)
-            open_tags[tag] += 1
         self._end_block(stack[-1])
 
     def style_rows(self) -> list[tuple[int, list[int], int, int]]:
@@ -228,9 +233,11 @@ class Page:
     def text(self, noisy: frozenset[int] = frozenset()) -> str:
         """The article's blocks, without noise by structure and without style nodes in ``noisy``.
 
-        Where the page's ``article`` elements (else its ``main``) hold at least half
-        of that text, its blocks lie in them; else they are teasers, and all blocks
-        stay. If nothing but noisy style nodes is left, they stay.
+        An element around an ``article`` or ``main`` isn't noise by its class; on a
+        page without these, one that holds most of the text isn't. Where the page's
+        ``article`` elements (else its ``main``) hold at least half of that text, its
+        blocks lie in them; else they are teasers, and all blocks stay. If nothing but
+        noisy style nodes is left, they stay.
         """
         if not self.blocks:
             return ""
@@ -242,14 +249,16 @@ class Page:
                 while up is not None and id(up) not in holds_main:
                     holds_main.add(id(up))
                     up = up.parent
+        if not holds_main:
+            self._mark_largest(holds_main)
         structural: dict[int, bool] = {}
         repeated: dict[int, bool] = {}
         inside: dict[int, set] = {}
         for node in self.nodes:
             up = id(node.parent)
-            own = node.noise and (node.tag in NOISE_TAGS or id(node) not in holds_main)
+            own = node.noise and (node.tag in NOISE_TAGS - WRAPPERS or id(node) not in holds_main)
             structural[id(node)] = own or structural.get(up, False)
-            repeated[id(node)] = repeated.get(up, False) or node.path in noisy and node.path != 0
+            repeated[id(node)] = repeated.get(up, False) or node.path in noisy and node.path != 0 and not node.container
             inside[id(node)] = inside.get(up, set()) | {node.tag} if node.tag in CONTAINERS else inside.get(up, set())
         kept = [(o, t) for o, t in self.blocks if not structural[id(o)]]
         important = [(o, t) for o, t in kept if not repeated[id(o)]] or kept
@@ -262,6 +271,22 @@ class Page:
         return " ".join([t for _, t in important])
 
 
+    def _mark_largest(self, holding: set) -> None:
+        """Add the elements that hold more than half of the text outside elements of noise tags."""
+        sizes: dict[int, int] = defaultdict(int)
+        for owner, text in self.blocks:
+            sizes[id(owner)] += len(text)
+        total = 0
+        for node in reversed(self.nodes):  # children before their parents
+            if node.noise and node.tag in NOISE_TAGS - WRAPPERS:
+                sizes[id(node)] = 0
+            if node.parent is None:
+                total = sizes[id(node)]
+            else:
+                sizes[id(node.parent)] += sizes[id(node)]
+        holding.update(id(n) for n in self.nodes if 2 * sizes[id(n)] > total)
+
+
 def _ascii_lower(text: str) -> str:
     return re.sub("[A-Z]+", lambda m: m.group().lower(), text)
 
@@ -311,14 +336,14 @@ def style_nodes(pages: DataFrame, url: str = "url", source: str = "html") -> Dat
 
 
 def different_pages(pages: DataFrame, url: str = "url", source: str = "html") -> DataFrame:
-    """``url`` and ``source`` of each different page of each host, once.
+    """``url`` and ``source`` of each page of each host that differs from others in more than markup, once.
 
     A task first drops the copies it holds, so a page with very many of them is
     no heavier than others.
     """
     host, key = (unused(pages, n) for n in ("site", "key"))
     return pages.select(url, source).withColumns(
-        {host: F.xxhash64(host_of(F.col(url))), key: F.xxhash64(F.col(source))}
+        {host: F.xxhash64(host_of(F.col(url))), key: F.xxhash64(F.regexp_replace(F.col(source), _MARKUP, ""))}
     ).dropDuplicates([host, key]).select(url, source)
 
 
@@ -327,28 +352,29 @@ def extract(pages: DataFrame, url: str = "url", source: str = "html", name: str
 
     White space inside a block is one space, blocks are joined by one space in
     page order. A null, empty or textless page has an empty text; a null URL
-    counts as one without host, and those form one site. Copies of a page count
-    as one page of their site, so that their number doesn't make it noise. The
-    noise nodes are broadcast if they are at most ``BROADCAST_NODES``, else joined
-    to the pages, each host in ``SLOTS`` parts. A column of ``pages`` that bears
-    the name is replaced.
+    counts as one without host, and those form one site. Copies of a page, also
+    with other markup, count as one page of their site, so that their number
+    doesn't make it noise; all of them stay in the result, as do repeated rows. The
+    noise nodes meet the pages by host, each host in ``SLOTS`` parts. An empty table
+    gives an empty result. A column of ``pages`` that bears the name is replaced.
     """
+    def at_most(importance: str) -> Column:
+        seen = F.col("pages") * F.coalesce(importance, F.lit(0.0)) + 1
+        return seen <= NOISE * (F.col("pages") + 1)
+
+
     noisy = written(
         style_nodes(different_pages(pages, url, source), url, source)
-        .where((F.col("pages") >= LEAST_PAGES) & (F.col("importance") <= NOISE)
-               & (F.coalesce("content", F.lit(0.0)) <= NOISE) & (F.col("path") != 0))
+        .where(at_most("importance") & at_most("content") & (F.col("path") != 0))
         .select("host", "path")
     )
     kept = pages.drop(name) if name.lower() != source.lower() else pages
     host, slot, noise = (unused(pages, n) for n in ("site", "slot", "noise"))
     known = kept.withColumn(host, F.xxhash64(host_of(F.col(url))))
     lists = noisy.groupBy(F.col("host").alias(host)).agg(F.collect_set("path").alias(noise))
-    if noisy.count() <= BROADCAST_NODES:
-        joined = known.join(F.broadcast(lists), host, "left")
-    else:
-        dealt = F.pmod(F.xxhash64(F.col(source)), F.lit(SLOTS)).cast("int")
-        lists = lists.withColumn(slot, F.explode(F.sequence(F.lit(0), F.lit(SLOTS - 1))))
-        joined = known.withColumn(slot, dealt).join(lists, [host, slot], "left")
+    dealt = F.pmod(F.xxhash64(F.col(source)), F.lit(SLOTS)).cast("int")
+    lists = lists.withColumn(slot, F.explode(F.sequence(F.lit(0), F.lit(SLOTS - 1))))
+    joined = known.withColumn(slot, dealt).join(lists, [host, slot], "left")
 
     def start():
         return lambda rows: [[Page(r["html"]).text(frozenset(r["noise"] or ())) for r in rows]]

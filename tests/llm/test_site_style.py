@@ -1,6 +1,7 @@
 import html
 import math
 import re
+import time
 from collections import Counter, defaultdict
 
 import pytest
@@ -97,9 +98,7 @@ def test_importance_equals_brute_force(spark):
         assert any(all(g[p] == pytest.approx(own[p]) for p in own) for g in match)
 
 
-@pytest.mark.parametrize("limit", [s.BROADCAST_NODES, 0])
-def test_repeated_branches_go(spark, monkeypatch, limit):
-    monkeypatch.setattr(s, "BROADCAST_NODES", limit)
+def test_repeated_branches_go(spark):
     rows = [(i, f"http://A.org/{i}", h) for i, h in enumerate(site(12))]
     rows += [(100 + i, f"http://few.org/{i}", h) for i, h in enumerate(site(3))]
     rows += [(200 + i, "http://same.org/", "<p>one page, many copies</p>") for i in range(20)]
@@ -124,6 +123,43 @@ def test_copies_count_once(spark):
         assert r["text"] == " ".join([f"Title {i}", *(f"Line {j} of {i}" for j in range(20 if i else 3))])
 
 
+def test_near_copies_count_once(spark):
+    """Copies that differ in a comment are one page, and an article keeps what its site repeats."""
+    def page(i, n, note=0):
+        return (f"<!-- {note} --><article><h1>Title {i}</h1><p>In all articles</p>"
+                + "".join(f"<p>Line {j} of {i}</p>" for j in range(n)) + "</article><p>Imprint</p>")
+
+    rows = [(0, f"http://copies.org/{i}", page(0, 3, i)) for i in range(500)]
+    rows += [(i, f"http://copies.org/own{i}", page(i, 5)) for i in range(1, 31)]
+    assert s.different_pages(spark.createDataFrame(rows, PAGES)).count() == 31
+    for r in s.extract(spark.createDataFrame(rows, PAGES).repartition(5)).collect():
+        i = r["page_id"]
+        assert r["text"] == " ".join([f"Title {i}", "In all articles", *(f"Line {j} of {i}" for j in range(5 if i else 3))])
+
+
+@pytest.mark.parametrize("page, text", [
+    ('<body class="page has-sidebar"><h1>T</h1><p>x</p></body>', "T x"),
+    ('<div class="social-sciences"><p>x</p></div>', "x"),
+    ('<div class="social"><p>share</p></div><div class=in><p>the text of it</p></div>', "the text of it"),
+    ('<form id="aspnetForm"><div class="ad">buy</div><article><p>x</p><form>send</form></article></form>', "x"),
+    ('<form><p>the whole text of the page</p><div class=nav>menu</div></form>', "the whole text of the page"),
+    ("<p data-x=it's>Text</p>", "Text"), ('<p title="5" tall">Text', "Text"), ("<p a=\"b'>c\">x", "x"),
+    ('<div class="comments-open"><article>a</article></div><div class="comment-list">' + "long " * 90 + "</div>", "a"),
+])
+def test_noise_names_lose_no_article(page, text):
+    assert s.Page(page).text() == text
+
+
+def test_hostile_nesting_takes_linear_time():
+    def seconds(n):
+        began = time.process_time()
+        s.Page("<td><table>" + "<div>" * n + "<td>x</td>" * n)
+        return time.process_time() - began
+
+    small = min(seconds(4000) for _ in range(3))
+    assert min(seconds(16000) for _ in range(2)) < 8 * small
+
+
 def test_query_over_whole_pages(spark):
     folder = "/root/testdata/sf0.1"
     pages = {r["page_id"]: r for r in spark.read.parquet(f"{folder}/pages.parquet").collect()}
