@@ -16,12 +16,16 @@ import pandas as pd
 from pyspark.sql import functions as F, types as T
 
 _TOKEN = re.compile(
-    r"""//[^\n]*|/\*.*?(?:\*/|\Z)|"(?:[^"\\\n]|\\.)*+"|'(?:[^'\\\n]|\\.)*+'|`(?:[^`\\]|\\.)*+`|[()\[\]{};/]""", re.S
+    r"""//[^\n]*|/\*.*?(?:\*/|\Z)|"(?:[^"\\\n]|\\.)*+"|'(?:[^'\\\n]|\\.)*+'|[`()\[\]{};/]""", re.S
 )
+#: Text of a template literal, up to its end or to an expression in it.
+_TEMPLATE = re.compile(r"(?:[^`\\$]|\\.|\$(?!\{))*+(?:`|\$\{|\Z)", re.S)
 _REGEX = re.compile(r"/(?![/*])(?:[^/\\\n\[]|\\.|\[(?:[^\]\\\n]|\\.)*+\])++/")
-_WORD_BEFORE = re.compile(r"[\w$]+\Z")
-#: A slash after one of these begins a regular expression.
+# A slash after one of these begins a regular expression; so does one after a condition.
 _BEFORE_REGEX = frozenset("=(,:;!&|?{}[+*%~^<>-")
+_KEYWORDS_BEFORE_REGEX = frozenset(
+    "return case typeof instanceof in of delete void do else throw yield await new".split())
+_CONDITIONS = frozenset("if while for with".split())
 
 _NAME = r"[^\W\d$][\w$]*|\$[\w$]*"
 _DECORATORS = r"(?:@[\w.$]+(?:\(\))?\s*+)*+"
@@ -51,7 +55,8 @@ class _Head:
         self.at = at
 
     def add(self, text: str, start: int, end: int) -> None:
-        if text:
+        # Of blanks, only the first between two words counts.
+        if text and not (text.isspace() and (not self.chunks or self.chunks[-1].endswith("\n"))):
             self.chunks.append(text)
             self.flat.append(self.flat[-1] + len(text))
             self.starts.append(start)
@@ -75,8 +80,12 @@ class _Head:
         return self.ends[i] if at == self.flat[i + 1] else self.starts[i] + at - self.flat[i]
 
 
+_LINE_START = re.compile(r"^(?=[^\S\n]*\S)", re.M)
+
+
 def _line_starts(flat: str) -> list[int]:
-    return [0, *(m.end() for m in re.finditer("\n", flat))]
+    """Where lines begin that aren't blank."""
+    return [m.start() for m in _LINE_START.finditer(flat)]
 
 
 def _nearest(pattern: re.Pattern, flat: str) -> re.Match | None:
@@ -101,15 +110,34 @@ def _method(flat: str) -> re.Match | None:
     return best
 
 
-def _is_regex(text: str, at: int) -> bool:
-    """Whether a slash at ``at`` stands where a value may start."""
-    i = at - 1
-    while i >= 0 and text[i].isspace():
-        i -= 1
-    if i < 0 or text[i] in _BEFORE_REGEX:
-        return True
-    word = _WORD_BEFORE.search(text, max(0, i - 9), i + 1)
-    return bool(word) and word.group() == "return"
+class _Before:
+    """What stands before a place in the source, comments left out: a sign, a word, or a literal."""
+
+    def __init__(self):
+        self.last = ""
+        self.rounds: list[bool] = []  # of each open round bracket: does it hold a condition?
+
+    def see_text(self, text: str, start: int, end: int) -> None:
+        """Take note of source between two tokens."""
+        while end > start and text[end - 1].isspace():
+            end -= 1
+        if end == start:
+            return
+        at = end
+        while at > start and (text[at - 1].isalnum() or text[at - 1] in "_$"):
+            at -= 1
+        member = at > start and text[at - 1] == "."
+        self.last = text[end - 1] if at == end else "." if member else text[at:end]
+
+    def see_sign(self, sign: str) -> None:
+        if sign == "(":
+            self.rounds.append(self.last in _CONDITIONS)
+        elif sign == ")" and self.rounds and self.rounds.pop():
+            sign = ";"  # a statement follows
+        self.last = sign
+
+    def may_begin_regex(self) -> bool:
+        return not self.last or self.last in _BEFORE_REGEX or self.last in _KEYWORDS_BEFORE_REGEX
 
 
 def script_definitions(text: str, language: str) -> list[dict]:
@@ -119,7 +147,8 @@ def script_definitions(text: str, language: str) -> list[dict]:
     depth = at = 0
     in_class = held = False
     opened: tuple[int, str, int] | None = None  # level, name, start
-    head = _Head(0)
+    head, before = _Head(0), _Before()
+    templates: list[int] = []  # the levels of template literals in whose expressions we are
 
     def finish(end: int) -> None:
         _, name, start = opened
@@ -134,28 +163,46 @@ def script_definitions(text: str, language: str) -> list[dict]:
         start, end, sign = token.start(), token.end(), token.group()
         level = int(in_class)
         outside = opened is None and depth == level
+        before.see_text(text, at, start)
         if outside:
             head.add(text[at:start], at, start)
         if sign == "/":
-            literal = _REGEX.match(text, start) if _is_regex(text, start) else None
+            literal = _REGEX.match(text, start) if before.may_begin_regex() else None
             end = literal.end() if literal else end
+            before.last = "literal" if literal else "/"
             if outside:
                 head.add("S\x01" if literal else "/", start, end)
-        elif sign[0] in "\"'`":
+        elif sign == "`" or sign == "}" and templates and depth - 1 == templates[-1]:
+            end = _TEMPLATE.match(text, end).end()
+            goes_on = text.endswith("${", start, end)
+            if sign == "`":
+                if outside:
+                    head.add("S\x01", start, end)
+                if goes_on:
+                    templates.append(depth)
+                    depth += 1
+            elif not goes_on:
+                depth = templates.pop()
+            before.last = "{" if goes_on else "literal"
+        elif sign[0] in "\"'":
+            before.last = "literal"
             if outside:
                 head.add("S\x01", start, end)
         elif sign[0] == "/":  # a comment; its line ends count
             if outside:
                 head.add("\n" if "\n" in sign else " ", start, end)
         elif sign in "([":
+            before.see_sign(sign)
             if outside:
                 head.add(sign, start, end)
             depth += 1
         elif sign in ")]":
+            before.see_sign(sign)
             depth = max(depth - 1, 0)
             if opened is None and depth == level:
                 head.add(sign, start, end)
         elif sign == "{":
+            before.see_sign(sign)
             if outside:
                 flat = None
                 if _TYPE_BRACE.search(head.tail()):
@@ -176,6 +223,7 @@ def script_definitions(text: str, language: str) -> list[dict]:
                         head = _Head(end)
             depth += 1
         elif sign == "}":
+            before.see_sign(sign)
             depth = max(depth - 1, 0)
             if opened is not None:
                 if depth <= opened[0]:
@@ -189,8 +237,10 @@ def script_definitions(text: str, language: str) -> list[dict]:
                 else:
                     head = _Head(end)
                 held = False
-        elif outside:  # a semicolon
-            head = _Head(end)
+        else:  # a semicolon
+            before.see_sign(sign)
+            if outside:
+                head = _Head(end)
         at = end
     return found
 

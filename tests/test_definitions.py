@@ -198,3 +198,34 @@ def test_scripts_take_linear_time():
     small = min(seconds(2000) for _ in range(3))
     assert min(seconds(8000) for _ in range(2)) < 8 * small
     assert script_definitions("class A {" + "x: {a: 1} | {b: 2}\n" * 20000 + "run() {} }", "TypeScript")[0]["name"] == "run"
+
+
+def test_where_a_regular_expression_may_begin(spark):
+    for inside in (
+        "switch (s) { case /}/.test(s): return 1 }", "return typeof /{/", "if (s) /}/.test(s)",
+        "if (a(b(s))) /}/.test(s); else /{/.exec(s)", "for (const x of /}/g) {}", "x = a /* { */ / 2 / 1", "y = b[1] / 2; z = '}' / 1",
+        "return (a) / 2 + `}` / 3", "x = o.return / 2; y = '/'", "while (s) // {\n /}/.test(s)", "f(/[/}]}/, 1)",
+    ):
+        text = f"function f(s) {{ {inside} }}"
+        after = "function g() {}"
+        found = extract(spark, "JavaScript", f"{text}\n{after}")
+        assert [d[0] for d in found] == ["f", "g"] and found[0][3] == text and found[1][3] == after, inside
+
+
+def test_nested_template_literals(spark):
+    for inside in ("`a${`b${c}}`}`", "`${ {a: `}`}.a }}`", "`'${x}'` + '`'", "`\\`${\"}\"}`", "`$ ${1}${`${2}`}{`", "`{${f(`{`)}`"):
+        for text in (f"function f() {{ return {inside} }}", f"function f(x = {inside}) {{ }}"):
+            found = extract(spark, "JavaScript", f"{text}\nconst t = {inside}\nfunction g() {{}}")
+            assert [d[0] for d in found] == ["f", "g"] and found[0][3] == text, inside
+
+
+def test_comments_before_a_method_take_linear_time():
+    def seconds(n, filler):
+        text = "class A {" + filler * n + "run() { return 1 }\n" + filler * n + "}"
+        began = time.process_time()
+        assert [d["name"] for d in script_definitions(text, "JavaScript")] == ["run"]
+        return time.process_time() - began
+
+    for filler in ("// a comment\n", "\n", "/* x */ ", "  \n\t"):
+        small = max(min(seconds(16000, filler) for _ in range(3)), 0.01)
+        assert min(seconds(32000, filler) for _ in range(3)) < 3 * small

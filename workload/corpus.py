@@ -247,6 +247,16 @@ TYPED_SOURCE = (
     '}}\n'
 )
 
+# Slashes and template literals where a plain count of braces goes wrong.
+SLASH_SOURCE = (
+    'function first_{id}(s) {{\n'
+    '  switch (s) {{ case /}}/.test(s): return `a${{`}}${{s}}`}}`; }}\n'
+    '  if (s) /{{/.exec(s);\n'
+    '  return typeof /[{{}}]/ + `{text}`;\n'
+    '}}\n'
+    'function second_{id}() {{ return 1 / 2; }}\n'
+)
+
 
 def source_text(template: str, quote: str = "''") -> str:
     """A template as a SQL expression over ``doc_id, lang, source, clean``.
@@ -267,8 +277,8 @@ def source_text(template: str, quote: str = "''") -> str:
             for n, line in enumerate(lines):
                 if n:
                     pieces.append("chr(10)")
-                if line:
-                    pieces.append("'" + line.replace("'", quote) + "'")
+                # Spark's parser would put a setting in place of a name in braces after a dollar sign.
+                pieces.extend("'" + p.replace("'", quote) + "'" for p in line.replace("${", "$\x03{").split("\x03") if p)
             parts.extend(pieces)
     return "concat(" + ", ".join(parts) + ")"
 
@@ -305,7 +315,11 @@ def source_files(spark: SparkSession, folder: str) -> DataFrame:
         (F.col("doc_id") + 1000000000).alias("file_id"), F.lit("TypeScript").alias("language"),
         body(TYPED_SOURCE).alias("body"),
     )
-    return python.unionByName(script).unionByName(typed).unionByName(other)
+    slashes = documents.select(
+        (F.col("doc_id") + 2000000000).alias("file_id"), F.lit("JavaScript").alias("language"),
+        body(SLASH_SOURCE).alias("body"),
+    )
+    return python.unionByName(script).unionByName(typed).unionByName(slashes).unionByName(other)
 
 
 def repository_scan(spark: SparkSession, folder: str, edited: bool = False) -> DataFrame:

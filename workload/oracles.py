@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from shelfmark.functions.fixed_values import ENGLISH_STOP_WORDS, EXTENSION_LANGUAGE
 from workload import english
-from workload.corpus import CLEAN, PYTHON_SOURCE, SCRIPT_SOURCE, TYPED_SOURCE, source_text
+from workload.corpus import CLEAN, PYTHON_SOURCE, SCRIPT_SOURCE, SLASH_SOURCE, TYPED_SOURCE, source_text
 
 _STOPS = ", ".join(f"'{w}'" for w in ENGLISH_STOP_WORDS)
 _WORD = r"[\p{L}\p{N}]+"
@@ -324,7 +324,13 @@ UNION ALL
              _between(SCRIPT_SOURCE, 'static get', f"';{chr(10)}  }}}}"))}
 UNION ALL
 {_definition('doc_id + 1000000000', 0, "'method_' || lang", '4', '6 + k',
-             _between(TYPED_SOURCE, 'public method_', f"`;{chr(10)}  }}}}"))})"""
+             _between(TYPED_SOURCE, 'public method_', f"`;{chr(10)}  }}}}"))}
+UNION ALL
+{_definition('doc_id + 2000000000', 0, "'first_' || doc_id", '1', '5 + k',
+             _between(SLASH_SOURCE, 'function first_', f"`;{chr(10)}}}}}"))}
+UNION ALL
+{_definition('doc_id + 2000000000', 1, "'second_' || doc_id", '6 + k', '6 + k',
+             _between(SLASH_SOURCE, 'function second_', '2; }}'))})"""
 
 ORACLES: dict[str, str] = {
     "scan_folder": """SELECT 'https://example.org/' || source || '.git' AS git_url,
