@@ -176,13 +176,15 @@ def _index_projects(
         coming.unionByName(left), owners, run.as_of, models.summarize_function, models.embed, models.analyzer,
         indexable(projects)))
 
-    changed = {"file_postings": changed_files, "function_postings": changed_functions}
-    left_files = store.rows("files").join(changed_files.select("id"), "id", "left_semi")
-    gone = {"file_postings": left_files, "function_postings": _stored_fts(store, changed_functions, removed)}
+    of_file = changed_files.select("id"), states.limit(0).select("id")
+    of_function = changed_functions.select("id", "file_id"), removed.select("id", "file_id")
+    replaced = {"file_postings": (changed_files, of_file), "function_postings": (changed_functions, of_function)}
     moves = {}
     for name, kept_up in posted.items():
         if kept_up:
-            moves[name] = run.set_aside(f"{name}_moves", changed_postings(gone[name], changed[name]))
+            new, ids = replaced[name]
+            old = _stored_fts(store, POSTINGS[name], ids[0].union(ids[1]))
+            moves[name] = run.set_aside(f"{name}_moves", changed_postings(old, new))
     for name, moved in moves.items():
         run.update(name, moved.where("comes"), moved.where("NOT comes"))
     run.update("functions", changed_functions, removed)
@@ -195,8 +197,7 @@ def _index_projects(
     return changes, lacking.select(F.col("project_id").alias("id"))
 
 
-def _stored_fts(store: TableStore, changed: DataFrame, removed: DataFrame) -> DataFrame:
-    """``id, project_id, fts`` of the stored functions that are replaced or removed."""
-    ids = changed.select("id", "file_id").union(removed.select("id", "file_id"))
-    near = store.of_buckets("functions", store.touched("functions", ids))
+def _stored_fts(store: TableStore, table: str, ids: DataFrame) -> DataFrame:
+    """``id, project_id, fts`` of the stored rows that are replaced or removed."""
+    near = store.of_buckets(table, store.touched(table, ids))
     return near.select("id", "project_id", "fts").join(ids.select("id"), "id", "left_semi")

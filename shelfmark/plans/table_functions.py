@@ -80,9 +80,20 @@ def create_file_search(
 
 
 def create_function_search(
-    spark: SparkSession, name: str, functions: str, files: str, analyzer: Analyzer = ENGLISH
+    spark: SparkSession, name: str, functions: str, files: str, analyzer: Analyzer = ENGLISH, buckets: int | None = None
 ) -> None:
-    """Create or replace the function search over two views."""
+    """Create or replace the function search over two views.
+
+    With ``buckets``, ``functions`` is a view of ``TableStore.rows``, in as many
+    partitions: bodies are then read in the partitions of the results only, which
+    Spark prunes by the winners' file ids. Without it, bodies of all rows are read.
+    """
+    if buckets is None:
+        body, own = "f.body", "w.body"
+        fetched = ""
+    else:
+        body, own = f"cast(pmod(xxhash64(f.file_id), {buckets}) AS INT) AS bucket", "b.body"
+        fetched = f"JOIN {functions} b ON b.bucket = w.bucket AND b.id = w.id"
     filters = "(p_project_id IS NULL OR f.project_id = p_project_id)"
     spark.sql(f"""
     CREATE OR REPLACE TEMPORARY FUNCTION {name}(
@@ -92,11 +103,11 @@ def create_function_search(
                    summary STRING, body STRING, rrf_score DOUBLE)
     RETURN WITH {_fused_sql(functions, filters, analyzer)}
     , winners AS (
-        SELECT /*+ BROADCAST(c) */ f.id, f.file_id, f.project_id, f.name, f.summary, f.body, c.score
+        SELECT /*+ BROADCAST(c) */ f.id, f.file_id, f.project_id, f.name, f.summary, {body}, c.score
         FROM best c JOIN {functions} f ON f.id = c.id
     )
-    SELECT /*+ BROADCAST(w) */ w.id, w.file_id, w.project_id, p.path, w.name, w.summary, w.body, w.score
-    FROM winners w JOIN {files} p ON p.id = w.file_id
+    SELECT /*+ BROADCAST(w) */ w.id, w.file_id, w.project_id, p.path, w.name, w.summary, {own}, w.score
+    FROM winners w JOIN {files} p ON p.id = w.file_id {fetched}
     """)
 
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 
@@ -23,16 +21,11 @@ def local_session(cores: int | str = 8, partitions: int = 8, memory: str = "8g")
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach: ``spark.checkpoint.dir``.
-
-    Only a local session without that setting gets a temporary folder.
-    """
+    """The folder every executor can reach: ``spark.checkpoint.dir``, or else one in the warehouse."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
         folder = spark.sparkContext.getCheckpointDir()
     if folder is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="shelfmark-")
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/shelfmark-intermediate"
         spark.sparkContext.setCheckpointDir(folder)
     return folder

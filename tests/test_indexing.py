@@ -13,6 +13,7 @@ from shelfmark.operators.fulltext import keyword_scores_from_postings, postings,
 from shelfmark.operators.projects import project_digests
 from shelfmark.operators.definitions import enrich_functions, stale_functions
 from shelfmark.plans.indexing import run_index
+from shelfmark.plans.table_functions import call, create_function_search
 from shelfmark.plans.search import hybrid_search_files, hybrid_search_functions, query_embedding
 from shelfmark.schemas import METADATA, SCAN
 from shelfmark.sources.repositories import scan_repositories, scan_repository
@@ -173,13 +174,13 @@ def rewritten(before, after):
 
 def test_only_touched_partitions_are_written(spark, store):
     files = {f"f{i}.py": ONE.replace("first", f"first{i}") for i in range(20)}
-    run_index(store, scan(spark, files), metadata(spark), DAY[0], with_postings=True)
+    run_index(store, scan(spark, files), metadata(spark), DAY[0], analyzer=PLAIN, with_postings=True)
     tables = ("files", "functions", "file_postings", "function_postings")
     before = {t: partitions(store, t) for t in tables}
-    run_index(store, scan(spark, files), metadata(spark), DAY[1])
+    run_index(store, scan(spark, files), metadata(spark), DAY[1], analyzer=PLAIN)
     assert before == {t: partitions(store, t) for t in tables}
     files["f7.py"] = files["f7.py"].replace("Two.", "Edited.")
-    run_index(store, scan(spark, files), metadata(spark), DAY[2])
+    run_index(store, scan(spark, files), metadata(spark), DAY[2], analyzer=PLAIN)
     after = {t: partitions(store, t) for t in tables}
     id_ = store.read("files").where("path = 'f7.py'").first()["id"]
     for table, column in (("files", "id"), ("functions", "file_id")):
@@ -187,7 +188,7 @@ def test_only_touched_partitions_are_written(spark, store):
         assert rewritten(before[table], after[table]) == expected and len(expected) == 1
     for table in ("file_postings", "function_postings"):
         touched = rewritten(before[table], after[table])
-        of_row = store.rows(table).where("term = 'edit'").first()
+        of_row = store.rows(table).where("term = 'edited'").first()
         changed = postings(store.read(POSTINGS[table]).where(F.col("id") == of_row["id"]))
         own = {r["bucket"] for r in changed.select(store.bucket(table).alias("bucket")).collect()}
         assert own <= touched and len(touched - own) <= 1  # 'two' has gone
@@ -197,7 +198,7 @@ def test_only_touched_partitions_are_written(spark, store):
     narrow = store.read("files").select("id", "path")
     assert "Join" not in narrow._jdf.queryExecution().optimizedPlan().toString()
     found = hybrid_search_functions(
-        store.read("functions"), store.read("files"), query_embedding(spark, "edited"), "edited", match_count=1,
+        store.read("functions"), store.read("files"), query_embedding(spark, "edited"), "edited", match_count=1, analyzer=PLAIN,
         postings=store.read("function_postings"), postings_buckets=store.buckets,
     ).collect()
     assert [(r["path"], r["name"], "Edited." in r["body"]) for r in found] == [("f7.py", "second", True)]
@@ -205,11 +206,11 @@ def test_only_touched_partitions_are_written(spark, store):
 
 def test_unchanged_run_reads_no_file_and_no_function(spark, store, monkeypatch):
     both = scan(spark, {"a.py": ONE}).union(scan(spark, {"z.py": ONE}, OTHER))
-    run_index(store, both, metadata(spark, URL, OTHER), DAY[0], with_postings=True)
+    run_index(store, both, metadata(spark, URL, OTHER), DAY[0], analyzer=PLAIN, with_postings=True)
     read = []
     original = store.rows
     monkeypatch.setattr(store, "rows", lambda table: read.append(table) or original(table))
-    run_index(store, both, metadata(spark, URL, OTHER), DAY[1])
+    run_index(store, both, metadata(spark, URL, OTHER), DAY[1], analyzer=PLAIN)
     assert set(read) == {"projects"}
     monkeypatch.undo()
     assert rows(store, "files", "path", "last_updated") == {("a.py", DAY[1]), ("z.py", DAY[1])}
@@ -236,7 +237,7 @@ def test_same_files_in_the_other_order(spark):
 def test_equal_contents_are_not_exchanged(spark, store):
     """Contents meet the keys that differ where they are; only these are moved to their partition."""
     files = {f"{i}.py": f"# File {i}.\n" for i in range(30)}
-    run_index(store, scan(spark, files), metadata(spark), DAY[0])
+    run_index(store, scan(spark, files), metadata(spark), DAY[0], analyzer=PLAIN)
     contents = scan(spark, {**files, "3.py": "# New.\n"}).withColumn("body", F.col("content").cast("string"))
     stored = store.rows("files")
     keys = scanned_keys(contents, store.rows("projects"))
@@ -248,21 +249,38 @@ def test_equal_contents_are_not_exchanged(spark, store):
 
 
 def test_a_run_that_broke_off_is_made_good(spark, store):
-    run_index(store, scan(spark, {"a.py": ONE, "b.py": ONE}), metadata(spark), DAY[0], with_postings=True)
+    run_index(store, scan(spark, {"a.py": ONE, "b.py": ONE}), metadata(spark), DAY[0], analyzer=PLAIN, with_postings=True)
     broken = store.begin(DAY[1])
     broken.update("function_postings", store.rows("function_postings").limit(0), store.rows("function_postings"))
     broken.update("functions", store.rows("functions").limit(0), broken.set_aside("x", store.rows("functions").where("name = 'first'")))
     assert store.read("function_postings").count() == 0 and store.version == 1
     edited = {"a.py": ONE.replace("Two.", "Edited."), "b.py": ONE + "# more\n"}
-    run_index(store, scan(spark, edited), metadata(spark), DAY[2])
+    run_index(store, scan(spark, edited), metadata(spark), DAY[2], analyzer=PLAIN)
     assert store.version == 3
     expected = postings(store.read("functions")).select("term", "id", "project_id", "positions")
     assert sorted(map(str, store.read("function_postings").drop("bucket").collect())) == sorted(map(str, expected.collect()))
     assert rows(store, "functions", "name") == {("first",), ("second",)}
 
 
+def test_sql_search_reads_bodies_of_the_winners_partitions(spark, store):
+    files = {f"f{i}.py": ONE.replace("One", f"Number {i}") for i in range(12)}
+    run_index(store, scan(spark, files), metadata(spark), DAY[0], analyzer=PLAIN)
+    store.rows("functions").createOrReplaceTempView("stored_functions")
+    store.read("files").createOrReplaceTempView("stored_files")
+    vector = query_embedding(spark, "number 7")
+    create_function_search(spark, "near_functions", "stored_functions", "stored_files", PLAIN, store.buckets)
+    found = call(spark, "near_functions", vector, "number 7", match_count=1)
+    assert [(r["path"], "Number 7" in r["body"]) for r in found.collect()] == [("f7.py", True)]
+    scans = [line for line in found._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple")).splitlines() if "FileScan" in line]
+    with_body = [line for line in scans if re.search(r"\bbody#", line)]
+    assert with_body and all("dynamicpruning" in line for line in with_body)
+    create_function_search(spark, "all_functions", "stored_functions", "stored_files", PLAIN)
+    assert found.collect() == call(spark, "all_functions", vector, "number 7", match_count=1).collect()
+
+
 def test_emptied_partitions(spark, store):
-    run_index(store, scan(spark, {"a.py": ONE}), metadata(spark), DAY[0], with_postings=True)
+    run_index(store, scan(spark, {"a.py": ONE}), metadata(spark), DAY[0], analyzer=PLAIN, with_postings=True)
     assert store.delete_projects(store.read("projects").select("id"), DAY[1]) == 2
     for table in ("projects", "files", "functions", "file_postings", "function_postings"):
         assert store.read(table).count() == 0
