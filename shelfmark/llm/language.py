@@ -44,7 +44,7 @@ def family_of(language: str) -> str:
 def counts_of(text: str | None) -> np.ndarray | None:
     """Counts of the hashed byte trigrams of ``text``; null if it has no letter."""
     letters = _NO_LETTERS.sub(" ", text or "").lower().strip()
-    if not letters:
+    if not any(map(str.isalpha, letters)):  # superscripts, fractions and Roman numerals are no letters
         return None
     data = np.frombuffer(f" {letters} ".encode(), np.uint8)
     counts = np.zeros(DIMENSIONS, np.int64)

@@ -68,3 +68,9 @@ def test_all_languages_are_learned(spark, monkeypatch):
     many = [(1000 * i + j, t, k) for i, (_, t, k) in enumerate(rows[::70]) for j in range(60)]
     language.train(spark.createDataFrame(many, DOCS), sample=30)
     assert len(learned) == 28 and min(learned) > 40
+
+
+def test_numerals_are_no_letters():
+    for text in ("²³", "Ⅷ", "½", "12_3", "", None, " ¼ ٣ Ⅻ "):
+        assert language.counts_of(text) is None
+    assert language.counts_of("²a") is not None and language.counts_of("日") is not None
