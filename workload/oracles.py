@@ -565,3 +565,5 @@ ORACLES: dict[str, str] = {
                CASE WHEN summary <> '' THEN '    ' || substr(summary, 1, 120) || '...' END AS summary_line
         FROM ranked""",
 }
+
+ORACLES["semantic_topk_pruned"] = ORACLES["semantic_topk"]

@@ -19,7 +19,7 @@ from shelfmark.functions.text import PLAIN
 from shelfmark.functions.vectors import hashed_vector_sql
 from shelfmark.operators import definitions as defs
 from shelfmark.operators import files as file_ops
-from shelfmark.operators import fulltext, identity, projects, ranking
+from shelfmark.operators import fulltext, identity, nearest, projects, ranking
 from shelfmark.plans import search, table_functions
 from shelfmark.plans.indexing import run_index
 from shelfmark.session import shared_folder
@@ -586,6 +586,14 @@ def semantic_topk(spark, folder):
     return ranking.semantic_topk(rows, corpus.query_vector(spark, folder), 20).select("id", "rank")
 
 
+@query
+def semantic_topk_pruned(spark, folder):
+    """The same from vectors stored in groups around pivots."""
+    place = f"{shared_folder(spark)}/groups-{uuid.uuid4().hex}"
+    nearest.write_groups(_stored_files(spark, folder).select("id", "embedding"), place)
+    return nearest.semantic_topk_pruned(spark, place, corpus.query_vector(spark, folder), 20).rows.select("id", "rank")
+
+
 def _fused(spark, folder) -> DataFrame:
     files = _stored_files(spark, folder)
     parsed = fulltext.web_query(spark, SEARCH_TEXT, PLAIN)
