@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from shelfmark.functions.definitions import python_definitions_sql
 from shelfmark.functions.fixed_values import DEFINITION_LANGUAGES
@@ -111,6 +111,29 @@ def upserted_functions(
     ).select(*FUNCTIONS.fieldNames())
 
 
+def carried_enrichment(old: DataFrame, new: DataFrame) -> DataFrame:
+    """``file_id, start_line, summary, embedding, fts`` for functions that have only moved within their file.
+
+    ``old`` are stored functions that go or change, ``new`` the definitions that
+    come. Of equal bodies in a file, the first old one is matched with the first new
+    one, and so on. Functions without a summary carry nothing.
+    """
+    place = F.row_number().over(Window.partitionBy("file_id", "checksum").orderBy("start_line"))
+    before = old.select("file_id", "checksum", place.alias("_place"), "summary", "embedding", "fts")
+    after = new.select("file_id", "checksum", "start_line", place.alias("_place"))
+    return after.join(before.where("summary IS NOT NULL"), ["file_id", "checksum", "_place"]).select(
+        *KEY, "summary", "embedding", "fts")
+
+
+def with_carried(rows: DataFrame, carried: DataFrame) -> DataFrame:
+    """Function ``rows`` with what ``carried_enrichment`` found for them."""
+    own = carried.select(*KEY, *[F.col(c).alias(f"_{c}") for c in ("summary", "embedding", "fts")], F.lit(True).alias("_moved"))
+    joined = rows.join(own, KEY, "left")
+    return joined.select(*[
+        F.when(F.col("_moved"), F.col(f"_{c}")).otherwise(F.col(c)).alias(c) if c in ("summary", "embedding", "fts") else c
+        for c in rows.columns])
+
+
 def apply_diff(
     stored: DataFrame,
     definitions: DataFrame,

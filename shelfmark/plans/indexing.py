@@ -11,12 +11,14 @@ from shelfmark.functions.content import decode_lossy
 from shelfmark.functions.naming import indexed_language
 from shelfmark.functions.text import ENGLISH, Analyzer
 from shelfmark.operators.definitions import (
+    carried_enrichment,
     diff_counts,
     diff_functions,
     enrich_functions,
     extract_definitions,
     supported,
     upserted_functions,
+    with_carried,
 )
 from shelfmark.operators.enrichment import Model
 from shelfmark.operators.files import (
@@ -74,6 +76,7 @@ def run_index(
     embed: Model | None = None,
     analyzer: Analyzer = ENGLISH,
     with_postings: bool = False,
+    carry_enrichment: bool = False,
 ) -> Report:
     """Register, scan, enrich, extract and store what has changed.
 
@@ -82,7 +85,8 @@ def run_index(
     has the digest of its last one is not looked at further: neither its files nor
     its functions are read. Of the others, keys and checksums are compared first
     and contents are read again for files that differ. Postings that a store has
-    are kept up in every run.
+    are kept up in every run. With ``carry_enrichment`` a function that has only moved
+    within its file keeps summary and embedding.
     """
     models = Models(summarize_file, summarize_function, embed, analyzer)
     run = store.begin(as_of)
@@ -101,7 +105,7 @@ def run_index(
     posted = {name: store.exists(name) and not run.broken_off for name in POSTINGS}
     changes, lacking = {}, None
     if not differing.isEmpty():
-        changes, lacking = _index_projects(run, scan, projects, keys, differing, posted, strict_compat, models)
+        changes, lacking = _index_projects(run, scan, projects, keys, differing, posted, strict_compat, carry_enrichment, models)
     for name in POSTINGS:
         if not posted[name] and (with_postings or store.exists(name)):
             run.build_postings(name)
@@ -117,7 +121,7 @@ def run_index(
 
 def _index_projects(
     run: Run, scan: DataFrame, projects: DataFrame, keys: DataFrame, differing: DataFrame,
-    posted: dict[str, bool], strict_compat: bool, models: Models,
+    posted: dict[str, bool], strict_compat: bool, carry: bool, models: Models,
 ) -> tuple[dict[str, int], DataFrame]:
     """Bring the ``differing (project_id, _before)`` projects up to date.
 
@@ -159,7 +163,7 @@ def _index_projects(
         "project_id", one_per_line=True,
     ))
     near = store.of_buckets("functions", store.touched("functions", touched))
-    old_functions = near.select("id", "file_id", "project_id", "start_line", "checksum", "fts").join(
+    old_functions = near.select("id", "file_id", "project_id", "start_line", "checksum", "summary", "embedding", "fts").join(
         touched, "file_id", "left_semi")
     diff = run.set_aside("diff", diff_functions(old_functions, definitions, touched))
     going = run.set_aside("going_functions", old_functions.join(
@@ -167,6 +171,9 @@ def _index_projects(
     removed = going.where("change = 'removed'")
     coming = upserted_functions(
         going, definitions, diff, highest_id(store.rows("functions")), run.as_of, models.analyzer)
+    if carry:
+        coming = with_carried(coming, carried_enrichment(
+            going, definitions.join(diff.where(F.col("change").isin("new", "changed")), ["file_id", "start_line"])))
     # Functions that an earlier run left without a summary.
     left = store.rows("functions").where(F.col("summary").isNull()).join(scope, "project_id", "left_semi").join(
         going.select("id"), "id", "left_anti").select(*FUNCTIONS.fieldNames())

@@ -279,6 +279,22 @@ def test_sql_search_reads_bodies_of_the_winners_partitions(spark, store):
     assert found.collect() == call(spark, "all_functions", vector, "number 7", match_count=1).collect()
 
 
+def test_moved_functions_keep_their_enrichment(spark, store):
+    text = ONE + "\n\n" + ONE.replace("second", "third")
+    run_index(store, scan(spark, {"a.py": text}), metadata(spark), DAY[0], analyzer=PLAIN)
+    before = rows(store, "functions", "name", "start_line", "summary")
+
+    def failing():
+        raise AssertionError("a model was called")
+
+    report = run_index(
+        store, scan(spark, {"a.py": "# a line\n" + text}), metadata(spark), DAY[1], analyzer=PLAIN,
+        summarize_function=batch_model(failing, "string"), carry_enrichment=True)
+    assert (report.upserted, report.deleted) == (4, 4)
+    assert rows(store, "functions", "name", "start_line", "summary") == {(n, at + 1, s) for n, at, s in before}
+    assert store.read("functions").where("embedding IS NULL OR fts IS NULL").count() == 0
+
+
 def test_emptied_partitions(spark, store):
     run_index(store, scan(spark, {"a.py": ONE}), metadata(spark), DAY[0], analyzer=PLAIN, with_postings=True)
     assert store.delete_projects(store.read("projects").select("id"), DAY[1]) == 2

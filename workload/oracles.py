@@ -567,3 +567,14 @@ ORACLES: dict[str, str] = {
 }
 
 ORACLES["semantic_topk_pruned"] = ORACLES["semantic_topk"]
+ORACLES["carried_enrichment"] = f"""WITH {_STORED_FUNCTIONS},
+    coming AS (
+        SELECT file_id, checksum, start_line + 1 AS start_line FROM functions WHERE name NOT LIKE 'system%'
+        UNION ALL SELECT file_id, checksum, start_line + 101 FROM functions WHERE name LIKE 'user%'),
+    old_places AS (
+        SELECT *, row_number() OVER (PARTITION BY file_id, checksum ORDER BY start_line) AS place FROM functions),
+    new_places AS (
+        SELECT *, row_number() OVER (PARTITION BY file_id, checksum ORDER BY start_line) AS place FROM coming)
+    SELECT n.file_id, cast(n.start_line AS INTEGER) AS start_line, o.summary,
+        {_fts("o.name || ' ' || o.summary")} AS fts
+    FROM new_places n JOIN old_places o USING (file_id, checksum, place) WHERE o.summary IS NOT NULL"""

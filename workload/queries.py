@@ -339,6 +339,15 @@ def apply_functions(spark, folder):
     )
 
 
+@query
+def carried_enrichment(spark, folder):
+    """What functions keep that have moved: a line is added on top, some have gone, some stand there twice."""
+    old = corpus.stored_functions(spark, folder)
+    new = old.where("name NOT LIKE 'system%'").withColumn("start_line", F.col("start_line") + 1).union(
+        old.where("name LIKE 'user%'").withColumn("start_line", F.col("start_line") + 101))
+    return defs.carried_enrichment(old, new).select("file_id", "start_line", "summary", F.array_join("fts", " ").alias("fts"))
+
+
 @query
 def dedup_same_line(spark, folder):
     found = table(spark, folder, "conversations").select(
