@@ -12,6 +12,7 @@ from __future__ import annotations
 import time
 from collections import Counter
 from collections.abc import Callable
+from copy import copy
 from dataclasses import dataclass
 from functools import cached_property
 from operator import eq
@@ -100,6 +101,10 @@ class Features:
         return self.n_words < 10 or 100 * self.n_repeat_words > 20 * self.n_words
 
 
+def _base_counts(f: Features) -> tuple[int, ...]:
+    return f.n_words, f.word_chars, f.n_symbols, f.n_dup_lines, f.n_repeat_words
+
+
 @dataclass(frozen=True)
 class Rule:
     name: str
@@ -118,16 +123,21 @@ RULES = (
 )
 
 
-def cascade_order(outcomes: list[tuple[tuple[float, bool], ...]]) -> list[int]:
+def cascade_order(
+    outcomes: list[tuple[tuple[float, bool], ...]], shared: list[dict[str, float]] | None = None
+) -> list[int]:
     """Rule numbers by rejections per cost among the texts that the rules before let through.
 
-    ``outcomes`` has, for each sampled text, cost and verdict of every rule. Rules
-    that reject nothing more follow, cheapest first.
+    ``outcomes`` has, for each sampled text, cost and verdict of every rule;
+    ``shared`` what each feature that a rule asks for is worth of its mean cost. A
+    feature costs nothing once a rule before has made it. Rules that reject nothing
+    more follow, cheapest first.
     """
     if not outcomes:
         return []
     left, rest, order = list(outcomes), list(range(len(outcomes[0]))), []
     mean = [sum(o[r][0] for o in outcomes) / len(outcomes) for r in rest]
+    asked = [dict(s) for s in shared] if shared else [{} for _ in rest]
     while rest:
         def worth(r):
             return (sum(o[r][1] for o in left) / (mean[r] * max(1, len(left)) or 1e-12), -mean[r], -r)
@@ -136,6 +146,10 @@ def cascade_order(outcomes: list[tuple[tuple[float, bool], ...]]) -> list[int]:
         order.append(best)
         rest.remove(best)
         left = [o for o in left if not o[best][1]]
+        made = set(asked[best])
+        for r in rest:
+            mean[r] -= sum(asked[r].pop(name) for name in made & set(asked[r]))
+            mean[r] = max(mean[r], 0.0)
     return order
 
 
@@ -144,7 +158,9 @@ def measure(docs: DataFrame, rules=RULES, id_col: str = "doc_id", text: str = "t
     """The order of ``rules`` by their measured cost and rejections on a sample of ``docs``.
 
     The sample is drawn by a hash of the id; of it only costs and verdicts reach
-    the driver. Without a text the given order stands.
+    the driver. Texts that fail the base test never come to a rule and don't count;
+    base counts are made for every text, so rules have them for nothing. Without a
+    text the given order stands.
     """
     n = docs.select(id_col).count()
     drawn = docs.select(F.col(text).alias("text"), F.xxhash64(F.col(id_col)).alias("h")).where(
@@ -153,19 +169,36 @@ def measure(docs: DataFrame, rules=RULES, id_col: str = "doc_id", text: str = "t
 
     def start():
         def one(value):
+            base = Features(value)
+            if base.base_failed:
+                return None
+            _base_counts(base)
             out = []
             for rule in rules:
-                features = Features(value)  # afresh, so that no rule lives on another's work
+                features = copy(base)  # so that no rule lives on another's work
                 began = time.perf_counter()
                 rejected = bool(rule.rejects(features))
-                out.append((time.perf_counter() - began, rejected))
+                cost = time.perf_counter() - began
+                asked = []
+                for name in sorted(set(vars(features)) - set(vars(base))):
+                    again = copy(base)
+                    began = time.perf_counter()
+                    getattr(again, name)
+                    asked.append((name, time.perf_counter() - began))
+                out.append((cost, rejected, asked))
             return out
 
         return lambda texts: [[one(t) for t in texts]]
 
-    seen = append_columns(drawn, "text", start, "outcome array<struct<cost:double,rejected:boolean>>")
-    outcomes = [tuple((o["cost"], o["rejected"]) for o in r["outcome"]) for r in seen.select("outcome").collect()]
-    return cascade_order(outcomes) or list(range(len(rules)))
+    kinds = "outcome array<struct<cost:double,rejected:boolean,asked:array<struct<name:string,cost:double>>>>"
+    seen = append_columns(drawn, "text", start, kinds).where("outcome IS NOT NULL").select("outcome").collect()
+    outcomes = [tuple((o["cost"], o["rejected"]) for o in r["outcome"]) for r in seen]
+    shared: list[dict[str, float]] = [{} for _ in rules]
+    for r in seen:
+        for of_rule, o in zip(shared, r["outcome"]):
+            for name, cost in o["asked"]:
+                of_rule[name] = of_rule.get(name, 0.0) + cost / len(seen)
+    return cascade_order(outcomes, shared) or list(range(len(rules)))
 
 
 VERDICT = (
@@ -179,8 +212,8 @@ def judge(docs: DataFrame, order: list[int], rules=RULES, text: str = "text") ->
 
     A null or empty text has zero counts and fails the base test. ``rejected_by``
     is the rule that ended the cascade (null if kept, ``base`` if it never
-    began), ``rules_run`` how many were run. Columns of ``docs`` that bear these
-    names are replaced.
+    began), ``rules_run`` how many were run. Repeated rows stay, an empty table
+    gives an empty result. Columns of ``docs`` that bear these names are replaced.
     """
     names = [rules[i].name for i in order]
 
@@ -189,7 +222,7 @@ def judge(docs: DataFrame, order: list[int], rules=RULES, text: str = "text") ->
 
         def one(value):
             f = Features(value)
-            counts = (f.n_words, f.word_chars, f.n_symbols, f.n_dup_lines, f.n_repeat_words, f.base_failed)
+            counts = (*_base_counts(f), f.base_failed)
             if f.base_failed:
                 return (*counts, False, "base", 0)
             for number, rejects in enumerate(tests):

@@ -51,6 +51,26 @@ def test_order_by_rejection_per_cost():
     assert q.cascade_order([]) == []
 
 
+def test_shared_features_are_paid_once():
+    # 2 asks for the feature that 0 has made, and then costs less than 1
+    outcomes = [((2, True), (3, True), (9, False))] * 2 + [((2, True), (3, False), (9, False))] + [
+        ((2, False), (3, True), (9, True))]
+    assert q.cascade_order(outcomes) == [0, 1, 2]
+    assert q.cascade_order(outcomes, [{"a": 1.5}, {}, {"a": 7.5, "b": 1.0}]) == [0, 2, 1]
+
+
+def test_base_counts_cost_nothing_and_base_failures_do_not_count(spark):
+    """A rule on base counts comes first although it rejects no more than a costly one does."""
+    def slow(f):
+        return sum(map(len, f.text.split("w"))) < 0 or f.n_words > 30
+
+    rules = (q.Rule("slow", slow), q.Rule("counted", lambda f: f.n_words > 30), q.Rule("failures", lambda f: f.n_words < 10))
+    texts = [" ".join(f"w{i}x{j}" for j in range(20 + 20 * (i % 2))) for i in range(60)] + ["short"] * 500
+    docs = spark.createDataFrame(list(enumerate(texts)), DOCS)
+    assert q.measure(docs, rules)[0] == 1 and q.measure(docs, rules)[1:] in ([0, 2], [2, 0])
+    assert q.measure(docs.where("text = 'short'"), rules) == [0, 1, 2]
+
+
 def test_verdict_is_the_same_in_any_order(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     order = q.measure(docs)
