@@ -256,12 +256,23 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> Dat
     rows of their own groups. Rows without an id go: nothing could refer to them.
     """
     digest, component, rank = (unused(docs, n) for n in ("digest", "component", "rank"))
-    kept = _labelled(docs, id_col, text, GROUP_LIMIT).where(F.col(id_col) == F.col("component_id")).select(
+    firsts = written(_labelled(docs, id_col, text, GROUP_LIMIT).where(F.col(id_col) == F.col("component_id")).select(
         id_col, F.col("digest").alias(digest), F.col("component").alias(component)
-    ).distinct()
-    order = Window.partitionBy(component).orderBy(F.col(text).asc_nulls_first())
+    ).distinct())
+    marked = docs.withColumn(digest, F.xxhash64(text))
+    # Groups whose smallest id has several texts are few: only there are whole texts compared.
+    of_several = firsts.groupBy(component).agg(F.count("*").alias(rank)).where(F.col(rank) > 1)
+    several = written(firsts.join(of_several.select(component), component))
+    winners = firsts.select(id_col, digest)
+    if not several.isEmpty():
+        first = F.min(F.struct(F.col(text).isNotNull(), F.col(text), F.col(id_col).alias("id"), F.col(digest).alias("digest")))
+        chosen = marked.join(several, [id_col, digest]).groupBy(component).agg(first.alias(rank))
+        winners = firsts.join(several.select(component), component, "left_anti").select(id_col, digest).union(
+            chosen.select(f"{rank}.id", f"{rank}.digest"))
+    # Repeated rows lie together after the join already.
+    order = Window.partitionBy(id_col, digest).orderBy(digest)
     return (
-        docs.withColumn(digest, F.xxhash64(text)).join(kept, [id_col, digest])
+        marked.join(winners, [id_col, digest])
         .withColumn(rank, F.row_number().over(order)).where(F.col(rank) == 1)
         .select(*docs.columns)
     )
