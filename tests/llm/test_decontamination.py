@@ -1,4 +1,5 @@
 import re
+from functools import reduce
 
 import pytest
 
@@ -45,6 +46,24 @@ def test_equals_brute_force(spark, monkeypatch, block):
     assert {r["doc_id"] for r in kept.collect()} == {r["doc_id"] for r in docs.collect()} - {p[0] for p in want}
 
 
+def test_many_blocks_are_searched_one_at_a_time(spark, monkeypatch):
+    # Each block is a job of its own, so that the plan of the result holds no Python stage at all.
+    rows = [(i, " ".join(f"d{i}w{j}" for j in range(60))) for i in range(40)] + [(90, None), (91, ""), (3, "clean")]
+    items = [(i, " ".join(f"d{i}w{j}" for j in range(5, 30))) for i in range(0, 40, 8)] + [(7, "repeated words")] * 300
+    rows += [(92, "some repeated words here"), (92, "some repeated words here")]
+    docs, bench = spark.createDataFrame(rows, DOCS), spark.createDataFrame(items, ITEMS)
+    want = brute(rows, items)
+    assert pairs(d.leaked_pairs(docs, bench)) == want
+    monkeypatch.setattr(d, "BLOCK_BYTES", 100)
+    blocks = d._blocks(bench, "item_id", "text")
+    assert len(blocks) >= 10 and reduce(lambda a, b: a.union(b), blocks).count() == 6
+    found = d.with_leaks(docs, bench)
+    plan = found._jdf.queryExecution().toString()
+    assert "MapInArrow" not in plan and found.columns == ["doc_id", "text", "leaks"]
+    assert pairs(d.leaked_pairs(docs, bench)) == want
+    assert sorted(r["doc_id"] for r in d.keep_clean(docs, bench).collect()) == sorted([3, *(i for i in range(40) if i % 8), 90, 91])
+
+
 def test_partly_and_scattered(spark):
     words = [f"w{i}" for i in range(44)]  # 40 shingles
     item = " ".join(words)
