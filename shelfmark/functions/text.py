@@ -144,7 +144,9 @@ def evaluate_sql(hits: str, query: str) -> str:
     The score is the cover density: every minimal cover adds 0.1 / (1 + noise),
     noise being the positions inside the cover that are not hits. One pass over
     the hits keeps, per clause, the latest start of an occurrence; a cover ends
-    where the earliest of these starts moves forward.
+    where the earliest of these starts moves forward. Where one alternative of
+    several excludes a word, an excluded one between covers matters as well: see
+    ``_with_exclusions``.
     """
     lookback = "slice(hits, greatest(x.i - element_at(c.offsets, -1), 1), element_at(c.offsets, -1) + 1)"
     lookback_first = "greatest(x.i - element_at(c.offsets, -1), 1)"
@@ -169,19 +171,22 @@ def evaluate_sql(hits: str, query: str) -> str:
         f"'start', {occurrence}))"
     )
     earliest = "array_min(transform(filter(seen, s -> s.alt = alt AND NOT s.negated), s -> s.start))"
-    best = (
-        f"coalesce(array_max(transform({_alternatives('seen')}, alt -> "
-        + let(
-            "m", f"coalesce({earliest}, 0L)",
-            "if(exists(seen, s -> s.alt = alt AND s.negated AND s.start > 0 AND s.start >= m), 0L, m)",
+    def best(otherwise: str) -> str:
+        """The latest start of a window that ends here and satisfies the query, 0 if none does."""
+        return (
+            f"coalesce(array_max(transform({_alternatives('seen')}, alt -> "
+            + let(
+                "m", f"coalesce({earliest}, {otherwise})",
+                "if(exists(seen, s -> s.alt = alt AND s.negated AND s.start > 0 AND s.start >= m), 0L, m)",
+            )
+            + ")), 0L)"
         )
-        + ")), 0L)"
-    )
+
     noise = f"((x.pos - b div {_PACK}) - (x.i - b % {_PACK}))"
     merge = let(
         "seen", seen_now,
         let(
-            "b", best,
+            "b", best("0L"),
             "named_struct('seen', seen, 'best', greatest(b, a.best), 'score', "
             f"a.score + if(b > a.best, 0.1D / (1 + {noise}), 0.0D))",
         ),
@@ -190,16 +195,92 @@ def evaluate_sql(hits: str, query: str) -> str:
         f"exists({_alternatives('a.seen')}, alt -> "
         "forall(a.seen, s -> s.alt <> alt OR (s.start > 0) <> s.negated))"
     )
+    numbered = (
+        "transform(hits, (h, i) -> named_struct('pos', cast(h.pos AS bigint), 'term', h.term, "
+        "'i', cast(i + 1 AS bigint)))"
+    )
+    unseen = f"transform({query}, c -> named_struct('alt', c.alt, 'negated', c.negated, 'start', 0L))"
     fold = (
-        "aggregate(transform(hits, (h, i) -> named_struct('pos', cast(h.pos AS bigint), "
-        "'term', h.term, 'i', i + 1)), "
-        f"named_struct('seen', transform({query}, c -> named_struct('alt', c.alt, "
-        "'negated', c.negated, 'start', 0L)), 'best', 0L, 'score', 0.0D), "
-        f"(a, x) -> {merge}, "
-        f"a -> named_struct('matched', {matched}, 'score', a.score))"
+        f"aggregate({numbered}, named_struct('seen', {unseen}, 'best', 0L, 'score', 0.0D), "
+        f"(a, x) -> {merge}, a -> named_struct('matched', {matched}, 'score', a.score))"
+    )
+    # Where a window that ends at a hit starts at the latest, of all hits.
+    starts = (
+        f"aggregate({numbered}, named_struct('seen', {unseen}, {_EMPTY}), "
+        "(a, x) -> " + let("seen", seen_now, let(
+            "b", best(f"x.pos * {_PACK} + x.i"), f"named_struct('seen', seen, {_appended('b')})")) + ", "
+        f"a -> named_struct('matched', {matched}, 'all', {_GATHERED}))"
     )
+    several = f"(exists({query}, c -> c.negated) AND size({_alternatives(query)}) > 1)"
     # Bound once: the fold looks back into the hits.
-    return let("hits", hits, fold)
+    return let("hits", hits, f"if({several}, {_with_exclusions(starts, numbered, query)}, {fold})")
+
+
+# Arrays that a fold appends to, in chunks, so that long ones aren't copied for each value.
+_EMPTY = "'done', cast(array() AS array<array<bigint>>), 'chunk', cast(array() AS array<bigint>)"
+_GATHERED = "concat(flatten(a.done), a.chunk)"
+
+
+def _appended(value: str) -> str:
+    return (
+        "'done', if(size(a.chunk) = 256, concat(a.done, array(a.chunk)), a.done), "
+        f"'chunk', if(size(a.chunk) = 256, array({value}), concat(a.chunk, array({value})))"
+    )
+
+
+def _with_exclusions(starts: str, numbered: str, query: str) -> str:
+    """Covers where an alternative that excludes is one of several.
+
+    From each start, the next cover ends at the first hit up to which the query
+    holds, whatever excluded words lie before the cover's own beginning; then it is
+    cut at the front as far as the query holds still, and the search goes on behind
+    its beginning. The ends are found in a pass from the last hit to the first,
+    which keeps per clause the end of its next occurrence. Without an end nothing
+    further counts.
+    """
+    never = "9223372036854775807L"
+    ahead = "slice(hits, cast(x.i AS int), element_at(c.offsets, -1) + 1)"
+    found = (
+        f"forall(arrays_zip(c.terms, c.offsets), z -> exists({ahead}, "
+        "g -> g.pos = x.pos + z.offsets AND g.term = z.terms))"
+    )
+    end = (
+        f"x.i - 1 + array_position(transform({ahead}, g -> cast(g.pos AS bigint)), "
+        "x.pos + element_at(c.offsets, -1))"
+    )
+    next_ends = (
+        f"transform({query}, (c, k) -> named_struct('alt', c.alt, 'negated', c.negated, 'stop', "
+        f"CASE WHEN element_at(c.terms, 1) = x.term AND {found} THEN {end} ELSE element_at(a.seen, k + 1).stop END))"
+    )
+
+    def stops(negated: str) -> str:
+        return f"transform(filter(seen, s -> s.alt = alt AND {negated}), s -> s.stop)"
+
+    satisfied = let(
+        "m", f"coalesce(array_max({stops('NOT s.negated')}), x.i)",
+        f"if(coalesce(array_min({stops('s.negated')}), {never}) > m, m, {never})",
+    )
+    ends = (
+        f"reverse(aggregate(reverse({numbered}), named_struct('seen', transform({query}, c -> "
+        f"named_struct('alt', c.alt, 'negated', c.negated, 'stop', {never})), {_EMPTY}), (a, x) -> "
+        + let("seen", next_ends, "named_struct('seen', seen, " + _appended(
+            f"array_min(transform({_alternatives('seen')}, alt -> {satisfied}))") + ")")
+        + f", a -> {_GATHERED}))"
+    )
+    cover = let(
+        "q", "cast(element_at(ends, cast(x.i AS int)) AS int)",
+        let(
+            "p", "element_at(starts.all, q)",
+            f"named_struct('next', p % {_PACK} + 1, 'score', a.score + 0.1D / (1 + "
+            f"(element_at(hits, q).pos - p div {_PACK}) - (q - p % {_PACK})))",
+        ),
+    )
+    return let("starts", starts, let("ends", ends, (
+        f"aggregate({numbered}, named_struct('next', 1L, 'score', 0.0D), (a, x) -> "
+        f"CASE WHEN x.i <> a.next THEN a WHEN element_at(ends, cast(x.i AS int)) = {never} "
+        f"THEN named_struct('next', {never}, 'score', a.score) ELSE {cover} END, "
+        "a -> named_struct('matched', starts.matched, 'score', a.score))"
+    )))
 
 
 def query_literal(query) -> str:

@@ -141,6 +141,46 @@ def test_cover_density_equals_scanning(spark):
         assert got == {i: round(s, 9) for i, s in expected.items() if s > 0}
 
 
+def covers_one_by_one(words, alternatives):
+    """Matches and scores by trying windows; ``alternatives`` are lists of (wanted, phrase)."""
+    known = {w for group in alternatives for _, phrase in group for w in phrase}
+    hits = [(i, w) for i, w in enumerate(words) if w in known]
+
+    def holds(window):
+        at = set(window)
+        there = lambda phrase: any(all((i + j, w) in at for j, w in enumerate(phrase)) for i, _ in window)
+        return any(all(there(phrase) == wanted for wanted, phrase in group) for group in alternatives)
+
+    if not holds(hits):
+        return None
+    score, start = 0.0, 0
+    while True:
+        end = next((r for r in range(start, len(hits)) if holds(hits[start : r + 1])), None)
+        if end is None:
+            return score
+        begin = next(b for b in range(end, start - 1, -1) if holds(hits[b : end + 1]))
+        score += 0.1 / (1 + hits[end][0] - hits[begin][0] - (end - begin))
+        start = begin + 1
+
+
+def test_exclusions_beside_other_alternatives(spark):
+    random.seed(11)
+    docs = [" ".join(random.choices("abcdxyz", k=random.randint(1, 25))) for _ in range(200)]
+    docs += ["x a b c", "b x a", "x p a x q", "c x a b", " ".join(random.choices("abcx", k=700))]
+    for query, alternatives in (
+        ("a b -x or c", [[(True, "a"), (True, "b"), (False, "x")], [(True, "c")]]),
+        ("a -x or b", [[(True, "a"), (False, "x")], [(True, "b")]]),
+        ("p q or a -x", [[(True, "p"), (True, "q")], [(True, "a"), (False, "x")]]),
+        ('a -"x y" or "c d" -b', [[(True, "a"), (False, "xy")], [(True, "cd"), (False, "b")]]),
+        ('"a b" -x or c d -y or z', [
+            [(True, "ab"), (False, "x")], [(True, "c"), (True, "d"), (False, "y")], [(True, "z")]]),
+    ):
+        expected = {i: covers_one_by_one(d.split(), alternatives) for i, d in enumerate(docs)}
+        assert scores(spark, docs, query) == {i: round(s, 9) for i, s in expected.items() if s is not None}
+    assert scores(spark, ["x a b c"], "a b -x or c") == {0: 0.1}
+    assert scores(spark, ["a", "x", "b", "x a"], "-x or a") == {0: 0.1, 2: 0.0, 3: 0.1}
+
+
 def test_keyword_topk_breaks_ties_by_id(spark):
     rows = spark.createDataFrame([(3, 0.1), (1, 0.1), (2, 0.2)], "id long, score double")
     assert [(r["id"], r["rank"]) for r in keyword_topk(rows, 2).collect()] == [(2, 1), (1, 2)]
