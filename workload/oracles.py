@@ -578,3 +578,41 @@ ORACLES["carried_enrichment"] = f"""WITH {_STORED_FUNCTIONS},
     SELECT n.file_id, cast(n.start_line AS INTEGER) AS start_line, o.summary,
         {_fts("o.name || ' ' || o.summary")} AS fts
     FROM new_places n JOIN old_places o USING (file_id, checksum, place) WHERE o.summary IS NOT NULL"""
+
+#: From each start: the first end up to which one of both alternatives holds, then the latest beginning
+#: that still holds. The next cover is looked for behind that beginning, and none after a start without an end.
+ORACLES["cover_density_exclusion"] = f"""WITH RECURSIVE {_TEXT_WORDS},
+    hits AS (
+        SELECT id, pos, term, row_number() OVER (PARTITION BY id ORDER BY pos) AS i
+        FROM words WHERE term IN ('tion', 'thre', 'ther', 'ble', 'ing')),
+    around AS (
+        SELECT id, pos, i,
+            min(i) FILTER (term = 'tion') OVER ahead AS tion, min(i) FILTER (term = 'thre') OVER ahead AS thre,
+            coalesce(min(i) FILTER (term = 'ther') OVER ahead, 1e9) AS ther,
+            min(i) FILTER (term = 'ble') OVER ahead AS ble, coalesce(min(i) FILTER (term = 'ing') OVER ahead, 1e9) AS ing,
+            max(i) FILTER (term = 'tion') OVER back AS last_tion, max(i) FILTER (term = 'thre') OVER back AS last_thre,
+            coalesce(max(i) FILTER (term = 'ther') OVER back, 0) AS last_ther,
+            max(i) FILTER (term = 'ble') OVER back AS last_ble, coalesce(max(i) FILTER (term = 'ing') OVER back, 0) AS last_ing
+        FROM hits WINDOW ahead AS (PARTITION BY id ORDER BY i ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING),
+            back AS (PARTITION BY id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+    edges AS (
+        SELECT id, pos, i,
+            least(CASE WHEN tion IS NOT NULL AND thre IS NOT NULL AND greatest(tion, thre) < ther
+                THEN greatest(tion, thre) END, CASE WHEN ble < ing THEN ble END) AS stop,
+            greatest(CASE WHEN last_tion IS NOT NULL AND last_thre IS NOT NULL AND least(last_tion, last_thre) > last_ther
+                THEN least(last_tion, last_thre) END, CASE WHEN last_ble > last_ing THEN last_ble END) AS begin_
+        FROM around),
+    windows AS (
+        SELECT s.id, s.i, e.begin_ + 1 AS following,
+            0.1::DOUBLE / (1 + (e.pos - b.pos) - (e.i - b.i)) AS score
+        FROM edges s JOIN edges e ON e.id = s.id AND e.i = s.stop JOIN edges b ON b.id = s.id AND b.i = e.begin_),
+    covers AS (
+        SELECT id, following, score FROM windows WHERE i = 1
+        UNION ALL
+        SELECT w.id, w.following, w.score FROM covers c JOIN windows w ON w.id = c.id AND w.i = c.following),
+    matching AS (
+        SELECT id FROM hits GROUP BY id
+        HAVING bool_or(term = 'tion') AND bool_or(term = 'thre') AND NOT bool_or(term = 'ther')
+            OR bool_or(term = 'ble') AND NOT bool_or(term = 'ing')),
+    scores AS (SELECT id, sum(score) AS score FROM covers JOIN matching USING (id) GROUP BY id)
+    {_SCORES}"""

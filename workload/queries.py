@@ -558,6 +558,12 @@ def cover_density_rank(spark, folder):
     return _scores(spark, folder, "tion thre ther")
 
 
+@query
+def cover_density_exclusion(spark, folder):
+    """An alternative that excludes a word, beside another one."""
+    return _scores(spark, folder, "tion thre -ther or ble -ing")
+
+
 @query
 def keyword_topk(spark, folder):
     parsed = fulltext.web_query(spark, "tion thre", PLAIN)
