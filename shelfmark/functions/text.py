@@ -27,6 +27,27 @@ WORD = r"[\p{L}\p{N}]+"
 _RUN = (
     r"/?[\p{L}\p{N}]++(?:(?:[._-]*+/[._-]*+|_++|[-.@+])[\p{L}\p{N}]++)*+"
 )
+# Classes of the markup-aware analysis, tried in this order where a token may begin. All quantifiers are
+# possessive, or lazy over single characters, so that no text takes more than linear time or a deep stack.
+_W = r"[\p{L}\p{N}]++"
+_HOST = r"(?:[a-z0-9][a-z0-9_-]*+\.)++[a-z]{2,}+(?::[0-9]++)?+"
+_NAME = _W + r"(?:[._-]++" + _W + ")*+"
+_CLASSES = "|".join((
+    r"<(?:script|style)\b[^<>]*+>(?s:.*?)(?:</(?:script|style)\b[^<>]*+>|\z)",
+    r"<!--(?s:.*?)(?:-->|\z)",
+    r"<[/!?]?[a-z][^<>]*+>",
+    r"&(?:#[0-9]++|#x[0-9a-f]++|[a-z][a-z0-9]*+);",
+    _HOST + r"/[!#-;=?-\[\]_a-z~]*+",
+    r"[a-z][a-z0-9]*+://",
+    _W + r"(?:[._+-]" + _W + ")*+@" + _W + r"(?:[.-]" + _W + ")*+",
+    "/" + _NAME + r"(?:[._-]*+/[._-]*+" + _NAME + ")*+",
+    _NAME + r"(?:[._-]*+/[._-]*+" + _NAME + ")++",
+    r"[-+][0-9]++(?:\.[0-9]++)?+(?:e[-+]?[0-9]++)?+",
+    r"[0-9]++(?:\.[0-9]++)?+e[-+][0-9]++",
+    _W + r"(?:(?:_++|\.)" + _W + r"|-[0-9]*+\p{L}[\p{L}\p{N}]*+|-[0-9]++\.[0-9]*+\p{L}[\p{L}\p{N}]*+)*+",
+))
+#: Longer words, in bytes, are not indexed.
+LONGEST_WORD = 2047
 
 
 @dataclass(frozen=True)
@@ -36,16 +57,21 @@ class Analyzer:
     stemmer: str = "porter2"  # or "none"
     path_mode: str = "whole"  # or "split": every run of letters and digits is a word
     stop_words: tuple[str, ...] = ENGLISH_STOP_WORDS
+    #: Tags, entities and protocols are no words, a URL is followed by its host and path, numbers keep their sign.
+    markup: bool = False
 
     def __post_init__(self) -> None:
         if self.stemmer not in ("porter2", "none"):
             raise ValueError(f"unknown stemmer {self.stemmer!r}")
         if self.path_mode not in ("whole", "split"):
             raise ValueError(f"unknown path mode {self.path_mode!r}")
+        if self.markup and self.path_mode != "whole":
+            raise ValueError("markup is told apart where paths are whole")
 
 
 ENGLISH = Analyzer()
 PLAIN = Analyzer(stemmer="none", path_mode="split")
+MARKUP = Analyzer(markup=True)
 
 
 def tokens_sql(text: str, analyzer: Analyzer = ENGLISH) -> str:
@@ -53,6 +79,8 @@ def tokens_sql(text: str, analyzer: Analyzer = ENGLISH) -> str:
     lowered = f"lower({text})"
     if analyzer.path_mode == "split":
         return f"regexp_extract_all({lowered}, {raw(WORD)}, 0)"
+    if analyzer.markup:
+        return _markup_tokens_sql(lowered)
     # A slash path, an address and a dotted name are one token each. Underscores
     # separate. A hyphenated compound is followed by its parts.
     runs = f"regexp_extract_all({lowered}, {raw(_RUN)}, 0)"
@@ -66,6 +94,26 @@ def tokens_sql(text: str, analyzer: Analyzer = ENGLISH) -> str:
     )
 
 
+def _markup_tokens_sql(lowered: str) -> str:
+    """Tokens of a text with markup, by the class of each match.
+
+    A tag ends at the first ``>``; what lies in a script or style element goes with
+    it. A hyphen before digits alone is the sign of a number.
+    """
+    compound = "if(instr(k, '-') > 0 AND instr(k, '.') = 0, concat(array(k), split(k, '-')), array(k))"
+    url = "array(r, regexp_extract(r, '^[^/]+', 0), regexp_extract(r, '/.*$', 0))"
+    by_class = (
+        "CASE WHEN r RLIKE '^[<&]' OR endswith(r, '://') THEN cast(array() AS array<string>) "
+        f"WHEN r RLIKE {raw('^' + _HOST + '/')} THEN {url} "
+        f"WHEN r RLIKE {raw(r'[/@]|^[-+]|^[0-9.]++e[-+]')} THEN array(r) "
+        f"ELSE flatten(transform(split(r, '_+'), k -> {compound})) END"
+    )
+    return (
+        f"filter(flatten(transform(regexp_extract_all({lowered}, {raw(_CLASSES)}, 0), r -> {by_class})), "
+        f"t -> octet_length(t) <= {LONGEST_WORD})"
+    )
+
+
 def lexemes_sql(text: str, analyzer: Analyzer = ENGLISH) -> str:
     """The position-ordered lexemes of ``text``; NULL text gives NULL."""
     tokens = tokens_sql(text, analyzer)

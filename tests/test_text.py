@@ -4,7 +4,7 @@ import duckdb
 from pyspark.sql import functions as F
 
 from shelfmark.functions.stemming import stems_sql
-from shelfmark.functions.text import ENGLISH, PLAIN, Analyzer, lexemes_sql
+from shelfmark.functions.text import ENGLISH, MARKUP, PLAIN, Analyzer, lexemes_sql
 from shelfmark.operators.fulltext import (
     analyze,
     keyword_scores,
@@ -60,6 +60,29 @@ def test_token_classes(spark):
     assert lexemes(spark, None, ENGLISH) is None
 
 
+def test_markup_classes(spark):
+    def found(text):
+        return lexemes(spark, text, MARKUP)
+
+    assert found('<!DOCTYPE html><p class="x">Cats&amp;dogs&#39;s &#x41;<br/>A<!-- no > word --></p>') == [
+        "cat", "dog", "", ""]  # "s" and "a" are stop words
+    assert found("<style>p{margin:0}</style>one<SCRIPT src='x'>var two='</p>';</SCRIPT> three") == ["one", "three"]
+    assert found("<script>never closed") == [] and found("a < b > c") == ["", "b", "c"]
+    assert found("http://example.com/stuff/index.html?q=1 https://example.com ftp://x") == [
+        "example.com/stuff/index.html?q=1", "example.com", "/stuff/index.html?q=1", "example.com", "x"]
+    assert found("example.com:80/ src/files/indexer.py /usr/local/foo.txt me@example.com") == [
+        "example.com:80/", "example.com:80", "/", "src/files/indexer.py", "/usr/local/foo.txt", "me@example.com"]
+    assert found("-12 +3.5 x=-1.234e56 1e-5 8.3.0 3.14 2024-01-02 foo-1 foo-1a a-1.txt 5-3.14") == [
+        "-12", "+3.5", "x", "-1.234e56", "1e-5", "8.3.0", "3.14", "2024", "-01", "-02", "foo", "-1",
+        "foo-1a", "foo", "1a", "a-1.txt", "5", "-3.14"]
+    assert found("get_user_name well-known logs/2024-01-02/x") == [
+        "get", "user", "name", "well-known", "well", "known", "logs/2024-01-02/x"]
+    assert found("a" * 2047 + " " + "b" * 2048 + " c") == ["a" * 2047, "c"]
+    assert found("") == [] and found(None) is None
+    for hostile in ("<a " * 200000, "<!--" * 200000, "a." * 200000, "a-" * 200000, "1-" * 200000, "<script>" * 200000):
+        found(hostile)
+
+
 def clauses(spark, text, analyzer=LETTERS):
     return [
         (c["alt"], c["negated"], c["phrase"], c["terms"], c["offsets"])

@@ -119,3 +119,34 @@ tokens AS (
                 CASE WHEN contains(k, '-') AND NOT contains(k, '.') THEN list_prepend(k, string_split(k, '-'))
                 ELSE [k] END)) END)) AS found
         FROM {source}))"""
+
+
+# The classes of markup-aware analysis, in the order in which they are tried.
+_W = r"[\p{L}\p{N}]+"
+_NAME = rf"{_W}(?:[._-]+{_W})*"
+_HOST = r"(?:[a-z0-9][a-z0-9_-]*\.)+[a-z]{2,}(?::[0-9]+)?"
+_IGNORED = (
+    r"<(?:script|style)\b[^<>]*>(?s:.*?)(?:</(?:script|style)\b[^<>]*>|\z)|<!--(?s:.*?)(?:-->|\z)|<[/!?]?[a-z][^<>]*>"
+    r"|&(?:#[0-9]+|#x[0-9a-f]+|[a-z][a-z0-9]*);"
+)
+_ADDRESS = rf"{_HOST}/[!#-;=?-\[\]_a-z~]*|[a-z][a-z0-9]*://|{_W}(?:[._+-]{_W})*@{_W}(?:[.-]{_W})*"
+_PATH = rf"/{_NAME}(?:[._-]*/[._-]*{_NAME})*|{_NAME}(?:[._-]*/[._-]*{_NAME})+"
+_NUMBER = r"[-+][0-9]+(?:\.[0-9]+)?(?:e[-+]?[0-9]+)?|[0-9]+(?:\.[0-9]+)?e[-+][0-9]+"
+_PLAIN = rf"{_W}(?:(?:_+|\.){_W}|-[0-9]*\p{{L}}[\p{{L}}\p{{N}}]*|-[0-9]+\.[0-9]*\p{{L}}[\p{{L}}\p{{N}}]*)*"
+
+
+def markup_tokens(source: str, key: str, text: str) -> str:
+    """A CTE ``tokens(key, t, pos)`` without tags and entities, URLs with host and path, numbers with signs."""
+    classes = "|".join((_IGNORED, _ADDRESS, _PATH, _NUMBER, _PLAIN))
+    return rf"""
+tokens AS (
+    SELECT {key}, unnest(found) AS t, generate_subscripts(found, 1) AS pos FROM (
+        SELECT {key}, list_filter(flatten(list_transform(regexp_extract_all(lower({text}), '{classes}'), lambda r:
+            CASE WHEN starts_with(r, '<') OR starts_with(r, '&') OR ends_with(r, '://') THEN []
+            WHEN regexp_matches(r, '^{_HOST}/')
+                THEN [r, left(r, strpos(r, '/') - 1), substr(r, strpos(r, '/'))]
+            WHEN regexp_matches(r, '[/@]|^[-+]|^[0-9.]+e[-+]') THEN [r]
+            ELSE flatten(list_transform(string_split_regex(r, '_+'), lambda k:
+                CASE WHEN contains(k, '-') AND NOT contains(k, '.') THEN list_prepend(k, string_split(k, '-'))
+                ELSE [k] END)) END)), lambda t: strlen(t) <= 2047) AS found
+        FROM {source}))"""

@@ -616,3 +616,6 @@ ORACLES["cover_density_exclusion"] = f"""WITH RECURSIVE {_TEXT_WORDS},
             OR bool_or(term = 'ble') AND NOT bool_or(term = 'ing')),
     scores AS (SELECT id, sum(score) AS score FROM covers JOIN matching USING (id) GROUP BY id)
     {_SCORES}"""
+ORACLES["analyze_terms_markup"] = f"""WITH {english.markup_tokens('pages', 'page_id', "coalesce(url, '') || ' ' || coalesce(html, '')")},
+    words AS (SELECT * FROM tokens WHERE t NOT IN ({_STOPS})), {english.stems('words')}
+    SELECT page_id AS id, stem AS term, cast(pos AS INTEGER) AS pos FROM words JOIN stems USING (t)"""

@@ -15,7 +15,7 @@ from shelfmark.functions.naming import (
     repo_name,
 )
 from shelfmark.functions.sentences import lead_sentences
-from shelfmark.functions.text import PLAIN
+from shelfmark.functions.text import MARKUP, PLAIN
 from shelfmark.functions.vectors import hashed_vector_sql
 from shelfmark.operators import definitions as defs
 from shelfmark.operators import files as file_ops
@@ -470,6 +470,15 @@ def analyze_terms(spark, folder):
     return fulltext.terms(corpus.texts(spark, folder), "id")
 
 
+@query
+def analyze_terms_markup(spark, folder):
+    """Whole pages with their addresses: tags and entities are no words, URLs come with host and path."""
+    pages = spread(table(spark, folder, "pages"))
+    rows = pages.select(F.col("page_id").alias("id"), F.concat(
+        F.coalesce("url", F.lit("")), F.lit(" "), F.coalesce("html", F.lit(""))).alias("text"))
+    return fulltext.terms(fulltext.analyze(rows, "text", MARKUP), "id")
+
+
 @query
 def analyze_terms_english(spark, folder):
     """The default analyzer over all documents with their paths."""
