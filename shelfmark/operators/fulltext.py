@@ -148,6 +148,16 @@ def keyword_scores(table: DataFrame, query: WebQuery) -> DataFrame:
     )
 
 
+def _postings_of(index: DataFrame, query: WebQuery, buckets: int | None) -> DataFrame:
+    """Rows of ``index`` of the query's terms."""
+    if query.needs_all_rows:
+        raise ValueError("a query of exclusions only has to read the table itself")
+    if buckets is not None:
+        terms = [term_bucket(F.lit(t), buckets) for t in query.terms]
+        index = index.where(F.col("bucket").isin(*terms) if terms else F.lit(False))
+    return index.where(F.col("term").isin(query.terms) if query.terms else F.lit(False))
+
+
 def keyword_scores_from_postings(index: DataFrame, query: WebQuery, buckets: int | None = None) -> DataFrame:
     """``(id, score)`` computed from postings.
 
@@ -156,12 +166,7 @@ def keyword_scores_from_postings(index: DataFrame, query: WebQuery, buckets: int
     one row already; those of several words are gathered per row id, so the
     largest group is one document's hits.
     """
-    if query.needs_all_rows:
-        raise ValueError("a query of exclusions only has to read the table itself")
-    if buckets is not None:
-        terms = [term_bucket(F.lit(t), buckets) for t in query.terms]
-        index = index.where(F.col("bucket").isin(*terms) if terms else F.lit(False))
-    found = index.where(F.col("term").isin(query.terms) if query.terms else F.lit(False)).select(
+    found = _postings_of(index, query, buckets).select(
         "id", F.transform("positions", lambda p: F.struct(p.alias("pos"), F.col("term").alias("term"))).alias("hits")
     )
     if len(query.terms) > 1:
@@ -169,6 +174,51 @@ def keyword_scores_from_postings(index: DataFrame, query: WebQuery, buckets: int
     return _evaluated(found, query)
 
 
+def score_bounds(index: DataFrame, query: WebQuery, buckets: int | None = None) -> DataFrame:
+    """``(id, bound)``: no row scores more, and rows that are left out don't match.
+
+    A cover scores 0.1 at most, and no two begin at the same hit. Of ``k`` words
+    that must all occur, covers number at most the hits less ``k - 1``, and at most
+    ``k`` for each hit of the rarest word: of covers around one hit each begins with
+    another word, or the outer one would not be the smallest.
+    """
+    number = F.size("positions").cast("long")
+    found = _postings_of(index, query, buckets)
+    alternatives = {c["alt"] for c in query.clauses}
+    wanted = sorted({t for c in query.clauses if not c["negated"] for t in c["terms"]})
+    if len(alternatives) != 1:
+        return found.groupBy("id").agg((F.sum(number) * F.lit(0.1)).alias("bound"))
+    counted = found.where(F.col("term").isin(wanted)).groupBy("id").agg(
+        F.sum(number).alias("hits"), F.min(number).alias("rarest"), F.count("*").alias("words"))
+    covers = F.col("hits") - F.lit(len(wanted) - 1)
+    if all(len(c["terms"]) == 1 for c in query.clauses if not c["negated"]):
+        covers = F.least(covers, F.col("rarest") * F.lit(len(wanted)))
+    return counted.where(F.col("words") == len(wanted)).select("id", (covers * F.lit(0.1)).alias("bound"))
+
+
+def keyword_scores_of_top(index: DataFrame, query: WebQuery, limit: int, buckets: int | None = None) -> DataFrame:
+    """``(id, score)`` of the rows that can be among the ``limit`` best, those being whole.
+
+    Two passes: the rows with the largest bounds are scored first, and the least
+    of their scores is a floor. Only rows whose bound reaches it are scored, ties
+    with it included, so positions of all others are neither gathered nor folded.
+    Where fewer than ``limit`` of the first rows match, there is no floor.
+    """
+    if limit < 1:
+        return keyword_scores_from_postings(index, query, buckets).limit(0)
+    bounds = score_bounds(index, query, buckets)
+
+    def scores(ids: DataFrame) -> DataFrame:
+        return keyword_scores_from_postings(index.join(ids.select("id"), "id", "left_semi"), query, buckets)
+
+    first = bounds.orderBy(F.desc("bound"), "id").limit(limit)
+    floor, matching = scores(first).agg(F.min("score"), F.count("*")).first()
+    if matching < limit:
+        return keyword_scores_from_postings(index, query, buckets)
+    # Ranks are at single precision; sums of many scores may be off in the last digits.
+    return scores(bounds.where((F.col("bound") * F.lit(1 + 1e-6)).cast("float") >= F.lit(floor).cast("float")))
+
+
 def rank_order(score: str = "score") -> list[Column]:
     """Best score first at single precision, then the smaller id."""
     return [F.col(score).cast("float").desc(), F.col("id").asc()]

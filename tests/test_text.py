@@ -9,7 +9,9 @@ from shelfmark.operators.fulltext import (
     analyze,
     keyword_scores,
     keyword_scores_from_postings,
+    keyword_scores_of_top,
     postings,
+    score_bounds,
     web_query,
 )
 from shelfmark.operators.ranking import keyword_topk
@@ -210,6 +212,27 @@ def test_keyword_topk_breaks_ties_by_id(spark):
     assert keyword_topk(rows, 0).collect() == []
 
 
+def test_top_rows_by_bounds(spark):
+    random.seed(5)
+    docs = [" ".join(random.choices("abcdxyz", k=random.randint(1, 60))) for _ in range(300)]
+    docs += ["a b " * 40, "a b a b a b", "a b a b a b", "b" + " a" * 90]
+    table = spark.createDataFrame(list(enumerate(docs)), "id long, body string")
+    table = analyze(table, "body", LETTERS).withColumn("project_id", F.lit(1).cast("long"))
+    index = postings(table).cache()
+    for text in ("a b", "a b c", "a", "a or b", 'a "b c"', "a b -x", "a b -x or c", "a nowhere", ""):
+        query = web_query(spark, text, LETTERS)
+        every = keyword_scores_from_postings(index, query)
+        bounds = {r["id"]: r["bound"] for r in score_bounds(index, query).collect()}
+        assert all(r["score"] <= bounds[r["id"]] + 1e-9 for r in every.collect())
+        for limit in (1, 7, 400):
+            want = [tuple(r) for r in keyword_topk(every, limit).collect()]
+            assert [tuple(r) for r in keyword_topk(keyword_scores_of_top(index, query, limit), limit).collect()] == want
+    # One row stands out, and its 79 covers are more than the bounds of all others.
+    assert [r["id"] for r in keyword_scores_of_top(index, web_query(spark, "a b", LETTERS), 1).collect()] == [300]
+    assert keyword_scores_of_top(index, web_query(spark, "a", LETTERS), 0).count() == 0
+    index.unpersist()
+
+
 def test_long_words_are_stemmed(spark):
     words = ["ab" * 150 + "running", "ba" * 60 + "ness", "bcd" * 100 + "ed", "a" * 100000 + "bing", "b" * 100000 + "s", "y" * 5000]
     row = spark.createDataFrame([(words,)], "w array<string>").select(F.expr(stems_sql("w"))).first()

@@ -619,3 +619,4 @@ ORACLES["cover_density_exclusion"] = f"""WITH RECURSIVE {_TEXT_WORDS},
 ORACLES["analyze_terms_markup"] = f"""WITH {english.markup_tokens('pages', 'page_id', "coalesce(url, '') || ' ' || coalesce(html, '')")},
     words AS (SELECT * FROM tokens WHERE t NOT IN ({_STOPS})), {english.stems('words')}
     SELECT page_id AS id, stem AS term, cast(pos AS INTEGER) AS pos FROM words JOIN stems USING (t)"""
+ORACLES["keyword_topk_bounded"] = ORACLES["keyword_topk"]

@@ -580,6 +580,15 @@ def keyword_topk(spark, folder):
     return ranking.keyword_topk(scores, 20).select("id", "rank")
 
 
+@query
+def keyword_topk_bounded(spark, folder):
+    """The same rows, where only rows are scored whose bound reaches the best of a first pass."""
+    parsed = fulltext.web_query(spark, "tion thre", PLAIN)
+    index = corpus.stored(spark, folder, "text_postings", corpus.text_postings)
+    scores = fulltext.keyword_scores_of_top(index, parsed, 20)
+    return ranking.keyword_topk(scores, 20).select("id", "rank")
+
+
 @query
 def keyword_topk_postings(spark, folder):
     parsed = fulltext.web_query(spark, "tion thre", PLAIN)
