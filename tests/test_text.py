@@ -15,6 +15,7 @@ from shelfmark.operators.fulltext import (
     web_query,
 )
 from shelfmark.operators.ranking import keyword_topk
+from shelfmark.sources.tables import spread
 from workload import english
 
 # Every word counts, so that letters can stand for words.
@@ -233,6 +234,33 @@ def test_top_rows_by_bounds(spark):
     index.unpersist()
 
 
+def test_postings_are_gathered_in_their_row(spark):
+    random.seed(11)
+    fts = [random.choices(["a", "b", "ab", "é", "", "zz"], k=random.randint(0, 40)) for _ in range(200)]
+    rows = [(i, i % 3, words) for i, words in enumerate(fts)] + [(900, 1, None), (901, 1, [""]), (902, None, ["x", "x"])]
+    index = postings(spark.createDataFrame(rows, "id long, project_id long, fts array<string>"))
+    expected = {(t, i, p, tuple(k + 1 for k, w in enumerate(words or []) if w == t))
+                for i, p, words in rows for t in set(words or []) - {""}}
+    found = index.select("term", "id", "project_id", "positions").collect()
+    assert len(found) == len(expected)
+    assert {(r["term"], r["id"], r["project_id"], tuple(r["positions"])) for r in found} == expected
+    plan = index._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Sort" not in plan and "Aggregate" not in plan
+
+
+def test_spread_tasks_stay_bounded(spark):
+    size = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "32k")
+    try:
+        rows = spark.range(0, 20000, 1, 16).select("id", F.sha2(F.col("id").cast("string"), 512).alias("text"))
+        sizes = spread(rows).groupBy(F.spark_partition_id().alias("task")).agg(
+            F.count("text").alias("count")).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", size)
+    assert sum(r["count"] for r in sizes) == 20000
+    assert len(sizes) > 2 * spark.sparkContext.defaultParallelism
+
+
 def test_long_words_are_stemmed(spark):
     words = ["ab" * 150 + "running", "ba" * 60 + "ness", "bcd" * 100 + "ed", "a" * 100000 + "bing", "b" * 100000 + "s", "y" * 5000]
     row = spark.createDataFrame([(words,)], "w array<string>").select(F.expr(stems_sql("w"))).first()
